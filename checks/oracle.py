@@ -247,7 +247,7 @@ def statements() -> dict[str, str]:
     sales = (ORDERS, STOCK, pieces())
     windowed = (WINDOWED, STOCK, pieces(WINDOW_KEYS))
     summary_keys = "account_name, sku, product_name, units_sold, revenue, remaining_units, is_total, report_rank"
-    chunk = 'SELECT account_name, order_id, sku, product_name AS "product-name", strftime(day, \'%Y-%m-%d\') || \'T00:00:00+00:00\' AS "purchase-date", CAST(item_price AS DOUBLE) AS "item-price", CAST(quantity AS DOUBLE) AS quantity'
+    chunk = 'SELECT account_name, CAST(order_id AS VARCHAR) AS order_id, sku, product_name AS "product-name", strftime(day, \'%Y-%m-%d\') || \'T00:00:00+00:00\' AS "purchase-date", CAST(item_price AS DOUBLE) AS "item-price", CAST(quantity AS DOUBLE) AS quantity'
     chunks = f"""{chunk}, CAST(NULL AS VARCHAR) AS note FROM o
 UNION ALL {chunk}, NULL FROM o WHERE item_price > 0
 UNION ALL SELECT account_name, NULL, sku, NULL, NULL, NULL, CAST(quantity AS DOUBLE), 'late' FROM o WHERE item_price > 0"""

@@ -25,7 +25,7 @@ from tallyshelf.plans.presentation import ON_HAND_BARS, sales_display, with_bars
 from tallyshelf.plans.sales_report import SalesReport, gates, sales_report
 from tallyshelf.scratch import Scratch
 from tallyshelf.session import configure
-from tallyshelf.sinks.tables import write_partitions, write_sales_report
+from tallyshelf.sinks.tables import write_partitions, write_raw_data, write_summary
 from tallyshelf.sources.accounts import account_list, landing_folder, scan_report
 from tallyshelf.sources.flat_files import scan_flat_files, write_flat_files
 from tallyshelf.sources.log_payloads import parse_log
@@ -166,7 +166,7 @@ def q_dirty_report_index(spark, sf):
 
 def _chunks(spark, sf) -> Sequence[DataFrame]:
     """Three overlapping chunks; the last has other columns in another order."""
-    orders = V.orders_view(spark, sf)
+    orders = V.orders_view(spark, sf).withColumn("order_id", F.col("order_id").cast("string"))
     paid = orders.filter(F.col("item-price") > 0)
     return orders, paid, paid.select("quantity", "sku", ACCOUNT, F.lit("late").alias("note"))
 
@@ -278,7 +278,9 @@ def q_roundtrip_sink(spark, sf):
 
 def q_two_output_report(spark, sf):
     base = Scratch(spark).path("report")
-    write_sales_report(_report(spark, sf), base)
+    report = _report(spark, sf)
+    write_summary(report.summary, base)
+    write_raw_data(report.raw_data, base)
     raw = spark.read.parquet(f"{base}/raw_data").groupBy(ACCOUNT).agg(
         F.count(F.lit(1)).alias("raw_lines"), F.sum(F.col("item-price").cast("decimal(18,4)")).alias("raw_price"))
     top = spark.read.parquet(f"{base}/summary").filter("is_total").select(
@@ -294,7 +296,7 @@ def q_daily_job(spark, sf):
     write_flat_files(_text(V.inventory_view(spark, sf)), landing_folder(landing, INVENTORY_REPORT), BY)
     run_daily_job(spark, landing, V.whole_range_requests(spark, sf), V.AS_OF, out)
     index = spark.read.parquet(f"{out}/report_index")
-    return index.withColumn(ACCOUNT, F.col(ACCOUNT).cast("string")).select(*WINDOW_BY, "units_sold", "revenue", "report_name", "status")
+    return index.select(*WINDOW_BY, "units_sold", "revenue", "report_name", "status")
 
 
 def q_report_type_dispatch(spark, sf):

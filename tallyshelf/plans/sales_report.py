@@ -31,8 +31,14 @@ class SalesReport:
     """summary: total row first, then products by units sold. index: one row per report with its title and status."""
 
     summary: DataFrame
-    raw_data: DataFrame
     index: DataFrame
+    lines: DataFrame
+    by: tuple[str, ...]
+
+    @property
+    def raw_data(self) -> DataFrame:
+        """The cleaned order lines of the reports that were made."""
+        return raw_rows(reported_rows(self.lines, self.index, self.by))
 
 
 def report_order() -> list[Column]:
@@ -139,11 +145,10 @@ def sales_report(
     fine = blocks.join(status.filter(F.col("status") == OK).select(*by), list(by), "left_semi")
     summary = _summary_rows(rank_rows(ordered, fine, by, first=2), _totals(fine, by), by)
 
-    index = scratch.table(_index_rows(status, _totals(blocks, by), by), "index")
-    raw = raw_rows(reported_rows(lines, index, by))
+    index = _index_rows(status, _totals(blocks, by), by)
     if requested is not None:
         index = cover_accounts(requested, index, by)
-    return SalesReport(summary, raw, index)
+    return SalesReport(summary, index, lines, tuple(by))
 
 
 def account_sales_report(
