@@ -14,10 +14,10 @@ from tallyshelf.functions.dates import iso_utc
 from tallyshelf.operators.chunks import merge_chunks, union_chunks
 from tallyshelf.operators.clean import clean_orders, clean_stock, quarantine
 from tallyshelf.operators.coverage import cover_accounts
-from tallyshelf.operators.ranking import block_sizes, rank_rows, sort_into_blocks
+from tallyshelf.operators.ranking import block_starts, rank_rows, sort_into_blocks
 from tallyshelf.operators.report_log import latest_ready, resolve_reports
 from tallyshelf.operators.requests import in_window, preset_requests, resolve_windows, split_windows
-from tallyshelf.operators.sku_sales import sales_by_sku, sku_rollup, sold_units
+from tallyshelf.operators.sku_sales import paid_orders, sales_by_sku, sku_rollup, sold_units
 from tallyshelf.operators.stock import stock_per_sku, with_stock
 from tallyshelf.plans.daily_job import run_daily_job
 from tallyshelf.plans.on_hand import on_hand_index, on_hand_report
@@ -89,7 +89,7 @@ def q_window_filter(spark, sf):
 
 
 def q_sales_by_sku(spark, sf):
-    return sales_by_sku(clean_orders(V.orders_view(spark, sf)), BY)
+    return sales_by_sku(clean_orders(paid_orders(V.orders_view(spark, sf))), BY)
 
 
 def q_units_by_sku(spark, sf):
@@ -317,7 +317,7 @@ def q_ranked_lines(spark, sf):
     """Positions of all order lines of an account by price, equal lines counted and written out again."""
     lines = clean_orders(V.orders_view(spark, sf)).groupBy(ACCOUNT, "item_price").agg(F.count(F.lit(1)).alias("copies"))
     ordered = sort_into_blocks(lines, BY, [F.col("item_price").desc()], Scratch(spark))
-    return rank_rows(ordered, block_sizes(ordered, BY), BY)
+    return rank_rows(ordered, block_starts(ordered, BY), BY)
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

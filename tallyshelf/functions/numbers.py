@@ -17,8 +17,14 @@ AMOUNT_TYPE = "decimal(18,4)"
 EXPONENT_NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)[eE][+-]?[0-9]+\s*$"
 
 
-def blank_to_null(c: Column, tokens: Sequence[str] = NULL_TOKENS) -> Column:
-    return F.when(~c.isin(*tokens), c) if tokens else c
+def is_token(name: str, tokens: Sequence[str]) -> Column:
+    listed = ", ".join(f"'{t}'" for t in tokens)
+    return F.expr(f"`{name}` IN ({listed})")
+
+
+def blank_to_null(name: str, tokens: Sequence[str] = NULL_TOKENS) -> Column:
+    """Text column `name` with the texts that stand for a missing value as NULL."""
+    return F.when(~is_token(name, tokens), F.col(f"`{name}`")) if tokens else F.col(f"`{name}`")
 
 
 def amount(df: DataFrame, name: str) -> Column:
@@ -28,6 +34,8 @@ def amount(df: DataFrame, name: str) -> Column:
     """
     c = F.col(f"`{name}`")
     dtype = df.schema[name].dataType
+    if dtype.simpleString() == AMOUNT_TYPE:
+        return c
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
         return F.when(~F.isnan(c), c).try_cast(AMOUNT_TYPE)
     if not isinstance(dtype, T.StringType):
@@ -42,7 +50,7 @@ def amount_or_zero(df: DataFrame, name: str, tokens: Sequence[str] = NULL_TOKENS
     missing = c.isNull()
     dtype = df.schema[name].dataType
     if isinstance(dtype, T.StringType) and tokens:
-        missing = missing | c.isin(*tokens)
+        missing = missing | is_token(name, tokens)
     elif isinstance(dtype, (T.DoubleType, T.FloatType)):
         missing = missing | F.isnan(c)
     return F.when(missing, F.lit(0).cast(AMOUNT_TYPE)).otherwise(amount(df, name))

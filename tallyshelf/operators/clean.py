@@ -21,7 +21,9 @@ def require_columns(df: DataFrame, required: Sequence[str], error: type[Exceptio
 
 
 def _text(df: DataFrame, name: str, tokens: Sequence[str]) -> Column:
-    return blank_to_null(F.col(name).cast("string"), tokens)
+    if isinstance(df.schema[name].dataType, T.StringType):
+        return blank_to_null(name, tokens)
+    return F.col(name).cast("string")
 
 
 def clean_orders(orders: DataFrame, null_tokens: Sequence[str] = C.NULL_TOKENS) -> DataFrame:

@@ -39,19 +39,24 @@ def sort_into_blocks(rows: DataFrame, by: Sequence[str], order: Sequence[Column]
     return scratch.table(rows, "sorted")
 
 
-def block_sizes(rows: DataFrame, by: Sequence[str], *sums: Column) -> DataFrame:
-    """One row per group and block: as many as groups plus blocks, whatever the number of rows."""
-    return rows.groupBy(*by, "block").agg(
+def block_starts(rows: DataFrame, by: Sequence[str], *sums: Column) -> DataFrame:
+    """One row per group and block with `shift`, what turns a seat into a 0-based position, and the `sums`.
+
+    As many rows as groups plus blocks, whatever the number of rows; the window runs over those only.
+    """
+    blocks = rows.groupBy(*by, "block").agg(
         F.min("seat").alias("first_seat"), F.count(F.lit(1)).alias("block_rows"), *sums
     )
+    before = Window.partitionBy(*by).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    shift = F.coalesce(F.sum("block_rows").over(before), F.lit(0)) - F.col("first_seat")
+    return blocks.withColumn("shift", shift).drop("first_seat", "block_rows")
 
 
-def rank_rows(rows: DataFrame, blocks: DataFrame, by: Sequence[str], first: int = 1) -> DataFrame:
-    """Adds `report_rank`, counting from `first` in every group. Groups without blocks drop out."""
-    before = Window.partitionBy(*by).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = blocks.select(
-        *by, "block", (F.coalesce(F.sum("block_rows").over(before), F.lit(0)) - F.col("first_seat")).alias("shift")
-    )
-    return rows.join(starts, [*by, "block"]).withColumn(
-        "report_rank", (F.col("seat") + F.col("shift") + first).cast("bigint")
-    ).drop("block", "seat", "shift")
+def rank_rows(rows: DataFrame, starts: DataFrame, by: Sequence[str], first: int = 1) -> DataFrame:
+    """Adds `report_rank`, counting from `first` in every group. Groups that `starts` lacks drop out.
+
+    Pass `starts` as a written table: its size is then known, and decides whether it is broadcast.
+    """
+    ranked = rows.join(starts.select(*by, "block", "shift"), [*by, "block"])
+    rank = (F.col("seat") + F.col("shift") + first).cast("bigint")
+    return ranked.withColumn("report_rank", rank).drop("block", "seat", "shift")

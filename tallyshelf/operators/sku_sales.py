@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyshelf.operators.clean import zero
 
@@ -14,8 +15,19 @@ def _sum(c: Column | str) -> Column:
     return F.coalesce(F.sum(c), zero())
 
 
+def paid_orders(orders: DataFrame) -> DataFrame:
+    """Order lines with a price above zero, before cleaning: on a numeric column the scan itself skips the others.
+
+    Prices held as text are left to the cleaning step.
+    """
+    price = "item_price" if "item_price" in orders.columns else "item-price"
+    if not isinstance(orders.schema[price].dataType, T.NumericType):
+        return orders
+    return orders.filter(F.col(f"`{price}`") > 0)
+
+
 def sales_by_sku(lines: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Units and revenue per SKU and product over paid lines; the price filter reaches the scan."""
+    """Units and revenue per SKU and product over paid lines."""
     keyed = F.col("sku").isNotNull() & F.col("product_name").isNotNull()
     return (
         lines.filter((F.col("item_price") > 0) & keyed)

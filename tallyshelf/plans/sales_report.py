@@ -13,7 +13,7 @@ from tallyshelf.errors import ZeroSalesError
 from tallyshelf.functions.text import sales_title
 from tallyshelf.operators.clean import clean_orders, clean_stock
 from tallyshelf.operators.coverage import NO_ORDERS, NO_POSITIVE_SALES, OK, ZERO_REVENUE, cover_accounts
-from tallyshelf.operators.ranking import block_sizes, rank_rows, sort_into_blocks
+from tallyshelf.operators.ranking import block_starts, rank_rows, sort_into_blocks
 from tallyshelf.operators.sku_sales import sku_rollup, sold_products
 from tallyshelf.operators.stock import stock_per_sku, with_stock
 from tallyshelf.scratch import Scratch
@@ -59,8 +59,14 @@ def gates(rollup: DataFrame, by: Sequence[str]) -> DataFrame:
     )
 
 
-def _totals(blocks: DataFrame, by: Sequence[str]) -> DataFrame:
-    return blocks.groupBy(*by).agg(
+def _ledger(status: DataFrame, ordered: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Status, dates and sorted blocks of every report: all that is needed besides the product rows."""
+    sums = (F.sum("units_sold").alias("block_units"), F.sum("revenue").alias("block_revenue"))
+    return status.join(block_starts(ordered, by, *sums), list(by), "left")
+
+
+def _totals(ledger: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return ledger.groupBy(*keys).agg(
         F.sum("block_units").alias("units_sold"), F.sum("block_revenue").alias("revenue")
     )
 
@@ -85,13 +91,13 @@ def _summary_rows(ranked: DataFrame, totals: DataFrame, by: Sequence[str]) -> Da
     return products.unionByName(total_rows)
 
 
-def _index_rows(status: DataFrame, totals: DataFrame, by: Sequence[str]) -> DataFrame:
-    joined = status.join(totals, list(by), "left")
+def _index_rows(ledger: DataFrame, by: Sequence[str]) -> DataFrame:
+    reports = _totals(ledger, [*by, "start_date", "end_date", "days", "status"])
     fine = F.col("status") == OK
     account = F.col(ACCOUNT) if ACCOUNT in by else F.lit(None).cast("string")
     title = sales_title(account, F.col("start_date"), F.col("end_date"), F.col("days"),
                         F.col("units_sold"), F.col("revenue"))
-    return joined.select(
+    return reports.select(
         *by, "start_date", "end_date", "days",
         F.when(fine, F.col("units_sold").cast("double")).alias("units_sold"),
         F.when(fine, F.col("revenue").cast("double")).alias("revenue"),
@@ -140,12 +146,11 @@ def sales_report(
     products = with_stock(sold_products(rollup, by), stock, by)
     ordered = sort_into_blocks(products, by, report_order(), scratch)
 
-    sums = (F.sum("units_sold").alias("block_units"), F.sum("revenue").alias("block_revenue"))
-    blocks = block_sizes(ordered, by, *sums)
-    fine = blocks.join(status.filter(F.col("status") == OK).select(*by), list(by), "left_semi")
-    summary = _summary_rows(rank_rows(ordered, fine, by, first=2), _totals(fine, by), by)
+    ledger = scratch.table(_ledger(status, ordered, by), "ledger")
 
-    index = _index_rows(status, _totals(blocks, by), by)
+    fine = ledger.filter(F.col("status") == OK)
+    summary = _summary_rows(rank_rows(ordered, fine, by, first=2), _totals(fine, by), by)
+    index = _index_rows(ledger, by)
     if requested is not None:
         index = cover_accounts(requested, index, by)
     return SalesReport(summary, index, lines, tuple(by))
