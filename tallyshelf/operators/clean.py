@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -60,7 +62,7 @@ def quarantine(orders: DataFrame, null_tokens: Sequence[str] = C.NULL_TOKENS) ->
         "quantity_unreadable": amount_or_zero(df, "quantity", null_tokens).isNull(),
     }
     reasons = F.array_compact(F.array(*[F.when(bad, F.lit(name)) for name, bad in checks.items()]))
-    return df.withColumn("reasons", reasons).filter(F.size("reasons") > 0)
+    return df.filter(reduce(or_, checks.values())).withColumn("reasons", reasons)
 
 
 def canonical_numbers(df: DataFrame, names: Sequence[str]) -> DataFrame:
