@@ -18,7 +18,7 @@ KEYS = (ACCOUNT, "report_type")
 def latest_ready(log: DataFrame) -> DataFrame:
     """The ready report that ended last, per account and report type; equal times go to the smaller id.
 
-    A minimum over (time, id) pairs: every map task sends on one row per key, and nothing is sorted.
+    A minimum over (time, id) pairs: every map task sends on one row per key, however many reports that has.
     """
     ended = F.try_to_timestamp(F.col("processing_end_time").cast("string"))
     ready = log.filter(F.col("processing_status") == READY).withColumn("ended", ended).filter("ended IS NOT NULL")
