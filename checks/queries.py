@@ -106,7 +106,7 @@ def q_sales_with_stock(spark, sf):
 
 
 def q_sales_totals(spark, sf):
-    return q_sales_report(spark, sf).filter("is_total").drop("is_total", "remaining_units", "report_rank")
+    return _report(spark, sf).totals
 
 
 def q_sales_report_repeated_stock(spark, sf):

@@ -56,6 +56,14 @@ def resolve_windows(requests: DataFrame, as_of: Column | str, max_days: int | No
     })
 
 
+def require_valid(resolved: DataFrame) -> DataFrame:
+    """`resolved` requests when all are valid; raises with the first error otherwise."""
+    wrong = resolved.filter(F.col("error").isNotNull()).select("error").head(1)
+    if wrong:
+        raise ValueError(wrong[0]["error"])
+    return resolved
+
+
 def split_windows(requests: DataFrame, as_of: Column | str, max_days: int = MAX_DAYS) -> DataFrame:
     """Valid requests of any length as consecutive windows of at most `max_days`, numbered from 1.
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyshelf.columns import ACCOUNT
 from tallyshelf.functions.numbers import money_text, thousands_text
+from tallyshelf.scratch import Scratch
 
 # Fixed value: a data bar is empty at this number and full at the column's maximum.
 BAR_START = 1
@@ -22,13 +23,18 @@ def _bar(value: Column, top: Column) -> Column:
     return F.when(value.isNotNull() & (top > BAR_START), F.greatest(F.lit(0.0), F.least(F.lit(1.0), share)))
 
 
-def with_bars(report: DataFrame, columns: Sequence[str] = SALES_BARS, by: Sequence[str] = (ACCOUNT,)) -> DataFrame:
+def with_bars(
+    report: DataFrame, columns: Sequence[str] = SALES_BARS, by: Sequence[str] = (ACCOUNT,),
+    scratch: Scratch | None = None,
+) -> DataFrame:
     """Adds `<column>_bar` between 0 and 1 on product rows, against the largest product of the same report.
 
-    The maxima are a plain aggregate joined back, so a large report is never gathered in a window.
+    The maxima are an aggregate, written so that their size is known before they are joined back: a large report is
+    neither gathered in a window nor shuffled.
     """
     is_product = ~F.col("is_total") if "is_total" in report.columns else F.lit(True)
     tops = report.filter(is_product).groupBy(*by).agg(*[F.max(c).alias(f"{c}_top") for c in columns])
+    tops = (scratch or Scratch(report.sparkSession)).table(tops, "tops")
     joined = report.join(tops, list(by), "left")
     bars = {f"{c}_bar": F.when(is_product, _bar(F.col(c), F.col(f"{c}_top"))) for c in columns}
     return joined.withColumns(bars).drop(*[f"{c}_top" for c in columns])

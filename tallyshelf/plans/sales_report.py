@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,21 +27,6 @@ TOTAL_PRODUCT = ""
 BROADCAST_KEYS = 100_000
 
 
-@dataclass(frozen=True)
-class SalesReport:
-    """summary: total row first, then products by units sold. index: one row per report with its title and status."""
-
-    summary: DataFrame
-    index: DataFrame
-    lines: DataFrame
-    by: tuple[str, ...]
-
-    @property
-    def raw_data(self) -> DataFrame:
-        """The cleaned order lines of the reports that were made."""
-        return raw_rows(reported_rows(self.lines, self.index, self.by))
-
-
 def report_order() -> list[Column]:
     return [F.col("units_sold").desc(), F.col("product_name"), F.col("sku"), F.col("remaining_units")]
 
@@ -106,9 +92,9 @@ def _index_rows(ledger: DataFrame, by: Sequence[str]) -> DataFrame:
     )
 
 
-def reported_rows(rows: DataFrame, index: DataFrame, by: Sequence[str]) -> DataFrame:
-    """`rows` of reports that were made. The reports that were not are few: counted before they are broadcast."""
-    dropped = index.filter(F.col("status") != OK).select(*by)
+def reported_rows(rows: DataFrame, status: DataFrame, by: Sequence[str]) -> DataFrame:
+    """`rows` of reports that are OK. The others are few: counted before they are broadcast."""
+    dropped = status.filter(F.col("status") != OK).select(*by)
     count = dropped.count()
     if count == 0:
         return rows
@@ -124,6 +110,63 @@ def raw_rows(lines: DataFrame) -> DataFrame:
     })
 
 
+@dataclass
+class SalesReport:
+    """The parts of the report, each planned when first asked for.
+
+    Order lines are read once for everything but the raw data. What is written in between has one row per SKU and
+    product (`rollup`, `ordered`) or per report and sorted block (`ledger`).
+    """
+
+    lines: DataFrame
+    stock: DataFrame
+    by: tuple[str, ...]
+    scratch: Scratch
+    requested: DataFrame | None = None
+
+    @cached_property
+    def rollup(self) -> DataFrame:
+        return self.scratch.table(sku_rollup(self.lines, self.by), "rollup")
+
+    @cached_property
+    def status(self) -> DataFrame:
+        """Date range and status of each report."""
+        return gates(self.rollup, self.by)
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return with_stock(sold_products(self.rollup, self.by), self.stock, self.by)
+
+    @cached_property
+    def ordered(self) -> DataFrame:
+        return sort_into_blocks(self.products, self.by, report_order(), self.scratch)
+
+    @cached_property
+    def ledger(self) -> DataFrame:
+        return self.scratch.table(_ledger(self.status, self.ordered, self.by), "ledger")
+
+    @cached_property
+    def totals(self) -> DataFrame:
+        return _totals(self.ledger.filter(F.col("status") == OK), self.by)
+
+    @cached_property
+    def summary(self) -> DataFrame:
+        """Total row first, then products by units sold, for the reports that are OK."""
+        made = self.ledger.filter(F.col("status") == OK)
+        return _summary_rows(rank_rows(self.ordered, made, self.by, first=2), self.totals, self.by)
+
+    @cached_property
+    def index(self) -> DataFrame:
+        """One row per report with its title and status, and one for each requested report without orders."""
+        index = _index_rows(self.ledger, self.by)
+        return index if self.requested is None else cover_accounts(self.requested, index, self.by)
+
+    @cached_property
+    def raw_data(self) -> DataFrame:
+        """The cleaned order lines of the reports that are OK."""
+        return raw_rows(reported_rows(self.lines, self.status, self.by))
+
+
 def sales_report(
     orders: DataFrame,
     inventory: DataFrame,
@@ -134,26 +177,14 @@ def sales_report(
 ) -> SalesReport:
     """Sales per SKU with stock, totals, positions and titles, for each combination of the `by` columns.
 
-    Reads the order lines once. What is written in between, the roll-up and the sorted product rows, has one row per
-    SKU and product. `requested` lists reports that shall have an index row even without orders.
+    `requested` lists reports that shall have an index row even without orders.
     """
-    scratch = scratch or Scratch(orders.sparkSession)
     lines = clean_orders(with_keys(orders, by))
-    stock = stock_per_sku(clean_stock(inventory), by, inventory_policy)
-
-    rollup = scratch.table(sku_rollup(lines, by), "rollup")
-    status = gates(rollup, by)
-    products = with_stock(sold_products(rollup, by), stock, by)
-    ordered = sort_into_blocks(products, by, report_order(), scratch)
-
-    ledger = scratch.table(_ledger(status, ordered, by), "ledger")
-
-    fine = ledger.filter(F.col("status") == OK)
-    summary = _summary_rows(rank_rows(ordered, fine, by, first=2), _totals(fine, by), by)
-    index = _index_rows(ledger, by)
-    if requested is not None:
-        index = cover_accounts(requested, index, by)
-    return SalesReport(summary, index, lines, tuple(by))
+    stock = clean_stock(inventory)
+    if ACCOUNT in stock.columns:
+        stock = with_keys(stock, [ACCOUNT])
+    stock = stock_per_sku(stock, by, inventory_policy)
+    return SalesReport(lines, stock, tuple(by), scratch or Scratch(orders.sparkSession), requested)
 
 
 def account_sales_report(
@@ -161,19 +192,20 @@ def account_sales_report(
 ) -> SalesReport:
     """The report of one account; raises when there is nothing to report.
 
-    Tables without an account column are taken to be the account's own.
+    Tables without an account column, or no account named, are taken to be one account's own.
     """
-    if ACCOUNT in orders.columns and account is not None:
-        orders = orders.filter(F.col(ACCOUNT) == account)
-    else:
-        orders = orders.withColumn(ACCOUNT, F.lit(account or ""))
-    report = sales_report(orders, inventory, inventory_policy=inventory_policy)
-    require_sales(report.index)
+    def own(df: DataFrame) -> DataFrame:
+        if ACCOUNT in df.columns and account is not None:
+            return df.filter(F.col(ACCOUNT) == account)
+        return df.withColumn(ACCOUNT, F.lit(account or ""))
+
+    report = sales_report(own(orders), own(inventory), inventory_policy=inventory_policy)
+    require_sales(report.status)
     return report
 
 
-def require_sales(index: DataFrame) -> None:
-    first = index.select("status").head(1)
-    status = first[0]["status"] if first else NO_ORDERS
-    if status != OK:
-        raise ZeroSalesError(f"no sales for this account and range: {status}")
+def require_sales(status: DataFrame) -> None:
+    first = status.select("status").head(1)
+    found = first[0]["status"] if first else NO_ORDERS
+    if found != OK:
+        raise ZeroSalesError(f"no sales for this account and range: {found}")

@@ -24,21 +24,25 @@ def shared_folder(spark: SparkSession) -> str:
 class Scratch:
     """Tables written once and read many times: they cut lineage and survive lost executors.
 
-    Results built on a scratch table stay valid until `clear()`, which a job calls after its own outputs are written.
+    Results built on them stay valid until `clear()`, which a job calls after writing its own outputs. Whatever is
+    left goes when the driver ends.
     """
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.folder = f"{shared_folder(spark)}/tallyshelf-{uuid.uuid4().hex}"
+        self._path = spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        self._files = self._path.getFileSystem(spark._jsc.hadoopConfiguration())
+        self._files.mkdirs(self._path)
+        self._files.deleteOnExit(self._path)
+
+    def path(self, name: str) -> str:
+        return f"{self.folder}/{name}-{uuid.uuid4().hex[:8]}"
 
     def table(self, df: DataFrame, name: str) -> DataFrame:
-        path = f"{self.folder}/{name}-{uuid.uuid4().hex[:8]}"
+        path = self.path(name)
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def path(self, name: str) -> str:
-        return f"{self.folder}/{name}-{uuid.uuid4().hex[:8]}"
-
     def clear(self) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        self._files.delete(self._path, True)

@@ -21,13 +21,13 @@ def write_partitions(
     """Replaces the partitions `df` has rows for and leaves the others alone.
 
     Each partition's rows go to few files, and a large partition is split over several tasks: by ranges of `order`
-    for rows that are cheap to sample, such as ranked ones, otherwise by size, which takes no second pass.
+    for rows that are cheap to sample, such as ranked ones, which are then in order in the files; otherwise by size,
+    which takes no second pass.
     """
     if fmt not in FORMATS:
         raise ValueError(f"format must be one of {FORMATS}")
     if order:
-        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        df = df.repartitionByRange(tasks, *by, order)
+        df = df.repartitionByRange(*by, order).sortWithinPartitions(*by, order)
     else:
         df = df.hint("rebalance", *by)
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

@@ -67,6 +67,13 @@ def test_only_written_partitions_are_replaced(spark, tmp_path):
         assert sorted((a, int(n)) for a, n in listed(read, ACCOUNT, "n")) == [("ab", 1), ("cd", 2)]
 
 
+def test_report_files_are_in_order(spark, tmp_path):
+    df = spark.range(100).select(F.lit("ab").alias(ACCOUNT), (100 - F.col("id")).alias("report_rank")).repartition(3)
+    write_partitions(df, str(tmp_path / "t"), order="report_rank")
+    ranks = [r[0] for r in spark.read.parquet(str(tmp_path / "t")).select("report_rank").collect()]
+    assert ranks == list(range(1, 101))
+
+
 def test_a_large_partition_is_written_by_several_tasks(many_blocks, tmp_path):
     df = many_blocks.range(4000).select(F.lit("hot").alias(ACCOUNT), F.col("id").alias("report_rank"))
     write_partitions(df, str(tmp_path / "t"), order="report_rank")

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyshelf.columns import ACCOUNT, to_internal
-from tallyshelf.operators.requests import in_window, preset_requests, resolve_windows, split_windows
+from tallyshelf.operators.requests import in_window, preset_requests, require_valid, resolve_windows, split_windows
 from tests.tables import listed, orders
 
 NOW = "2024-11-25T12:00:00"
@@ -49,6 +49,13 @@ def test_days_across_a_clock_change(spark):
     assert (row.start_iso, row.end_iso) == ("2024-03-10T05:00:00+00:00", "2024-03-11T04:00:00+00:00")
 
 
+def test_require_valid(spark):
+    good, bad = ("ab", "11-20-2024", "11-21-2024"), ("ab", "11-21-2024", "11-20-2024")
+    assert require_valid(resolve_windows(asked(spark, good), NOW)).count() == 1
+    with pytest.raises(ValueError, match="before"):
+        require_valid(resolve_windows(asked(spark, good, bad), NOW))
+
+
 def test_split(spark):
     rows = split_windows(asked(spark, ("ab", "1-1-2024", "3-5-2024")), NOW).orderBy("window_no").collect()
     assert [(r.window_no, str(r.start_utc), str(r.end_utc)) for r in rows] == [
