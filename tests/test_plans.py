@@ -8,6 +8,7 @@ from checks import queries, views
 from tallyshelf import Scratch
 from tallyshelf.columns import ACCOUNT
 from tallyshelf.operators.clean import clean_orders
+from tallyshelf.operators.copies import CHUNK, SPAN
 from tallyshelf.operators.ranking import block_starts, rank_rows, sort_into_blocks
 from tallyshelf.operators.report_log import latest_ready
 from tallyshelf.operators.requests import in_window, resolve_windows
@@ -80,3 +81,19 @@ def test_positions_equal_a_window_over_the_group(many_blocks):
     want = rows.withColumn("report_rank", F.row_number().over(Window.partitionBy(ACCOUNT).orderBy(*order)).cast("bigint"))
     assert got.count() == 5000
     assert got.exceptAll(want.select(got.columns)).count() == 0
+
+
+def test_copies_are_written_out_whole_by_several_tasks(many_blocks):
+    rows = many_blocks.createDataFrame(
+        [("hot", 1, 150_000), ("hot", 2, 1), ("a", 1, CHUNK), ("a", 2, CHUNK + 1), ("b", 1, 2 * CHUNK * SPAN)],
+        f"{ACCOUNT} string, n int, copies bigint",
+    )
+    ordered = sort_into_blocks(rows, [ACCOUNT], [F.col("n").asc()], Scratch(many_blocks))
+    got = rank_rows(ordered, block_starts(ordered, [ACCOUNT]), [ACCOUNT])
+    assert ordered.filter(F.col(ACCOUNT) == "hot").select("block").distinct().count() > 1
+    spans = got.groupBy(ACCOUNT, "n").agg(F.count("*"), F.min("report_rank"), F.max("report_rank"), F.countDistinct("report_rank"))
+    assert sorted(tuple(r) for r in spans.collect()) == [
+        ("a", 1, CHUNK, 1, CHUNK, CHUNK), ("a", 2, CHUNK + 1, CHUNK + 1, 2 * CHUNK + 1, CHUNK + 1),
+        ("b", 1, 2 * CHUNK * SPAN, 1, 2 * CHUNK * SPAN, 2 * CHUNK * SPAN),
+        ("hot", 1, 150_000, 1, 150_000, 150_000), ("hot", 2, 1, 150_001, 150_001, 1),
+    ]
