@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from checks import views as V
-from tallyshelf.columns import ACCOUNT, INVENTORY_REPORT, ORDERS_REPORT, to_internal
+from tallyshelf.columns import ACCOUNT, INVENTORY_REPORT, ORDERS_REPORT
 from tallyshelf.functions.dates import iso_utc
 from tallyshelf.operators.chunks import merge_chunks, union_chunks
 from tallyshelf.operators.clean import clean_orders, clean_stock, quarantine
@@ -70,8 +70,7 @@ def q_raw_data(spark, sf):
 
 def _windowed(spark, sf) -> DataFrame:
     windows = split_windows(V.whole_range_requests(spark, sf), V.AS_OF).select(*WINDOW_BY)
-    return in_window(to_internal(V.orders_view(spark, sf)).withColumn(
-        "purchase_date_fmt", F.substring_index("purchase_date", "T", 1).cast("date")), windows)
+    return in_window(V.orders_view(spark, sf), windows)
 
 
 def q_sales_report_by_window(spark, sf):

@@ -28,6 +28,8 @@ def asked(spark, *rows):
 def test_files_to_reports_twice(spark, tmp_path):
     out = str(tmp_path / "out")
     land(spark, tmp_path / "landing")
+    late = tmp_path / "landing" / ORDERS_REPORT / f"{ACCOUNT}=cd" / "late.txt"
+    late.write_text("quantity\tsku\tproduct-name\titem-price\tpurchase-date\n1\tz\tpz\t0\t2024-11-10T12:00:00Z\n1\t2\t3\t4\t5\t6\n")
     requests = asked(spark, ("ab", "11-01-2024", "11-20-2024"), ("cd", "11-01-2024", "11-20-2024"),
                      ("ef", "11-01-2024", "11-20-2024"), ("ab", "11-20-2024", "11-01-2024"))
     for _ in range(2):
@@ -41,6 +43,7 @@ def test_files_to_reports_twice(spark, tmp_path):
         index = spark.read.parquet(f"{out}/report_index")
         assert sorted(listed(index, ACCOUNT, "status")) == [("ab", "OK"), ("cd", "ZERO_REVENUE"), ("ef", "NO_ORDERS")]
         assert listed(spark.read.parquet(f"{out}/quarantine"), "item_price") == [("x",)]
+        assert listed(spark.read.parquet(f"{out}/rejected_lines"), ACCOUNT, "line") == [("cd", "1\t2\t3\t4\t5\t6")]
         assert listed(spark.read.parquet(f"{out}/refused_requests"), ACCOUNT, "end_date") == [("ab", "11-01-2024")]
         on_hand = spark.read.parquet(f"{out}/on_hand").orderBy(ACCOUNT, "report_rank")
         assert listed(on_hand, ACCOUNT, "sku", "on-hand", "received") == [("ab", "a", 7.0, 9.0), ("cd", "z", 3.0, 4.0)]

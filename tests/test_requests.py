@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tallyshelf.columns import ACCOUNT, to_internal
+from tallyshelf.columns import ACCOUNT
 from tallyshelf.operators.requests import in_window, preset_requests, require_valid, resolve_windows, split_windows
 from tests.tables import listed, orders
 
@@ -93,8 +93,7 @@ def test_lines_in_windows_by_instant(spark):
         "2024-11-05T04:59:59+00:00", "2024-11-05T05:00:00+00:00", "2024-11-05T23:30:00-08:00", "2024-11-06T00:30:00+05:00",
         "2024-11-06T04:59:59Z", "2024-11-06T05:00:00Z", "junk", None,
     ]
-    o = to_internal(orders(spark, *[(str(i), "p", "1", "1", d) for i, d in enumerate(dates)]))
-    o = o.withColumn("purchase_date_fmt", F.substring_index("purchase_date", "T", 1).try_cast("date"))
+    o = orders(spark, *[(str(i), "p", "1", "1", d) for i, d in enumerate(dates)])
     windows = resolve_windows(asked(spark, ("ab", "11-5-2024", "11-6-2024"), ("cd", "11-5-2024", "11-6-2024")), NOW)
     kept = in_window(o, windows.select(ACCOUNT, "start_utc", "end_utc"))
     # 2024-11-05 23:30 at -08:00 is the next day's 07:30 UTC; 00:30 at +05:00 is the day before, 19:30 UTC.
@@ -102,7 +101,6 @@ def test_lines_in_windows_by_instant(spark):
 
 
 def test_overlapping_windows_each_get_the_line(spark):
-    o = to_internal(orders(spark, ("a", "p", "1", "1", "2024-11-05T12:00:00Z")))
-    o = o.withColumn("purchase_date_fmt", F.lit("2024-11-05").cast("date"))
+    o = orders(spark, ("a", "p", "1", "1", "2024-11-05T12:00:00Z"))
     windows = resolve_windows(asked(spark, ("ab", "11-4-2024", "11-6-2024"), ("ab", "11-5-2024", "11-7-2024")), NOW)
     assert in_window(o, windows.select(ACCOUNT, "start_utc", "end_utc")).count() == 2
