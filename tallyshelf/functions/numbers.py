@@ -57,14 +57,16 @@ def amount_or_zero(df: DataFrame, name: str, tokens: Sequence[str] = NULL_TOKENS
 
 
 def money_text(c: Column) -> Column:
+    """Dollars and cents; halves round away from zero, as a cell format does."""
     sign = F.when(c < 0, F.lit("-")).otherwise(F.lit(""))
-    return F.concat(sign, F.lit("$"), F.format_number(F.abs(c), 2))
+    return F.concat(sign, F.lit("$"), F.format_number(F.round(F.abs(c), 2), 2))
 
 
 def thousands_text(c: Column) -> Column:
-    return F.format_number(c, 0)
+    return F.format_number(F.round(c, 0), 0)
 
 
 def integral_text(c: Column) -> Column:
-    """Whole amounts print without a fraction, others as the shortest decimal."""
-    return F.when(c == F.floor(c), F.floor(c).cast("bigint").cast("string")).otherwise(c.cast("double").cast("string"))
+    """An exact amount without needless digits: 12, 2.5, 12345678.25."""
+    whole = F.floor(c).cast("bigint").cast("string")
+    return F.when(c == F.floor(c), whole).otherwise(F.rtrim(c.cast("string"), F.lit("0")))

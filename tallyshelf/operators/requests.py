@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyshelf.columns import ACCOUNT, to_internal
-from tallyshelf.functions.dates import REQUEST_ZONE, eastern_midnight_utc, iso_utc, purchase_day, request_day, title_day, whole_days
+from tallyshelf.functions.dates import (
+    REQUEST_ZONE, eastern_midnight_utc, iso_utc, purchase_day, request_day, title_day, whole_days,
+)
 
 # The longest window of one report, the default window, and the preset ranges, in days.
 MAX_DAYS = 31
@@ -115,6 +117,7 @@ def in_window(orders: DataFrame, windows: DataFrame, keys: Sequence[str] = (ACCO
     if "purchase_date_fmt" not in orders.columns:
         orders = orders.withColumn("purchase_date_fmt", purchase_day(F.col("purchase_date")))
     instant = F.try_to_timestamp(F.col("purchase_date").cast("string"))
-    return orders.join(listed, [*keys, "purchase_date_fmt"]).filter(
+    found = orders.join(listed, [*keys, "purchase_date_fmt"]).filter(
         (instant >= F.col("start_utc")) & (instant < F.col("end_utc"))
     )
+    return found.select(*[F.col(f"`{c}`") for c in [*orders.columns, *windows.columns] if c not in keys], *keys)

@@ -27,7 +27,9 @@ def scan_stored(spark: SparkSession, path: str, suffix: str | None = None) -> Da
     raise TypeError(f"only csv, tsv and txt files can be read, not {suffix!r}")
 
 
-def scan_records(spark: SparkSession, path: str, columns: Sequence[str] | None = None, lines: bool = False) -> DataFrame:
+def scan_records(
+    spark: SparkSession, path: str, columns: Sequence[str] | None = None, lines: bool = False
+) -> DataFrame:
     """Files that each hold an array of row objects, or with `lines` one object per line. Values come as text.
 
     Name the `columns` to avoid the extra pass that looks for them. Use `lines` for large files: an array is read by

@@ -78,6 +78,13 @@ def test_title_dates(spark, last, dates):
     assert row.report_name == f"AB Sales {dates} (2.5 units, $2.00)"
 
 
+@pytest.mark.parametrize("quantity, text", [("12", "12"), ("2.5", "2.5"), ("12345678.25", "12345678.25"), ("10.10", "10.1"),
+                                            ("x", "0"), ("1e7", "10000000")])
+def test_units_in_titles(spark, quantity, text):
+    report = sales_report(orders(spark, ("a", "p", "1", quantity)), stock(spark, ("a", "1")))
+    assert f"({text} units, $1.00)" in report.index.collect()[0].report_name
+
+
 @pytest.mark.parametrize("account", ["", None])
 def test_title_without_account(spark, account):
     o = orders(spark, ("a", "p", "1", "1", "2024-11-01", account))
@@ -196,3 +203,9 @@ def test_sales_by_sku_keeps_negative_and_free_lines_out(spark):
     from tallyshelf.operators.clean import clean_orders
     o = orders(spark, ("a", "p", "2", "1"), ("a", "p", "-2", "1"), ("a", "p", "0", "5"))
     assert [(float(r.units_sold), float(r.revenue)) for r in sales_by_sku(clean_orders(o), [ACCOUNT]).collect()] == [(1.0, 2.0)]
+
+
+def test_display_rounds_halves_away_from_zero(spark):
+    o = orders(spark, ("a", "pa", "0.125", "2.5"), ("b", "pb", "1", "-2.5"))
+    shown = {r.sku: (r.units_sold, r.revenue) for r in sales_display(sales_report(o, stock(spark, ("a", "1"))).summary).collect()}
+    assert shown["a"] == ("3", "$0.13") and shown["b"] == ("-3", "$1.00")

@@ -101,3 +101,8 @@ def test_accounts(spark):
     assert sorted(listed(account_list(spark, ["b", "a", "b"]), ACCOUNT)) == [("a",), ("b",)]
     with pytest.raises(ValueError):
         account_list(spark, [])
+
+
+def test_quoted_line_breaks(spark, tmp_path):
+    path = put(tmp_path / "a.txt", 'sku\tnote\na\t"one\ntwo"\nb\tx\n')
+    assert listed(scan_flat_files(spark, path, multi_line=True).rows, "*") == [("a", "one\ntwo"), ("b", "x")]
