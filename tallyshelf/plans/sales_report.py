@@ -46,17 +46,24 @@ def gates(rollup: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def _ledger(status: DataFrame, ordered: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Status, dates and sorted blocks of every report: all that is needed besides the product rows."""
+    """Status and sorted blocks of every report: all that the summary needs besides the product rows."""
     sums = (F.sum("units_sold").alias("block_units"), F.sum("revenue").alias("block_revenue"))
     return status.join(block_starts(ordered, by, *sums), list(by), "left")
 
 
-def _totals(ledger: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return ledger.groupBy(*keys).agg(
+def _block_totals(ledger: DataFrame, by: Sequence[str]) -> DataFrame:
+    return ledger.groupBy(*by).agg(
         F.sum("block_units").alias("units_sold"), F.sum("block_revenue").alias("revenue")
     )
 
 
+def _product_totals(products: DataFrame, by: Sequence[str]) -> DataFrame:
+    return products.groupBy(*by).agg(
+        F.sum(F.col("units_sold") * F.col("copies")).alias("units_sold"),
+        F.sum(F.col("revenue") * F.col("copies")).alias("revenue"),
+    )
+
+
 def _summary_rows(ranked: DataFrame, totals: DataFrame, by: Sequence[str]) -> DataFrame:
     products = ranked.select(
         *by, "sku", "product_name",
@@ -77,8 +84,8 @@ def _summary_rows(ranked: DataFrame, totals: DataFrame, by: Sequence[str]) -> Da
     return products.unionByName(total_rows)
 
 
-def _index_rows(ledger: DataFrame, by: Sequence[str]) -> DataFrame:
-    reports = _totals(ledger, [*by, "start_date", "end_date", "days", "status"])
+def _index_rows(status: DataFrame, totals: DataFrame, by: Sequence[str]) -> DataFrame:
+    reports = status.join(totals, list(by), "left")
     fine = F.col("status") == OK
     account = F.col(ACCOUNT) if ACCOUNT in by else F.lit(None).cast("string")
     title = sales_title(account, F.col("start_date"), F.col("end_date"), F.col("days"),
@@ -145,9 +152,14 @@ class SalesReport:
     def ledger(self) -> DataFrame:
         return self.scratch.table(_ledger(self.status, self.ordered, self.by), "ledger")
 
-    @cached_property
+    @property
     def totals(self) -> DataFrame:
-        return _totals(self.ledger.filter(F.col("status") == OK), self.by)
+        """Units and revenue over the joined rows: from the sorted blocks once there are any, so that an index or
+        totals alone need no sort."""
+        if "ledger" in self.__dict__:
+            return _block_totals(self.ledger.filter(F.col("status") == OK), self.by)
+        made = self.status.filter(F.col("status") == OK).select(*self.by)
+        return _product_totals(self.products, self.by).join(made, list(self.by))
 
     @cached_property
     def summary(self) -> DataFrame:
@@ -158,7 +170,7 @@ class SalesReport:
     @cached_property
     def index(self) -> DataFrame:
         """One row per report with its title and status, and one for each requested report without orders."""
-        index = _index_rows(self.ledger, self.by)
+        index = _index_rows(self.status, self.totals, self.by)
         return index if self.requested is None else cover_accounts(self.requested, index, self.by)
 
     @cached_property
