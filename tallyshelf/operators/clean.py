@@ -61,14 +61,18 @@ def quarantine(orders: DataFrame, null_tokens: Sequence[str] = C.NULL_TOKENS) ->
         "item_price_unreadable": amount_or_zero(df, "item_price", null_tokens).isNull(),
         "quantity_unreadable": amount_or_zero(df, "quantity", null_tokens).isNull(),
     }
-    reasons = F.array_compact(F.array(*[F.when(bad, F.lit(name)) for name, bad in checks.items()]))
+    reasons = F.split(F.concat_ws(",", *[F.when(bad, F.lit(name)) for name, bad in checks.items()]), ",")
     return df.filter(reduce(or_, checks.values())).withColumn("reasons", reasons)
 
 
 def canonical_numbers(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Number texts in one spelling ('12.50' and '12.5' agree); other text is left as it is."""
+    """Number texts in one spelling ('12.50' and '12.5' agree). Other text, and numbers too fine to hold, stay."""
+    def spelled(n: str) -> Column:
+        exact = amount(df, n).cast("double") == F.col(f"`{n}`").try_cast("double")
+        return F.when(exact, amount(df, n).cast("string")).otherwise(F.col(f"`{n}`"))
+
     present = [n for n in names if n in df.columns and isinstance(df.schema[n].dataType, T.StringType)]
-    return df.withColumns({n: F.coalesce(amount(df, n).cast("string"), F.col(f"`{n}`")) for n in present})
+    return df.withColumns({n: spelled(n) for n in present})
 
 
 def zero() -> Column:

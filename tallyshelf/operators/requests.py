@@ -69,25 +69,24 @@ def require_valid(resolved: DataFrame) -> DataFrame:
 def split_windows(requests: DataFrame, as_of: Column | str, max_days: int = MAX_DAYS) -> DataFrame:
     """Valid requests of any length as consecutive windows of at most `max_days`, numbered from 1.
 
-    Given days are stepped in the request calendar, so every inner bound is an Eastern midnight.
+    Given days are stepped in the request calendar, so every inner bound is an Eastern midnight; the outer bounds are
+    the request's own instants, also in the hour that a clock change repeats.
     """
     as_of = _as_ts(as_of)
     valid = _bounds(requests, as_of).filter(_error(as_of, None).isNull())
-    local = valid.withColumns({
-        "local_start": F.from_utc_timestamp("start_utc", REQUEST_ZONE),
-        "local_end": F.from_utc_timestamp("end_utc", REQUEST_ZONE),
-    })
+    local_start = F.from_utc_timestamp("start_utc", REQUEST_ZONE)
+    local_end = F.from_utc_timestamp("end_utc", REQUEST_ZONE)
     step = F.expr(f"INTERVAL {max_days} DAYS")
-    starts = F.sequence("local_start", "local_end", step)
-    windows = local.select(
-        *requests.columns, "local_end", F.posexplode(starts).alias("window_no", "window_from")
-    ).filter(F.col("window_from") < F.col("local_end"))
-    until = F.least(F.col("window_from") + step, F.col("local_end"))
-    return windows.select(
+    starts = F.posexplode(F.sequence(local_start, local_end, step)).alias("at", "window_from")
+    windows = valid.select(*requests.columns, "start_utc", "end_utc", local_end.alias("local_end"), starts)
+    first, until = F.col("at") == 0, F.col("window_from") + step
+    return windows.filter(first | (F.col("window_from") < F.col("local_end"))).select(
         *requests.columns,
-        (F.col("window_no") + 1).alias("window_no"),
-        F.to_utc_timestamp("window_from", REQUEST_ZONE).alias("start_utc"),
-        F.to_utc_timestamp(until, REQUEST_ZONE).alias("end_utc"),
+        (F.col("at") + 1).alias("window_no"),
+        F.when(first, F.col("start_utc")).otherwise(F.to_utc_timestamp("window_from", REQUEST_ZONE)).alias("start_utc"),
+        F.when(until >= F.col("local_end"), F.col("end_utc")).otherwise(
+            F.to_utc_timestamp(until, REQUEST_ZONE)
+        ).alias("end_utc"),
     )
 
 

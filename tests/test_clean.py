@@ -87,6 +87,11 @@ def test_distinct_rows(spark):
     assert distinct_rows(df).count() == 3
 
 
+def test_fine_prices_stay_apart(spark):
+    df = orders(spark, ("s", "p", "1.23456", "1"), ("s", "p", "1.23461", "1"), ("s", "p", "1.23456", "1.0"), ("s", "p", "", "1"))
+    assert sorted(str(r[0]) for r in listed(distinct_rows(df), "item-price")) == ["", "1.23456", "1.23461"]
+
+
 def test_equal_lines_of_two_accounts_stay(spark):
     df = orders(spark, ("s", "p", "1", "1", DAY, "ab"), ("s", "p", "1", "1", DAY, "cd"))
     assert distinct_rows(df).count() == 2

@@ -64,6 +64,13 @@ def test_split(spark):
     ]
 
 
+@pytest.mark.parametrize("now", ["2024-11-03T05:30:00", "2024-11-03T06:30:00"])
+def test_split_ends_in_the_repeated_hour(spark, now):
+    rows = split_windows(asked(spark, ("ab", "11-1-2024", None), ("ab", None, None)), now).orderBy("start_utc").collect()
+    assert [str(r.end_utc) for r in rows] == [now.replace("T", " ")] * 2
+    assert [str(r.start_utc) for r in rows] == ["2024-11-01 04:00:00", now.replace("T0", " 0").replace("-03 ", "-02 ")]
+
+
 def test_split_of_an_exact_multiple_has_no_empty_window(spark):
     assert split_windows(asked(spark, ("ab", "1-1-2024", "3-3-2024")), NOW).count() == 2
 

@@ -4,6 +4,7 @@ import json
 import pytest
 
 from tallyshelf.columns import ACCOUNT, INVENTORY_REPORT, ORDERS_REPORT
+from tallyshelf.operators.chunks import distinct_rows
 from tallyshelf.sources.accounts import account_list, landing_folder, scan_report
 from tallyshelf.sources.flat_files import scan_flat_files, write_flat_files
 from tallyshelf.sources.stored import records_from_text, scan_records, scan_stored, write_records
@@ -49,6 +50,12 @@ def test_null_tokens_in_every_column(spark, tmp_path):
     assert listed(scan_flat_files(spark, path, null_tokens=()).rows, "sku") == [("NA",), ("null",), ("#N/A",)]
 
 
+def test_repeated_and_empty_headers(spark, tmp_path):
+    rows = scan_flat_files(spark, put(tmp_path / "a.txt", "sku\tSKU\t\nx\ty\tz\n")).rows
+    assert rows.columns == ["sku", "SKU.1", "Unnamed: 2"]
+    assert listed(distinct_rows(rows), "*") == [("x", "y", "z")]
+
+
 def test_no_files(spark, tmp_path):
     put(tmp_path / "in" / "e.txt", "")
     with pytest.raises(FileNotFoundError):
