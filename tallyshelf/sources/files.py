@@ -11,10 +11,12 @@ HIDDEN = ("_", ".")
 
 
 def list_files(spark: SparkSession, folder: str) -> list[str]:
-    """Data files below `folder`, sorted; a single file is itself."""
+    """Data files below `folder`, sorted; a single file is itself, and a missing folder has none."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
-    names = []
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(path):
+        return []
+    found, names = system.listFiles(path, True), []
     while found.hasNext():
         name = found.next().getPath().toString()
         if not name.rsplit("/", 1)[-1].startswith(HIDDEN):

@@ -49,6 +49,18 @@ def test_files_to_reports_twice(spark, tmp_path):
         assert listed(on_hand, ACCOUNT, "sku", "on-hand", "received") == [("ab", "a", 7.0, 9.0), ("cd", "z", 3.0, 4.0)]
 
 
+def test_nothing_landed_or_no_stock(spark, tmp_path):
+    requests = asked(spark, ("ab", "11-01-2024", "11-20-2024"))
+    out = str(tmp_path / "none")
+    run_daily_job(spark, str(tmp_path / "landing"), requests, NOW, out)
+    assert listed(spark.read.parquet(f"{out}/report_index"), ACCOUNT, "status") == [("ab", "NO_ORDERS")]
+    land(spark, tmp_path / "landing")
+    out = str(tmp_path / "orders-only")
+    folders = {ORDERS_REPORT: f"{tmp_path}/landing/{ORDERS_REPORT}", INVENTORY_REPORT: f"{tmp_path}/nowhere"}
+    run_daily_job(spark, folders, requests, NOW, out)
+    assert {r[0] for r in listed(spark.read.parquet(f"{out}/summary").filter("NOT is_total"), "remaining units")} == {0.0}
+
+
 def test_scratch_tables_are_removed(spark, tmp_path):
     scratch = Scratch(spark)
     assert scratch.folder.startswith(shared_folder(spark))
