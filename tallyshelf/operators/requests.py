@@ -104,17 +104,20 @@ def in_window(orders: DataFrame, windows: DataFrame, keys: Sequence[str] = (ACCO
     """Order lines with every window they fall in, by purchase instant.
 
     Windows are listed by day and joined on account and purchase day, so one account's lines spread over many join
-    keys, a line only meets windows around its own day, and a table partitioned by day is pruned. The written day
-    and the UTC day differ by at most one, which the margin covers; the instant decides.
+    keys and a line only meets windows around its own day. The written day and the UTC day differ by at most one,
+    which the margin covers; the instant decides. The first and last day of all windows go to the scan as literals,
+    so a table partitioned or sorted by day is read for those days only.
     """
-    days = F.sequence(
-        F.date_sub(F.col("start_utc").cast("date"), 1), F.date_add(F.col("end_utc").cast("date"), 1),
-        F.expr("INTERVAL 1 DAY"),
-    )
-    listed = windows.withColumn("purchase_date_fmt", F.explode(days))
     orders = to_internal(orders)
     if "purchase_date_fmt" not in orders.columns:
         orders = orders.withColumn("purchase_date_fmt", purchase_day(F.col("purchase_date")))
+    first_day = F.date_sub(F.col("start_utc").cast("date"), 1)
+    last_day = F.date_add(F.col("end_utc").cast("date"), 1)
+    span = windows.agg(F.min(first_day).alias("first"), F.max(last_day).alias("last")).head()
+    orders = orders.filter(F.col("purchase_date_fmt").between(F.lit(span["first"]), F.lit(span["last"])))
+    listed = windows.withColumn(
+        "purchase_date_fmt", F.explode(F.sequence(first_day, last_day, F.expr("INTERVAL 1 DAY")))
+    )
     instant = F.try_to_timestamp(F.col("purchase_date").cast("string"))
     found = orders.join(listed, [*keys, "purchase_date_fmt"]).filter(
         (instant >= F.col("start_utc")) & (instant < F.col("end_utc"))

@@ -68,6 +68,22 @@ def test_windows_are_joined_by_account_and_day(spark, typed_orders):
     assert join.count(ACCOUNT) == 2 and join.count("purchase_date_fmt") == 2
 
 
+def test_days_outside_all_windows_are_not_read(spark, typed_orders):
+    path = f"{shared_folder(spark)}/orders-by-day"
+    by_day = typed_orders.withColumn("purchase_date_fmt", F.substring_index("purchase_date", "T", 1).cast("date"))
+    by_day.coalesce(1).write.mode("overwrite").partitionBy("purchase_date_fmt").parquet(path)
+    asked = spark.createDataFrame([("BUILDING", "1-1-1998", "1-31-1998")], f"{ACCOUNT} string, start_date string, end_date string")
+    windows = resolve_windows(asked, "2002-01-01").select(ACCOUNT, "start_utc", "end_utc")
+    kept = in_window(spark.read.parquet(path), windows)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    scan = next(line for line in plan(kept).splitlines() if "PartitionFilters" in line)
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    filters = scan.split("PartitionFilters: [")[1].split("]")[0]
+    assert ">= 1997-12-31" in filters and "<= 1998-02-01" in filters
+    assert kept.count() == in_window(typed_orders, windows).count() > 0
+    assert in_window(typed_orders, windows.filter("false")).count() == 0
+
+
 def test_positions_equal_a_window_over_the_group(many_blocks):
     spark = many_blocks
     rows = spark.range(5000).select(
