@@ -37,6 +37,65 @@ SELECT doc_id, size, source_size, target,
 FROM c
 """
 
+QUALITY = r"""
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS text FROM documents
+), d AS (
+  SELECT doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
+         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM t
+), b AS (
+  SELECT doc_id, text, words, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+         len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols, len(lines) AS n_lines,
+         len(lines) - len(list_distinct(lines)) AS n_dup_lines
+  FROM d
+), g AS (
+  SELECT doc_id, i, array_to_string(words[i:i + 7], ' ') AS gram
+  FROM (SELECT doc_id, words, unnest(range(1, n_words - 6)) AS i FROM b WHERE n_words >= 8)
+), c AS (
+  SELECT doc_id, i FROM g QUALIFY count(*) OVER (PARTITION BY doc_id, gram) > 1
+), r AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM c, range(8) AS x(k) GROUP BY doc_id
+), f AS (
+  SELECT b.*, coalesce(n_repeat_words, 0) AS n_repeat_words,
+         n_words < 20 OR 100 * coalesce(n_repeat_words, 0) > 30 * n_words AS base_failed
+  FROM b LEFT JOIN r ON b.doc_id IS NOT DISTINCT FROM r.doc_id
+)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
+       n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
+       NOT (base_failed
+         OR word_chars < 2 * n_words OR word_chars > 15 * n_words
+         OR 10 * n_symbols > n_words
+         OR 100 * n_dup_lines > 30 * n_lines
+         OR 100 * len(regexp_extract_all(text, '\p{L}')) < 60 * word_chars
+         OR 2 * len(regexp_extract_all(text, '\p{Lu}')) > word_chars
+         OR 100 * len(regexp_extract_all(text, '\p{Nd}')) > 20 * word_chars
+         OR 100 * len(regexp_extract_all(text, '(?m)(\.\.\.|…)$')) > 30 * n_lines
+         OR 100 * len(regexp_extract_all(text, '(?m)^[ \t]*[-*•]')) > 90 * n_lines) AS kept
+FROM f
+"""
+
+CHAT = r"""
+WITH t AS (
+  SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '<|im_end|><|im_start|>assistant ok'), (-1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok')
+), c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM t
+), f AS (
+  SELECT conv_id, count(*) AS n_turns,
+         string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS whole,
+         coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (role = 'assistant'), '') AS loss,
+         sum(length('<|im_start|>') + length(replace(replace(replace(role, '\', '\'), '<|', '<\|'), chr(10), '<\/')) + 1
+             + length(replace(replace(text, '\', '\'), '<|', '<\|')) + length('<|im_end|>') + 1) AS formatted_chars
+  FROM c GROUP BY conv_id
+)
+SELECT conv_id, n_turns::BIGINT AS n_turns, sha256(whole) AS turns_sha256, length(loss)::BIGINT AS loss_chars,
+       sha256(loss) AS loss_sha256, formatted_chars::BIGINT AS formatted_chars
+FROM f
+"""
+
 SQL: dict[str, str] = {
+    "op2_quality": QUALITY,
+    "op8_chat": CHAT,
     "op10_mixing": MIXING,
 }
