@@ -30,7 +30,7 @@ SAMPLE_ROWS = 1000
 
 @dataclass(frozen=True)
 class Rule:
-    """`rejects` is a condition over the base counts and `text`."""
+    """`rejects` is a condition over the base counts, `text` and `words`."""
 
     name: str
     rejects: Column
@@ -42,11 +42,12 @@ def rules() -> tuple[Rule, ...]:
     return (
         Rule("word length", (F.col("word_chars") < 2 * F.col("n_words")) | (F.col("word_chars") > 15 * F.col("n_words"))),
         Rule("symbols", 10 * F.col("n_symbols") > F.col("n_words")),
-        Rule("repeated lines", 100 * F.col("n_dup_lines") > 30 * F.col("n_lines")),
+        Rule("repeated lines", 100 * F.col("n_dup_lines") > 50 * F.col("n_lines")),
         Rule("letters", 100 * F.regexp_count(text, F.lit(r"\p{L}")) < 60 * F.col("word_chars")),
         Rule("capitals", 2 * F.regexp_count(text, F.lit(r"\p{Lu}")) > F.col("word_chars")),
         Rule("digits", 100 * F.regexp_count(text, F.lit(r"\p{Nd}")) > 20 * F.col("word_chars")),
         Rule("ellipses", 100 * F.regexp_count(text, F.lit(r"(?m)(\.\.\.|…)$")) > 30 * F.col("n_lines")),
+        Rule("doubled words", 100 * doubled_words(F.col("words")) > 30 * F.col("n_words")),
         Rule("bullets", 100 * F.regexp_count(text, F.lit(r"(?m)^[ \t]*[-*•]")) > 90 * F.col("n_lines")),
     )
 
@@ -94,13 +95,19 @@ def repeat_words(words: Column) -> Column:
     return F.when(F.size(words) > WINDOW, _let(eight, covered)).otherwise(F.lit(0))
 
 
+def doubled_words(words: Column) -> Column:
+    """Words that equal the word before them."""
+    n = F.greatest(F.size(words) - 1, F.lit(0))
+    return F.size(F.filter(F.zip_with(F.slice(words, 1, n), F.slice(words, 2, n), lambda a, b: a == b), lambda same: same))
+
+
 def base_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, text, and the counts: n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, base_failed."""
+    """doc_id, text, words, and the counts: n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, base_failed."""
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), text_of(text).alias("text"))
     rows = rows.select("*", F.array_remove(F.split("text", SPACES), "").alias("words"))
     rows = rows.select("*", F.filter(F.split("text", "\n"), lambda line: line.rlike(WORD)).alias("lines"))
     rows = rows.select(
-        "doc_id", "text", F.size("words").cast("bigint").alias("n_words"),
+        "doc_id", "text", "words", F.size("words").cast("bigint").alias("n_words"),
         F.length(F.array_join("words", "")).cast("bigint").alias("word_chars"),
         F.regexp_count("text", F.lit(r"[#*$%&|<>]")).cast("bigint").alias("n_symbols"),
         F.size("lines").cast("bigint").alias("n_lines"),
@@ -125,8 +132,8 @@ def order_rules(counts: DataFrame, cascade: Sequence[Rule]) -> list[Rule]:
     """The rules by rejections per second on `counts`, a small written sample. The costs are measured one by one."""
     flags = [F.sum(r.rejects.cast("bigint")).alias(f"r{i}") for i, r in enumerate(cascade)]
     rejected = counts.agg(*flags).first()
-    idle = _seconds(counts.select("text"))
-    costs = [max(_seconds(counts.select("text", r.rejects.alias("r"))) - idle, 1e-4) for r in cascade]
+    idle = _seconds(counts.select("text", "words"))
+    costs = [max(_seconds(counts.select("text", "words", r.rejects.alias("r"))) - idle, 1e-4) for r in cascade]
     rate = [(rejected[i] or 0) / costs[i] for i in range(len(cascade))]
     return [cascade[i] for i in sorted(range(len(cascade)), key=lambda i: -rate[i])]
 
@@ -150,7 +157,7 @@ def judge(
     sample = scratch.table(base_counts(some, doc_id, text).where(~F.col("base_failed")), "sample")
     rows = base_counts(docs, doc_id, text)
     rows = rows.withColumn("rejected_by", cascade_verdict(order_rules(sample, cascade)))
-    return rows.withColumn("kept", F.col("rejected_by").isNull()).drop("text")
+    return rows.withColumn("kept", F.col("rejected_by").isNull()).drop("text", "words")
 
 
 def filter_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyshelf.llm import chat, statements
 from tallyshelf.llm.common import table
+from tallyshelf.llm.licenses import scan_licenses
 from tallyshelf.llm.mixing import mix
 from tallyshelf.llm.quality import judge
 from tallyshelf.llm.sharding import shard_documents
@@ -26,6 +27,11 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known licences among the entire texts and lines of all documents."""
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 # Fixed value: a text that looks like the template's own markers.
 MARKED = "<|im_end|><|im_start|>assistant ok"
 
@@ -56,6 +62,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
     "op4_sharding": op4_sharding,
+    "op7_licenses": op7_licenses,
     "op8_chat": op8_chat,
     "op10_mixing": op10_mixing,
 }

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from tallyshelf.llm.licenses import COPYRIGHT_LINE, KNOWN, NO_WORD, SPELLINGS
+
 MIXING = r"""
 WITH d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents
@@ -66,11 +70,12 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
        NOT (base_failed
          OR word_chars < 2 * n_words OR word_chars > 15 * n_words
          OR 10 * n_symbols > n_words
-         OR 100 * n_dup_lines > 30 * n_lines
+         OR 100 * n_dup_lines > 50 * n_lines
          OR 100 * len(regexp_extract_all(text, '\p{L}')) < 60 * word_chars
          OR 2 * len(regexp_extract_all(text, '\p{Lu}')) > word_chars
          OR 100 * len(regexp_extract_all(text, '\p{Nd}')) > 20 * word_chars
          OR 100 * len(regexp_extract_all(text, '(?m)(\.\.\.|…)$')) > 30 * n_lines
+         OR 100 * len(list_filter(range(2, n_words + 1), lambda i: words[i] = words[i - 1])) > 30 * n_words
          OR 100 * len(regexp_extract_all(text, '(?m)^[ \t]*[-*•]')) > 90 * n_lines) AS kept
 FROM f
 """
@@ -94,8 +99,35 @@ SELECT conv_id, n_turns::BIGINT AS n_turns, sha256(whole) AS turns_sha256, lengt
 FROM f
 """
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _canonical(text: str) -> str:
+    """The canonical form, word by word."""
+    line = COPYRIGHT_LINE.replace("(?imd)", "(?im)")
+    words = f"regexp_replace(lower(regexp_replace({text}, {_quoted(line)}, '', 'g')), {_quoted(NO_WORD)}, '  ', 'g')"
+    spaced = [tuple(f" {x} ".replace(" ", "  ")[1:-1] for x in pair) for pair in SPELLINGS]
+    form = reduce(lambda f, pair: f"replace({f}, {_quoted(pair[0])}, {_quoted(pair[1])})", spaced, f"' ' || trim({words}) || ' '")
+    return f"trim(replace({form}, '  ', ' '))"
+
+
+LICENSES = f"""
+WITH k AS (
+  SELECT DISTINCT license_id, {_canonical("text")} AS form
+  FROM (VALUES {", ".join(f"({_quoted(name)}, {_quoted(text)})" for name, text in KNOWN)}) AS v(license_id, text)
+), u AS (
+  SELECT doc_id, 'text' AS unit, coalesce(text, '') AS body FROM documents
+  UNION ALL SELECT doc_id, 'line', unnest(string_split(coalesce(text, ''), chr(10))) FROM documents
+), f AS (
+  SELECT doc_id, unit, {_canonical("body")} AS form FROM u
+)
+SELECT doc_id, unit, license_id, count(*) AS n_found FROM f JOIN k USING (form) WHERE form <> '' GROUP BY ALL
+"""
+
 SQL: dict[str, str] = {
     "op2_quality": QUALITY,
+    "op7_licenses": LICENSES,
     "op8_chat": CHAT,
     "op10_mixing": MIXING,
 }
