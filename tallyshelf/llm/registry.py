@@ -11,10 +11,16 @@ from tallyshelf.llm import chat, statements
 from tallyshelf.llm.common import table
 from tallyshelf.llm.licenses import scan_licenses
 from tallyshelf.llm.mixing import mix
+from tallyshelf.llm.near_duplicates import near_duplicates
 from tallyshelf.llm.quality import judge
 from tallyshelf.llm.sharding import shard_documents
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents on shingles of five words, from a similarity of 0.75."""
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 16 shards by jump consistent hashing of doc_id."""
     rows = shard_documents(table(spark, sf_dir, "documents"), shards=16)
@@ -61,6 +67,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
+    "op3_near_duplicates": op3_near_duplicates,
     "op4_sharding": op4_sharding,
     "op7_licenses": op7_licenses,
     "op8_chat": op8_chat,

@@ -80,6 +80,29 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
 FROM f
 """
 
+NEAR_DUPLICATES = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(words[i:i + 4], ' ') AS shingle
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS i FROM d WHERE len(words) > 0)
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), p AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY ALL
+), l AS (
+  SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)
+), r AS (
+  SELECT doc_id, doc_id AS root FROM n UNION SELECT b, root FROM r JOIN l ON a = r.doc_id
+), m AS (
+  SELECT doc_id, min(root) AS component_id FROM r GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(component_id, doc_id) AS component_id,
+       doc_id = coalesce(component_id, doc_id) AS kept
+FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)
+"""
+
 CHAT = r"""
 WITH t AS (
   SELECT conv_id, turn, role, text FROM conversations
@@ -127,6 +150,7 @@ SELECT doc_id, unit, license_id, count(*) AS n_found FROM f JOIN k USING (form)
 
 SQL: dict[str, str] = {
     "op2_quality": QUALITY,
+    "op3_near_duplicates": NEAR_DUPLICATES,
     "op7_licenses": LICENSES,
     "op8_chat": CHAT,
     "op10_mixing": MIXING,
