@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyshelf.llm import chat, statements
 from tallyshelf.llm.common import table
+from tallyshelf.llm.decontaminate import find_leaks
 from tallyshelf.llm.licenses import scan_licenses
 from tallyshelf.llm.mixing import mix
 from tallyshelf.llm.near_duplicates import near_duplicates
@@ -27,6 +28,11 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaks of all benchmark items in all documents, one row for each occurrence."""
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts of every document and the cascade's verdict."""
     rows = judge(table(spark, sf_dir, "documents"))
@@ -66,6 +72,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op2_quality": op2_quality,
     "op3_near_duplicates": op3_near_duplicates,
     "op4_sharding": op4_sharding,
