@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyshelf.llm import chat, statements
 from tallyshelf.llm.common import table
 from tallyshelf.llm.decontaminate import find_leaks
+from tallyshelf.llm.language import identify
 from tallyshelf.llm.licenses import scan_licenses
 from tallyshelf.llm.mixing import mix
 from tallyshelf.llm.near_duplicates import near_duplicates
@@ -39,6 +40,12 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents, learned from those that are not held out."""
+    rows = identify(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Known licences among the entire texts and lines of all documents."""
     return scan_licenses(table(spark, sf_dir, "documents"))
@@ -76,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
     "op3_near_duplicates": op3_near_duplicates,
     "op4_sharding": op4_sharding,
+    "op5_language": op5_language,
     "op7_licenses": op7_licenses,
     "op8_chat": op8_chat,
     "op10_mixing": op10_mixing,
