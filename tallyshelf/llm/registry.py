@@ -16,6 +16,7 @@ from tallyshelf.llm.mixing import mix
 from tallyshelf.llm.near_duplicates import near_duplicates
 from tallyshelf.llm.quality import judge
 from tallyshelf.llm.sharding import shard_documents
+from tallyshelf.llm.warc import archive_pages, read_archives
 
 
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,6 +47,17 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as whole-file gzip streams, normalised, and read back by the index."""
+    pages = table(spark, sf_dir, "pages")
+    index, folder = archive_pages(pages)
+    rows, kind = read_archives(index, folder), pages.schema["page_id"].dataType
+    return rows.select(
+        F.col("page_key").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to_key").cast(kind).alias("refers_to"),
+    )
+
+
 def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Known licences among the entire texts and lines of all documents."""
     return scan_licenses(table(spark, sf_dir, "documents"))
@@ -84,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_near_duplicates": op3_near_duplicates,
     "op4_sharding": op4_sharding,
     "op5_language": op5_language,
+    "op6_warc": op6_warc,
     "op7_licenses": op7_licenses,
     "op8_chat": op8_chat,
     "op10_mixing": op10_mixing,

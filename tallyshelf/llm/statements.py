@@ -103,6 +103,19 @@ SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(component_id, doc_
 FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)
 """
 
+WARC = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html FROM pages
+), d AS (
+  SELECT page_id, strlen(html)::BIGINT AS payload_bytes, sha256(html) AS payload_digest,
+         CASE WHEN strlen(html) >= 100 THEN min(page_id) OVER (PARTITION BY html) END AS head
+  FROM p
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id <> head THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id <> head THEN head END AS refers_to
+FROM d
+"""
+
 CHAT = r"""
 WITH t AS (
   SELECT conv_id, turn, role, text FROM conversations
@@ -151,6 +164,7 @@ SELECT doc_id, unit, license_id, count(*) AS n_found FROM f JOIN k USING (form)
 SQL: dict[str, str] = {
     "op2_quality": QUALITY,
     "op3_near_duplicates": NEAR_DUPLICATES,
+    "op6_warc": WARC,
     "op7_licenses": LICENSES,
     "op8_chat": CHAT,
     "op10_mixing": MIXING,
