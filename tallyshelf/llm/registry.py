@@ -16,6 +16,7 @@ from tallyshelf.llm.mixing import mix
 from tallyshelf.llm.near_duplicates import near_duplicates
 from tallyshelf.llm.quality import judge
 from tallyshelf.llm.sharding import shard_documents
+from tallyshelf.llm.suffix_dedup import remove_repeats
 from tallyshelf.llm.warc import archive_pages, read_archives
 
 
@@ -84,6 +85,11 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of all documents that earlier documents have too, in strings of 50 bytes."""
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to 150 % of their words, at most two copies of each."""
     rows = mix(table(spark, sf_dir, "documents"))
@@ -99,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_warc": op6_warc,
     "op7_licenses": op7_licenses,
     "op8_chat": op8_chat,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_mixing": op10_mixing,
 }
 
