@@ -14,7 +14,7 @@ u is a hash of id and size, so reruns agree. Rows alike in both are one unit: th
 
 Edge cases. A null text has size 0. A null source is a source of its own, the last one. A source of size 0 has target
 0 and p 0. A null id is an id like any other. An empty table gives no rows. Columns of the input other than id, text and
-source are not read here; `mixed_copies` keeps them all, its own column `copies` replacing one of that name.
+source are not read here; `mixed_copies` keeps them all, of whatever name.
 """
 
 from __future__ import annotations
@@ -89,19 +89,24 @@ def _cuts(drawn: DataFrame) -> DataFrame:
     return full.union(near).groupBy("source").agg(F.max("cut").alias("cut"))
 
 
-def _narrow(docs: DataFrame, doc_id: str, text: str, source: str, seed: int) -> DataFrame:
-    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{source}`").alias("source"), word_count(F.col(f"`{text}`")).alias("size"))
+def _measured(docs: DataFrame, doc_id: str, text: str, source: str, seed: int, *more: Column) -> DataFrame:
+    rows = docs.select(
+        F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{source}`").alias("source"), word_count(F.col(f"`{text}`")).alias("size"), *more)
     return rows.withColumn("u", uniform(F.lit(seed), F.col("doc_id"), F.col("size")))
 
 
-def _mixed(narrow: DataFrame, weights: Sequence[float], share: float, most: float, scratch: Scratch) -> DataFrame:
-    sizes = narrow.groupBy("source").agg(F.sum("size").alias("source_size"))
-    targets = scratch.table(source_targets(sizes, weights, share, most), "targets")
-    drawn = _drawn(narrow, targets)
-    cuts = scratch.table(_cuts(drawn), "cuts").withColumnRenamed("source", "cut_source")
-    rows = drawn.join(cuts, F.col("source").eqNullSafe(F.col("cut_source")), "left")
-    extra = F.coalesce((F.col("rank") <= F.col("cut")).cast("bigint"), F.lit(0))
-    return rows.withColumn("copies", (F.col("whole") + extra).cast("bigint"))
+class _Plan:
+    """Targets and cuts of a mix: two written tables with a row per source, so that joins to them move no document."""
+
+    def __init__(self, narrow: DataFrame, weights: Sequence[float], share: float, most: float, scratch: Scratch):
+        sizes = narrow.groupBy("source").agg(F.sum("size").alias("source_size"))
+        self.targets = scratch.table(source_targets(sizes, weights, share, most), "targets")
+        self.cuts = scratch.table(_cuts(_drawn(narrow, self.targets)), "cuts").withColumnRenamed("source", "cut_source")
+
+    def with_copies(self, measured: DataFrame) -> DataFrame:
+        rows = _drawn(measured, self.targets).join(self.cuts, F.col("source").eqNullSafe(F.col("cut_source")), "left")
+        extra = F.coalesce((F.col("rank") <= F.col("cut")).cast("bigint"), F.lit(0))
+        return rows.withColumn("copies", (F.col("whole") + extra).cast("bigint"))
 
 
 def mix(
@@ -110,8 +115,8 @@ def mix(
 ) -> DataFrame:
     """One row per document: size, source_size, its source's target, copies, and taken = copies * size."""
     scratch = Scratch(docs.sparkSession)
-    narrow = scratch.table(_narrow(docs, doc_id, text, source, seed), "sizes")
-    mixed = _mixed(narrow, weights, share, most, scratch)
+    narrow = scratch.table(_measured(docs, doc_id, text, source, seed), "sizes")
+    mixed = _Plan(narrow, weights, share, most, scratch).with_copies(narrow)
     return mixed.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
@@ -119,13 +124,11 @@ def mixed_copies(
     docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: float = 2.0, doc_id: str = "doc_id",
     text: str = "text", source: str = "source", seed: int = 0,
 ) -> DataFrame:
-    """The documents themselves, all columns, each as often as the mix takes it."""
+    """The documents themselves, all columns, each as often as the mix takes it. No document is shuffled."""
     scratch = Scratch(docs.sparkSession)
-    narrow = scratch.table(_narrow(docs, doc_id, text, source, seed), "sizes")
-    mixed = _mixed(narrow, weights, share, most, scratch)
-    # Rows alike in id, source and size share their copies: one decision for each, combined in the map tasks.
-    decided = mixed.where(F.col("copies") > 0).groupBy("doc_id", "source", "size").agg(F.max("copies").alias("copies"))
-    decided = decided.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), F.col("copies").alias("_copies"))
-    rows = docs.join(decided, F.col(f"`{doc_id}`").eqNullSafe(F.col("_id")) & F.col(f"`{source}`").eqNullSafe(F.col("_source")) & (word_count(F.col(f"`{text}`")) == F.col("_size")))
-    rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies"))))
-    return rows.select(*[docs[f"`{c}`"] for c in docs.columns])
+    narrow = scratch.table(_measured(docs, doc_id, text, source, seed), "sizes")
+    plan = _Plan(narrow, weights, share, most, scratch)
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = plan.with_copies(_measured(docs, doc_id, text, source, seed, whole)).where("copies > 0")
+    rows = rows.select("row", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))).alias("copy"))
+    return rows.select("row.*")

@@ -60,6 +60,12 @@ def assign_shards(docs: DataFrame, key: str, shards: int, text: str = "text") ->
     )
 
 
+def with_shard(docs: DataFrame, shards: int = 16, key: str = "doc_id") -> DataFrame:
+    """The documents with their shard number, all columns, in one pass without a shuffle."""
+    ship_package(docs.sparkSession)
+    return docs.withColumn("shard", shard_of(F.col(f"`{key}`"), shards))
+
+
 def number_slots(rows: DataFrame, key: str, scratch: Scratch) -> DataFrame:
     """Adds `slot`, gapless from 0 in each shard, in the order of the key's hash.
 
@@ -81,8 +87,6 @@ def shard_documents(docs: DataFrame, shards: int = 16, key: str = "doc_id", text
 
 def write_shards(docs: DataFrame, path: str, shards: int = 16, key: str = "doc_id", parts: int = 8) -> None:
     """Writes whole documents to one folder per shard, each in `parts` files that split it by the key's hash."""
-    ship_package(docs.sparkSession)
     part = F.pmod(F.xxhash64(F.lit("part"), F.col(f"`{key}`")), F.lit(parts))
-    rows = docs.withColumn("shard", shard_of(F.col(f"`{key}`"), shards))
-    rows = rows.repartition(shards * parts, F.col("shard"), part)
+    rows = with_shard(docs, shards, key).repartition(shards * parts, F.col("shard"), part)
     rows.write.mode("overwrite").partitionBy("shard").parquet(path)
