@@ -149,7 +149,7 @@ def cascade_verdict(ordered: Sequence[Rule]) -> Column:
 def judge(
     docs: DataFrame, cascade: Sequence[Rule] | None = None, doc_id: str = "doc_id", text: str = "text", sample_rows: int = SAMPLE_ROWS,
 ) -> DataFrame:
-    """Base counts of every document, the rule that rejects it, and kept."""
+    """Base counts of every document, the rule that rejects it, the text's hash, and kept."""
     cascade = list(rules() if cascade is None else cascade)
     scratch = Scratch(docs.sparkSession)
     share = min(1.0, 2.0 * sample_rows / max(1, docs.count()))
@@ -157,10 +157,13 @@ def judge(
     sample = scratch.table(base_counts(some, doc_id, text).where(~F.col("base_failed")), "sample")
     rows = base_counts(docs, doc_id, text)
     rows = rows.withColumn("rejected_by", cascade_verdict(order_rules(sample, cascade)))
-    return rows.withColumn("kept", F.col("rejected_by").isNull()).drop("text", "words")
+    rows = rows.select("*", F.xxhash64("text").alias("text_hash"), F.col("rejected_by").isNull().alias("kept"))
+    return rows.drop("text", "words")
 
 
 def filter_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The documents that no rule rejects, all their columns."""
-    kept = judge(docs, doc_id=doc_id, text=text, **options).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col(f"`{doc_id}`").eqNullSafe(F.col("_kept")), "left_semi")
+    """The documents that no rule rejects, all their columns; rows of one id stay or go by the text's hash."""
+    kept = judge(docs, doc_id=doc_id, text=text, **options).where("kept").select("doc_id", "text_hash").distinct()
+    rows = docs.select(
+        F.col(f"`{doc_id}`").alias("id"), F.xxhash64(text_of(text)).alias("hash"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    return rows.join(kept, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("text_hash")), "left_semi").select("row.*")

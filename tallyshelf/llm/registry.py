@@ -22,7 +22,8 @@ from tallyshelf.llm.warc import archive_pages, read_archives
 
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents on shingles of five words, from a similarity of 0.75."""
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    rows = near_duplicates(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,0 +1,97 @@
+import random
+import re
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tallyshelf.llm.decontaminate import BUDGET, LEAST, Finder, cuts_of, drop_leaks, find_leaks, least_edits, passages_of
+from tests.llm.samples import odd_documents, prose, rows_of
+
+
+def plain_distance(pattern, text):
+    """Least distance to any substring, by the usual table."""
+    row = [0] * (len(text) + 1)
+    for i, c in enumerate(pattern, 1):
+        new = [i]
+        for j, d in enumerate(text, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (c != d)))
+        row = new
+    return min(row)
+
+
+def plain_leaks(docs, items):
+    """(doc, item, least edits) of all items within budget; every item against every document that shares a word run."""
+    normal = lambda t: re.sub(r"[\W_]+", " ", t or "").lower().strip()
+    found = set()
+    for d, text in docs:
+        body = normal(text)
+        for i, item in items:
+            passage = normal(item)
+            if len(passage) < LEAST:
+                continue
+            edits = int(len(passage) * BUDGET)
+            cuts = cuts_of(len(passage), edits)
+            if any(passage[a:b] in body for a, b in zip(cuts, cuts[1:], strict=False)):
+                distance = least_edits(passage, body)[0]
+                if distance <= edits:
+                    found.add((d, i, distance))
+    return found
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text("abc ", min_size=1, max_size=14), st.text("abc ", max_size=30))
+def test_bit_vectors_give_the_table_distance(pattern, text):
+    assert least_edits(pattern, text)[0] == plain_distance(pattern, text)
+
+
+def test_long_patterns():
+    rng = random.Random(5)
+    pattern = "".join(rng.choice("abcd") for _ in range(300))
+    text = "x" * 50 + pattern[:100] + "zz" + pattern[101:] + "y" * 50
+    assert least_edits(pattern, text)[0] == plain_distance(pattern, text) == 2
+
+
+def test_any_text_within_budget_is_found():
+    rng = random.Random(7)
+    item = prose(30, 11)
+    finder = Finder([(1, 0, item)], BUDGET)
+    budget = int(len(item) * BUDGET)
+    for edits in (0, 1, budget // 2, budget):
+        for _ in range(20):
+            copy = list(item)
+            for at in rng.sample(range(len(copy)), edits):
+                copy[at] = rng.choice("abcdefghij")
+            text = prose(50, 12) + ". " + "".join(copy).upper() + ", " + prose(50, 13)
+            (match,) = finder.matches(text)
+            assert match[2] <= edits
+            assert abs(match[3] - len(prose(50, 12)) - 2) <= budget and abs(match[4] - match[3] - len(item)) <= budget
+
+
+def test_long_items_are_cut_between_words():
+    parts = passages_of(prose(500, 14), 400, 40)
+    assert " ".join(parts) == prose(500, 14) and max(map(len, parts)) <= 420
+
+
+def test_odd_rows_and_items(spark):
+    docs = odd_documents(spark)
+    first = docs.where("doc_id = 1").first().text
+    items = spark.createDataFrame([(1, first[:200]), (2, None), (3, ""), (4, "ba"), (1, first[:200]), (5, prose(30, 99))], "item_id long, text string")
+    got = rows_of(find_leaks(docs, items), "doc_id", "item_id", "edits")
+    assert got == [(d, 1, 0) for d in (1, 1, 2, 2, 3, 3, 3, 3)]
+    clean = drop_leaks(docs, items)
+    assert clean.columns == docs.columns and clean.count() == docs.count() - 4
+
+
+def test_blocks_give_the_same(spark):
+    docs = odd_documents(spark)
+    items = spark.createDataFrame([(i, prose(120, s)[:150]) for i, s in enumerate((1, 2, 3, 4))], "item_id long, text string")
+    one, many = find_leaks(docs, items), find_leaks(docs, items, block=100)
+    assert rows_of(one) == rows_of(many) and one.count() > 3
+    assert rows_of(drop_leaks(docs, items), "doc_id") == rows_of(drop_leaks(docs, items, block=100), "doc_id")
+
+
+def test_empty_tables(spark):
+    docs, items = odd_documents(spark), spark.createDataFrame([(1, prose(30, 1))], "item_id long, text string")
+    assert find_leaks(docs.limit(0), items).count() == 0
+    assert find_leaks(docs, items.limit(0)).count() == 0
+    assert drop_leaks(docs, items.limit(0)).count() == docs.count()

@@ -1,0 +1,94 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from tallyshelf.llm.language import Chains, Field, fit, forward_backward, identify, known_language
+from tests.llm.samples import odd_documents
+
+SOUNDS = {"aa": "ba be bi bo da de di do", "bb": "kra kre kri gro gru ska sko", "cc": "lili nana momo pepe ruru sasa"}
+
+
+def sentence(lang, words, rng):
+    return " ".join("".join(rng.choice(SOUNDS[lang].split()) for _ in range(rng.randint(1, 3))) for _ in range(words))
+
+
+@pytest.fixture(scope="module")
+def labelled(spark):
+    rng = random.Random(1)
+    rows = [(i, sentence(lang, rng.randint(3, 30), rng).capitalize() + ".\n" + sentence(lang, 5, rng), lang) for i in range(240) for lang in [("aa", "bb", "cc")[i % 3]]]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string")
+
+
+def plain_marginals(scores, moves):
+    """By all label sequences."""
+    n, labels = scores.shape
+    total, out = 0.0, np.zeros((n, labels))
+    for path in np.ndindex(*[labels] * n):
+        w = np.exp(sum(scores[i, y] for i, y in enumerate(path)) + sum(moves[a, b] for a, b in zip(path, path[1:], strict=False)))
+        total += w
+        for i, y in enumerate(path):
+            out[i, y] += w
+    return out / total
+
+
+def test_forward_backward_gives_the_marginals_of_all_paths():
+    rng = np.random.default_rng(3)
+    moves = rng.normal(size=(3, 3))
+    numbers = np.array([0, 1, 2, -1, 3, -1, -1, 4, 5, 6, 7])
+    scores = rng.normal(size=(8, 3))
+    chains = Chains(numbers)
+    p, _ = forward_backward(chains, scores[chains.words], moves)
+    for part in ((0, 1, 2), (3,), (4, 5, 6, 7)):
+        assert np.allclose(p[list(part)], plain_marginals(scores[list(part)], moves))
+
+
+def test_long_lines_are_cut_into_chains():
+    chains = Chains(np.arange(150))
+    assert sorted(chains.sizes.tolist()) == [22, 64, 64]
+
+
+def test_held_out_documents_are_known(labelled):
+    rows = {r.doc_id: r for r in identify(labelled).collect()}
+    truth = {r.doc_id: r.lang for r in labelled.collect()}
+    held = [d for d in truth if zlib.crc32(str(d).encode()) % 5 == 0]
+    assert {d for d, r in rows.items() if r.held_out} == set(held)
+    assert all(rows[d].lang_pred == truth[d] for d in held)
+    assert all(0 <= r.score <= 1 for r in rows.values())
+
+
+def test_held_out_labels_are_not_read(spark, labelled):
+    wrong = labelled.selectExpr("doc_id", "text", "CASE WHEN crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 5 = 0 THEN 'zz' ELSE lang END AS lang")
+    assert sorted(map(tuple, identify(wrong).collect())) == sorted(map(tuple, identify(labelled).collect()))
+
+
+def test_words_of_switched_texts(spark, labelled):
+    rng = random.Random(4)
+    text = sentence("aa", 8, rng) + " " + sentence("bb", 8, rng)
+    docs = spark.createDataFrame([(1, text, None)], "doc_id long, text string, lang string")
+    (row,) = identify(docs, model=fit(labelled), runs=True).collect()
+    assert [(r.lang, r.n_words) for r in row.runs] == [("aa", 8), ("bb", 8)]
+
+
+def test_odd_rows(spark):
+    docs = odd_documents(spark)
+    rows = identify(docs).collect()
+    assert len(rows) == docs.count()
+    assert all((r.lang_pred, r.score) == ("und", 0.0) for r in rows if r.doc_id in (5, 6, 7, 8))
+    assert all(r.lang_pred in ("en", "de", "fr") for r in rows if r.doc_id in (1, 2, 3, 4, 9, 10, 11, 12, 13))
+    kept = known_language(docs, 0.0)
+    assert kept.columns == docs.columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 2, 3, 3, 3, 4, 9, 10, 11, 12, 13]
+
+
+def test_no_labels_and_empty(spark):
+    docs = odd_documents(spark)
+    assert {r.lang_pred for r in identify(docs.withColumn("lang", docs.text.substr(1, 0)).selectExpr("doc_id", "text", "nullif(lang, '') AS lang")).collect()} == {"und"}
+    assert identify(docs.limit(0)).count() == 0 and known_language(docs.limit(0)).count() == 0
+
+
+def test_models_travel():
+    import pickle
+
+    field = Field(["a"], frozenset({"w"}), np.zeros((1 << 17, 1)), np.zeros((1, 1)))
+    assert pickle.loads(pickle.dumps(field)).labels == ["a"]

@@ -1,0 +1,101 @@
+import hashlib
+import random
+
+import pytest
+
+from tallyshelf.llm import suffix_dedup as S
+from tallyshelf.llm.suffix_dedup import merge_runs, remove_repeats
+from tests.llm.samples import odd_documents, prose
+
+NO_ID = (1 << 63) - 1
+
+
+def plain_spans(docs, length=50):
+    """The contract word by word: the least id of every window, then bytes covered by a window of a smaller id."""
+    docs = [(d, NO_ID if d is None else d, (t or "").encode() if not isinstance(t, bytes) else t) for d, t in docs]
+    least = {}
+    for _, i, b in docs:
+        for s in range(len(b) - length + 1):
+            w = b[s : s + length]
+            least[w] = min(least.get(w, i), i)
+    out = []
+    for d, i, b in docs:
+        gone = bytearray(len(b))
+        for s in range(len(b) - length + 1):
+            if least[b[s : s + length]] < i:
+                gone[s : s + length] = b"\1" * length
+        spans = sum(1 for j in range(len(b)) if gone[j] and not (j and gone[j - 1]))
+        out.append((d, len(b), sum(gone), spans, hashlib.sha256(bytes(x for x, g in zip(b, gone, strict=True) if not g)).hexdigest()))
+    return out
+
+
+def spark_spans(spark, docs, **options):
+    rows = spark.createDataFrame(docs, "doc_id long, text string")
+    return sorted((tuple(r) for r in remove_repeats(rows, **options).collect()), key=repr)
+
+
+def test_loser_tree_merges_runs():
+    rng = random.Random(2)
+
+    def shared(a, b):
+        return next((i for i in range(len(a)) if a[i] != b[i]), len(a))
+
+    for n in (1, 2, 3, 7):
+        runs = [sorted({bytes(rng.choice(b"ab") for _ in range(8)) for _ in range(rng.randint(0, 40))}) for _ in range(n)]
+        prefixes = [[0] + [shared(a, b) for a, b in zip(r, r[1:], strict=False)] for r in runs]
+        run_of, place_of, known = merge_runs(runs, prefixes)
+        merged = [runs[r][p] for r, p in zip(run_of, place_of, strict=True)]
+        assert merged == sorted(x for r in runs for x in r)
+        assert known == [0] * bool(merged) + [shared(a, b) for a, b in zip(merged, merged[1:], strict=False)]
+
+
+@pytest.mark.parametrize("alphabet", ["ab", "abcdefgh", "aé漢"])
+def test_random_texts(spark, alphabet, monkeypatch):
+    monkeypatch.setattr(S, "PART", 2000)
+    monkeypatch.setattr(S, "SUFFIXES", 64)
+    rng = random.Random(alphabet)
+    pool = ["".join(rng.choice(alphabet) for _ in range(rng.choice((30, 49, 50, 51, 70, 120, 300)))) for _ in range(25)]
+    docs = []
+    for i in range(90):
+        docs.append((rng.choice((i, i, i, 7, None)), "".join(rng.choice(pool) for _ in range(rng.randint(0, 5)))))
+    assert spark_spans(spark, docs) == sorted(plain_spans(docs), key=repr)
+
+
+def test_periodic_texts_and_shifted_repeats(spark):
+    passage = prose(40, 1)
+    docs = [
+        (1, "a" * 400), (2, "b" + "a" * 300), (3, "ab" * 200), (4, "xx" + "ab" * 60 + "yy"), (5, passage), (6, "Z " + passage[:50] + " Z"),
+        (7, "Q " + passage[:49] + " Q"), (8, passage[10:140] + prose(30, 2) + passage[30:90]), (9, passage), (5, passage + "!"), (10, passage[100:] + passage[:100]),
+    ]
+    assert spark_spans(spark, docs) == sorted(plain_spans(docs), key=repr)
+
+
+def test_pieces_of_long_texts(spark, monkeypatch):
+    text = prose(900, 5)
+    docs = [(1, text), (2, text[500:2500] + prose(300, 6) + text[2400:4000])]
+    whole = spark_spans(spark, docs)
+    monkeypatch.setattr(S, "PIECE", 256)
+    assert spark_spans(spark, docs) == whole == sorted(plain_spans(docs), key=repr)
+
+
+def test_other_lengths(spark):
+    docs = [(1, prose(60, 1)), (2, prose(30, 2) + prose(60, 1)[20:60]), (3, prose(60, 1)[100:160])]
+    assert spark_spans(spark, docs, length=24, seed=10) == sorted(plain_spans(docs, 24), key=repr)
+
+
+def test_odd_rows(spark):
+    docs = odd_documents(spark)
+    rows = docs.select("doc_id", "text").collect()
+    got = sorted((tuple(r) for r in remove_repeats(docs).collect()), key=repr)
+    assert got == sorted(plain_spans([tuple(r) for r in rows]), key=repr)
+
+
+def test_kept_bytes(spark):
+    docs = spark.createDataFrame([(1, prose(30, 1)), (2, "new " + prose(30, 1) + " end")], "doc_id long, text string")
+    kept = {r.doc_id: bytes(r.kept) for r in remove_repeats(docs, keep_text=True).collect()}
+    assert kept == {1: prose(30, 1).encode(), 2: b"new  end"}
+
+
+def test_empty(spark):
+    assert spark_spans(spark, []) == []
+    assert [r[2] for r in spark_spans(spark, [(1, None), (2, ""), (3, "short")])] == [0, 0, 0]
