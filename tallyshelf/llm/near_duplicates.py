@@ -8,10 +8,10 @@ equal with the probability of their similarity, and concentrate around it.
 Candidates: 32 bands of 4 coordinates. A link of similarity 0.75 is missed with probability (1 - 0.75**4)**32 < 6e-6.
 
 Hot buckets: texts that are equal are one class from the start. Then each bucket links its members to a few hubs, not to
-each other: the candidates are verified, components formed, and the next round looks only at buckets that still hold
-several components, without the hubs, which have met all members. Once few enough pairs are left, which
-is counted first, all of them are verified. So no link between candidates is lost, and no round makes
-more pairs than a fixed number per bucket row.
+each other, the candidates are verified, and components formed. What then is open, buckets that
+still hold several components, is compared in blocks of bounded size: only pairs of different components can matter,
+and a class is sent once for each block that it meets. So no link between candidates is lost, and pairs are
+never written out.
 
 Verification compares the full shingle sets of both texts.
 
@@ -39,8 +39,9 @@ from tallyshelf.scratch import Scratch
 
 # Documented parameters: words of a shingle, least similarity in percent, bins of a sketch, coordinates of a band.
 WIDTH, PERCENT, BINS, ROWS = 5, 75, 128, 4
-# Documented parameters: hubs that a row of a bucket meets in a round, and the pairs per class that end the rounds.
-HUBS, FEW_PAIRS = 2, 4
+# Documented parameters: hubs of a bucket in a round, and rounds; classes and shingles of a block.
+HUBS, HUB_ROUNDS = 2, 1
+BLOCK_CLASSES, BLOCK_SHINGLES = 192, 1 << 19
 ROUND = np.uint64(0xD1342543DE82EF95)
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -108,6 +109,57 @@ def _similar(width: int, percent: int):
     return run
 
 
+def _common(sets: list[np.ndarray], columns: int = 1 << 13) -> np.ndarray:
+    """Sizes of the intersections of all pairs of sets, from products of their incidence matrices, some columns at a time."""
+    values, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    order = np.argsort(values, kind="stable")
+    values, owner = values[order], owner[order]
+    column = np.cumsum(np.r_[True, values[1:] != values[:-1]]) - 1
+    shared = np.bincount(column)[column] > 1
+    owner, column = owner[shared], np.unique(column[shared], return_inverse=True)[1]
+    common = np.zeros((len(sets), len(sets)))
+    bounds = np.searchsorted(column, np.arange(0, (column[-1] + 1 if len(column) else 0) + columns, columns))
+    for i, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)):
+        incidence = np.zeros((len(sets), columns), np.float32)
+        incidence[owner[a:b], column[a:b] - i * columns] = 1
+        common += incidence @ incidence.T
+    return common
+
+
+def _compare_blocks(width: int, percent: int):
+    """Links between two blocks, or inside one, of classes of different components; no more than connect them."""
+    def run(group: pa.Table) -> pa.Table:
+        node, root, mine = (group.column(c).to_numpy() for c in ("node", "root", "mine"))
+        sets = [shingle_set(t.as_py(), width) for t in group.column("text")]
+        sizes = np.array([len(s) for s in sets])
+        common = _common(sets)
+        linked = 100 * common >= percent * (sizes[:, None] + sizes[None, :] - common)
+        linked &= root[:, None] != root[None, :]
+        if group.column("i")[0] != group.column("j")[0]:
+            linked &= mine[:, None] != mine[None, :]
+        found, leader = [], {r: r for r in root.tolist()}
+
+        def top(r: int) -> int:
+            while leader[r] != r:
+                leader[r] = leader[leader[r]]
+                r = leader[r]
+            return r
+
+        for x, y in zip(*(k.tolist() for k in np.nonzero(np.triu(linked))), strict=True):
+            one, two = top(root[x].item()), top(root[y].item())
+            if one != two:
+                leader[one] = two
+                found.append((node[x].item(), node[y].item()))
+        return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
+
+    return run
+
+
+def _digest(text: str):
+    """Sixteen bytes that stand for the whole text, null for null."""
+    return F.unhex(F.md5(F.col(f"`{text}`").cast("binary")))
+
+
 class _Search:
     """The tables of one search: buckets of two or more classes, and the texts of these classes."""
 
@@ -138,31 +190,21 @@ class _Search:
 
     def links(self) -> DataFrame:
         """Links of the candidates, enough of them that every linked pair of classes is joined by a path."""
-        few = FEW_PAIRS * max(1000, self.texts.count())
-        rows, found, turn = self.buckets.withColumn("root", F.col("node")), [], 0
-        while (left := self._pairs_left(rows)) > 0:
-            turn += 1
-            rows = self._with_hubs(rows, turn, everyone=left <= few)
+        rows, found = self.buckets.withColumn("root", F.col("node")), []
+        for turn in range(HUB_ROUNDS):
+            rows = self._with_hubs(rows, turn)
             hubs = rows.where("is_hub").select("h", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("root_a"))
             met = hubs.join(rows.withColumnRenamed("node", "b"), "h").where("root_a <> root")
             found.append(self.scratch.table(self.verified(met.where(self.near("n_a", "n")).select("a", "b")), "found"))
-            if left <= few:
-                break
             rows = self._still_open(rows, reduce(DataFrame.union, found))
-        if not found:
-            return self.scratch.spark.createDataFrame([], "a long, b long")
+            if rows.isEmpty():
+                break
+        else:
+            found.append(self.scratch.table(self._block_links(rows), "found"))
         return reduce(DataFrame.union, found)
 
-    def _pairs_left(self, rows: DataFrame) -> float:
-        """Pairs of bucket mates that no path joins yet, counted without making them."""
-        parts = rows.groupBy("h", "root").agg(F.count(F.lit(1)).cast("double").alias("k"))
-        sizes = parts.groupBy("h").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("joined"))
-        return sizes.agg(F.sum((F.col("k") * F.col("k") - F.col("joined")) / 2)).first()[0] or 0
-
-    def _with_hubs(self, rows: DataFrame, turn: int, everyone: bool) -> DataFrame:
-        """Adds is_hub: about HUBS members of each bucket, that of the least hash for certain; or everyone."""
-        if everyone:
-            return rows.withColumn("is_hub", F.lit(True))
+    def _with_hubs(self, rows: DataFrame, turn: int) -> DataFrame:
+        """Adds is_hub: about HUBS members of each bucket, that of the least hash for certain."""
         rows = rows.withColumn("order", F.xxhash64("node", "h", F.lit(turn)))
         least = rows.groupBy("h").agg(F.min("order").alias("least"))
         chosen = (F.col("order") == F.col("least")) | (F.pmod("order", F.col("size")) < HUBS - 1)
@@ -176,17 +218,47 @@ class _Search:
         sizes = rows.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("size"))
         return self.scratch.table(rows.join(sizes.where("lo <> hi").drop("lo", "hi"), "h"), "open")
 
+    def _block_links(self, rows: DataFrame) -> DataFrame:
+        """All links that are left, block by block.
+
+        Classes that open buckets connect are a family. Its largest component needs no comparison inside. The rest, and that
+        component, are cut into blocks of a bounded number of classes and shingles, and each block of the rest meets every
+        block. A class is copied once per block it meets, not once per class.
+        """
+        star = rows.join(rows.groupBy("h").agg(F.min("node").alias("a")), "h").select("a", F.col("node").alias("b"))
+        families = components(star, self.scratch).withColumnRenamed("root", "family")
+        members = self.scratch.table(rows.select("node", "n", "root").distinct().join(families, "node"), "members")
+        parts = members.groupBy("family", "root").agg(F.count(F.lit(1)).alias("k"))
+        largest = parts.groupBy("family").agg(F.max_by("root", F.struct("k", "root")).alias("largest"))
+        members = members.join(largest, "family").withColumn("rest", F.col("root") != F.col("largest"))
+        blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_CLASSES), F.ceil(F.sum("n") / BLOCK_SHINGLES))
+        sizes = members.groupBy("family", "rest").agg(blocks.alias("blocks"))
+        sizes = sizes.groupBy("family").agg(
+            F.coalesce(F.max(F.when(F.col("rest"), F.col("blocks"))), F.lit(0)).alias("rests"),
+            F.coalesce(F.max(F.when(~F.col("rest"), F.col("blocks"))), F.lit(0)).alias("cores"),
+        )
+        members = members.join(sizes, "family")
+        mine = F.when(F.col("rest"), F.pmod(F.xxhash64("node"), "rests")).otherwise(F.col("rests") + F.pmod(F.xxhash64("node"), F.greatest("cores", F.lit(1))))
+        members = members.withColumn("mine", mine.cast("long"))
+        # Blocks of the rest are numbered first. Pairs (i, j), i <= j, with i a block of the rest.
+        everyone = F.sequence(F.lit(0).cast("long"), (F.col("rests") + F.col("cores") - 1).cast("long"))
+        of_rest = F.sequence(F.lit(0).cast("long"), (F.col("rests") - 1).cast("long"))
+        members = members.where("rests > 0").withColumn("other", F.explode(F.when(F.col("rest"), everyone).otherwise(of_rest)))
+        members = members.select("family", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "node", "root")
+        rows = members.join(self.texts, "node").select("family", "i", "j", "mine", "node", "root", "text")
+        return rows.groupBy("family", "i", "j").applyInArrow(_compare_blocks(self.width, self.percent), "a long, b long")
+
 
 def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT,
     bins: int = BINS, rows: int = ROWS,
 ) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id (the smallest id it is linked with), kept."""
+    """One row per document: doc_id, n_shingles, component_id (the smallest id it is linked with), kept, text_key (a digest)."""
     spark = docs.sparkSession
     ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     scratch = Scratch(spark)
-    docs = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.unhex(F.md5(F.col(f"`{text}`").cast("binary"))).alias("key"), F.col(f"`{text}`").alias("text"))
+    docs = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), _digest(text).alias("key"), F.col(f"`{text}`").alias("text"))
     made = docs.mapInArrow(_sketches(width, bins, rows), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, key binary, n long, bands array<long>")
     sketches = scratch.table(made, "sketches")
     classes = sketches.where("n > 0").groupBy("key", "n", "bands").agg(F.min("doc_id").alias("first_id"))
@@ -196,15 +268,16 @@ def near_duplicates(
     linked = classes.select("node", "key", "first_id").join(roots, "node", "left").select("key", "first_id", F.coalesce("root", "node").alias("root"))
     of_root = linked.groupBy("root").agg(F.min("first_id").alias("component_id"))
     of_key = scratch.table(linked.join(of_root, "root").select(F.col("key").alias("its_key"), "component_id"), "members")
-    rows = sketches.select("doc_id", "n", F.when(F.col("n") > 0, F.col("key")).alias("key"))
-    rows = rows.join(of_key, F.col("key") == F.col("its_key"), "left")
+    rows = sketches.select("doc_id", "n", "key").join(of_key, (F.col("key") == F.col("its_key")) & (F.col("n") > 0), "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return rows.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    kept = F.col("doc_id").eqNullSafe(component)
+    return rows.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), kept.alias("kept"), F.col("key").alias("text_key"))
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The documents that are kept, all columns; rows alike in id and text are one document."""
-    kept = near_duplicates(docs, doc_id, text, **options).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    rows = docs.join(kept, F.col(f"`{doc_id}`").eqNullSafe(F.col("_kept")), "left_semi")
-    twin = F.xxhash64(F.col(f"`{text}`"))
-    return rows.withColumn("_twin", twin).dropDuplicates([doc_id, "_twin"]).drop("_twin")
+    kept = near_duplicates(docs, doc_id, text, **options).where("kept").select(F.col("doc_id").alias("kept_id"), "text_key").distinct()
+    rows = docs.select(
+        F.col(f"`{doc_id}`").alias("id"), _digest(text).alias("twin"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    rows = rows.join(kept, F.col("id").eqNullSafe(F.col("kept_id")) & F.col("twin").eqNullSafe(F.col("text_key")), "left_semi")
+    return rows.dropDuplicates(["id", "twin"]).select("row.*")
