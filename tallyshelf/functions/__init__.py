@@ -1,8 +1 @@
-from tallyshelf.functions.dates import eastern_midnight_utc, iso_utc, purchase_day, request_day, whole_days
-from tallyshelf.functions.numbers import amount, blank_to_null, integral_text, money_text, thousands_text
-from tallyshelf.functions.text import on_hand_title, sales_title
-
-__all__ = [
-    "amount", "blank_to_null", "eastern_midnight_utc", "integral_text", "iso_utc", "money_text", "on_hand_title",
-    "purchase_day", "request_day", "sales_title", "thousands_text", "whole_days",
-]
+"""Column expressions: numbers, dates, titles."""

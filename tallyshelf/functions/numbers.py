@@ -10,8 +10,12 @@ from pyspark.sql import types as T
 
 from tallyshelf.columns import NULL_TOKENS
 
-# Long-backed in Spark, exact to a hundredth of a cent, and summable in any order.
-AMOUNT_TYPE = "decimal(18,4)"
+# Exact to eight decimals below 10^19, and its sums fit a decimal too, so they don't depend on order.
+AMOUNT_TYPE = "decimal(27,8)"
+# Wide enough to see what AMOUNT_TYPE rounds.
+FINE_TYPE = "decimal(38,18)"
+# What stands for amounts too small for AMOUNT_TYPE: they stay on their side of zero.
+LEAST_AMOUNT = "0.00000001"
 
 # Only used for the few texts with an exponent: the double cast also takes '1e5d'.
 EXPONENT_NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)[eE][+-]?[0-9]+\s*$"
@@ -30,8 +34,30 @@ def blank_to_null(name: str, tokens: Sequence[str] = NULL_TOKENS) -> Column:
 def amount(df: DataFrame, name: str) -> Column:
     """Column `name` as AMOUNT_TYPE; NULL for null, NaN, infinities and anything that is not a number.
 
-    The decimal cast itself rejects 'nan', 'inf', '5d' and '1,234', so plain numbers need no pattern match.
+    No number turns into zero: what is finer than AMOUNT_TYPE becomes its least amount, with its sign.
     """
+    held = _rounded(df, name)
+    if df.schema[name].dataType.simpleString() == AMOUNT_TYPE or isinstance(df.schema[name].dataType, T.IntegralType):
+        return held
+    written, least = F.col(f"`{name}`").try_cast("double"), F.lit(LEAST_AMOUNT).cast(AMOUNT_TYPE)
+    return F.when((held == 0) & (written != 0), F.when(written > 0, least).otherwise(-least)).otherwise(held)
+
+
+def inexact(df: DataFrame, name: str) -> Column:
+    """True where the number as written has more decimals than AMOUNT_TYPE holds."""
+    dtype = df.schema[name].dataType
+    if dtype.simpleString() == AMOUNT_TYPE or isinstance(dtype, T.IntegralType):
+        return F.lit(False)
+    c = F.col(f"`{name}`")
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
+        return F.coalesce(_rounded(df, name).cast("double") != c, F.lit(False))
+    fine = F.coalesce(c.try_cast(FINE_TYPE), c.try_cast("double").try_cast(FINE_TYPE))
+    held = _rounded(df, name)
+    return F.coalesce((held != fine) | ((held == 0) & (c.try_cast("double") != 0)), F.lit(False))
+
+
+def _rounded(df: DataFrame, name: str) -> Column:
+    """The decimal cast itself rejects 'nan', 'inf', '5d' and '1,234', so plain numbers need no pattern match."""
     c = F.col(f"`{name}`")
     dtype = df.schema[name].dataType
     if dtype.simpleString() == AMOUNT_TYPE:

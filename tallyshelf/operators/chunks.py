@@ -6,12 +6,15 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tallyshelf.operators.clean import canonical_numbers
+from tallyshelf.operators.clean import canonical_number
 
-# Columns whose texts are numbers, so that two spellings of one number are the same row.
-NUMBER_COLUMNS = (
-    "item-price", "item_price", "quantity", "afn-fulfillable-quantity", "afn_fulfillable_quantity",
+# Columns whose texts are names, not numbers, even if all digits.
+TEXT_COLUMNS = (
+    "account_name", "sku", "asin", "product-name", "product_name", "purchase-date", "purchase_date", "order_id",
+    "amazon-order-id", "merchant-order-id", "rejected_line", "snapshot_ts",
 )
 
 
@@ -21,8 +24,18 @@ def union_chunks(chunks: Sequence[DataFrame]) -> DataFrame:
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:
-    """Rows equal in every column, nulls included, collapse to one; copies merge before the shuffle."""
-    return canonical_numbers(df, NUMBER_COLUMNS).dropDuplicates()
+    """Rows equal in every column, nulls included, collapse to one; copies merge before the shuffle.
+
+    Two spellings of a number are equal. Cells stay as they arrived: of several spellings the first in text order.
+    """
+    spelled = [f.name for f in df.schema if isinstance(f.dataType, T.StringType) and f.name not in TEXT_COLUMNS]
+    if not spelled:
+        return df.dropDuplicates()
+    keys = {f"key {i}": canonical_number(df, n) for i, n in enumerate(spelled)}
+    others = [F.col(f"`{n}`") for n in df.columns if n not in spelled]
+    found = df.select("*", *[k.alias(n) for n, k in keys.items()]).groupBy(*others, *[F.col(f"`{n}`") for n in keys]).agg(
+        *[F.min(f"`{n}`").alias(n) for n in spelled])
+    return found.select(*[F.col(f"`{n}`") for n in df.columns])
 
 
 def merge_chunks(chunks: Sequence[DataFrame]) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tallyshelf import columns as C
 from tallyshelf.functions.dates import purchase_day
-from tallyshelf.functions.numbers import AMOUNT_TYPE, amount, amount_or_zero, blank_to_null
+from tallyshelf.functions.numbers import AMOUNT_TYPE, amount, amount_or_zero, blank_to_null, inexact
 
 
 def require_columns(df: DataFrame, required: Sequence[str], error: type[Exception] = ValueError) -> DataFrame:
@@ -60,19 +60,22 @@ def quarantine(orders: DataFrame, null_tokens: Sequence[str] = C.NULL_TOKENS) ->
         "purchase_date_unreadable": purchase_day(F.col("purchase_date")).isNull(),
         "item_price_unreadable": amount_or_zero(df, "item_price", null_tokens).isNull(),
         "quantity_unreadable": amount_or_zero(df, "quantity", null_tokens).isNull(),
+        "item_price_rounded": inexact(df, "item_price"),
+        "quantity_rounded": inexact(df, "quantity"),
     }
     reasons = F.split(F.concat_ws(",", *[F.when(bad, F.lit(name)) for name, bad in checks.items()]), ",")
     return df.filter(reduce(or_, checks.values())).withColumn("reasons", reasons)
 
 
-def canonical_numbers(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Number texts in one spelling ('12.50' and '12.5' agree). Other text, and numbers too fine to hold, stay."""
-    def spelled(n: str) -> Column:
-        exact = amount(df, n).cast("double") == F.col(f"`{n}`").try_cast("double")
-        return F.when(exact, amount(df, n).cast("string")).otherwise(F.col(f"`{n}`"))
+def canonical_number(df: DataFrame, name: str) -> Column:
+    """Text column `name` with numbers in one spelling ('12.50' and '12.5' agree).
 
-    present = [n for n in names if n in df.columns and isinstance(df.schema[n].dataType, T.StringType)]
-    return df.withColumns({n: spelled(n) for n in present})
+    Other text stays, and so do numbers too fine to hold and those with leading zeros, which are codes.
+    """
+    c = F.col(f"`{name}`")
+    code = F.trim(c).rlike("^[+-]?0[0-9]")
+    exact = amount(df, name).isNotNull() & ~inexact(df, name) & ~code
+    return F.when(exact, amount(df, name).cast("string")).otherwise(c)
 
 
 def zero() -> Column:

@@ -29,12 +29,15 @@ def with_bars(
 ) -> DataFrame:
     """Adds `<column>_bar` between 0 and 1 on product rows, against the largest product of the same report.
 
-    The maxima are an aggregate, written so that their size is known before they are joined back: a large report is
-    neither gathered in a window nor shuffled.
+    The report is written, so that it is computed once for the maxima and the result. The maxima are an aggregate,
+    written too, so that their size is known before they are joined back: a large report is neither gathered in a window nor
+    shuffled.
     """
+    scratch = scratch or Scratch(report.sparkSession)
+    report = scratch.table(report, "report")
     is_product = ~F.col("is_total") if "is_total" in report.columns else F.lit(True)
     tops = report.filter(is_product).groupBy(*by).agg(*[F.max(c).alias(f"{c}_top") for c in columns])
-    tops = (scratch or Scratch(report.sparkSession)).table(tops, "tops")
+    tops = scratch.table(tops, "tops")
     joined = report.join(tops, list(by), "left")
     bars = {f"{c}_bar": F.when(is_product, _bar(F.col(c), F.col(f"{c}_top"))) for c in columns}
     return joined.withColumns(bars).drop(*[f"{c}_top" for c in columns])

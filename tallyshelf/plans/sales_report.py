@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tallyshelf.columns import ACCOUNT, with_keys
 from tallyshelf.errors import ZeroSalesError
+from tallyshelf.functions.numbers import AMOUNT_TYPE
 from tallyshelf.functions.text import sales_title
 from tallyshelf.operators.clean import clean_orders, clean_stock
 from tallyshelf.operators.coverage import NO_ORDERS, NO_POSITIVE_SALES, OK, ZERO_REVENUE, cover_accounts
@@ -23,9 +24,6 @@ from tallyshelf.scratch import Scratch
 TOTAL_SKU = "Grand Total"
 TOTAL_PRODUCT = ""
 
-# Statuses up to this many are sent to every task to drop raw rows; more are joined by shuffle.
-BROADCAST_KEYS = 100_000
-
 
 def report_order() -> list[Column]:
     return [F.col("units_sold").desc(), F.col("product_name"), F.col("sku"), F.col("remaining_units")]
@@ -58,10 +56,11 @@ def _block_totals(ledger: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def _product_totals(products: DataFrame, by: Sequence[str]) -> DataFrame:
-    return products.groupBy(*by).agg(
-        F.sum(F.col("units_sold") * F.col("copies")).alias("units_sold"),
-        F.sum(F.col("revenue") * F.col("copies")).alias("revenue"),
-    )
+    def times(c: str) -> Column:
+        # Types whose product keeps every decimal.
+        return F.col(c).cast(AMOUNT_TYPE) * F.col("copies").cast("decimal(10,0)")
+
+    return products.groupBy(*by).agg(F.sum(times("units_sold")).alias("units_sold"), F.sum(times("revenue")).alias("revenue"))
 
 
 def _summary_rows(ranked: DataFrame, totals: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -99,14 +98,9 @@ def _index_rows(status: DataFrame, totals: DataFrame, by: Sequence[str]) -> Data
     )
 
 
-def reported_rows(rows: DataFrame, status: DataFrame, by: Sequence[str]) -> DataFrame:
-    """`rows` of reports that are OK. The others are few: counted before they are broadcast."""
-    dropped = status.filter(F.col("status") != OK).select(*by)
-    count = dropped.count()
-    if count == 0:
-        return rows
-    if count <= BROADCAST_KEYS:
-        dropped = F.broadcast(dropped)
+def reported_rows(rows: DataFrame, status: DataFrame, by: Sequence[str], scratch: Scratch) -> DataFrame:
+    """`rows` of reports that are OK. The others are written, so their size decides how they are joined."""
+    dropped = scratch.table(status.filter(F.col("status") != OK).select(*by), "dropped")
     return rows.join(dropped, list(by), "left_anti")
 
 
@@ -176,7 +170,7 @@ class SalesReport:
     @cached_property
     def raw_data(self) -> DataFrame:
         """The cleaned order lines of the reports that are OK."""
-        return raw_rows(reported_rows(self.lines, self.status, self.by))
+        return raw_rows(reported_rows(self.lines, self.status, self.by, self.scratch))
 
 
 def sales_report(
