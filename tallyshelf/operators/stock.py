@@ -4,15 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyshelf.columns import ACCOUNT
 from tallyshelf.operators.clean import zero
 from tallyshelf.operators.copies import count_copies
 
 INVENTORY_POLICIES = ("as_is", "sum_per_sku")
 
 
+def require_policy(policy: str) -> None:
+    if policy not in INVENTORY_POLICIES:
+        raise ValueError(f"inventory policy must be one of {INVENTORY_POLICIES}")
+
+
 def stock_keys(by: Sequence[str], inventory: DataFrame) -> list[str]:
     """Report keys the stock has too: a snapshot knows its account but no report window."""
     return [k for k in by if k in inventory.columns]
@@ -23,8 +29,7 @@ def stock_per_sku(inventory: DataFrame, by: Sequence[str], policy: str = "as_is"
 
     "as_is" keeps repeated SKUs apart, so they repeat the sales row; "sum_per_sku" adds their stock up first.
     """
-    if policy not in INVENTORY_POLICIES:
-        raise ValueError(f"inventory policy must be one of {INVENTORY_POLICIES}")
+    require_policy(policy)
     keys = stock_keys(by, inventory)
     rows = inventory.filter(F.col("sku").isNotNull()).select(
         *keys, "sku", F.col("afn_fulfillable_quantity").alias("remaining_units")
@@ -46,6 +51,30 @@ def with_stock(sales: DataFrame, stock: DataFrame, by: Sequence[str]) -> DataFra
 
 
 def with_sold(inventory: DataFrame, sold: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Every stock row with the units sold of its SKU, 0 when none; never multiplies rows."""
-    joined = inventory.join(sold, [*by, "sku"], "left")
-    return joined.withColumn("sold", F.coalesce("sold", zero()))
+    """Every stock row with the units sold of its SKU, 0 when none; never multiplies rows.
+
+    Rows without a SKU match nothing and go around the join, where they would all meet in one task.
+    """
+    joined = inventory.filter(F.col("sku").isNotNull()).join(sold, [*by, "sku"], "left")
+    named = joined.withColumn("sold", F.coalesce("sold", zero().cast(sold.schema["sold"].dataType)))
+    unnamed = inventory.filter(F.col("sku").isNull()).withColumn("sold", zero().cast(sold.schema["sold"].dataType))
+    return named.unionByName(unnamed)
+
+
+# Optional part of a landed stock file's folder: when the snapshot was taken.
+SNAPSHOT = "snapshot_ts"
+
+
+def latest_snapshot(stock: DataFrame, as_of: Column | str) -> DataFrame:
+    """Each account's stock rows of its last snapshot not after `as_of`; all rows if snapshots aren't told apart.
+
+    Rows without a snapshot time are older than all others. One row per account leaves each map task.
+    """
+    if SNAPSHOT not in stock.columns:
+        return stock
+    at = F.try_to_timestamp(F.col(SNAPSHOT).cast("string"))
+    due = stock.withColumn("taken", at).filter(at.isNull() | (at <= F.lit(as_of).cast("timestamp")))
+    last = due.groupBy(ACCOUNT).agg(F.max(F.struct("taken", SNAPSHOT)).alias("last"))
+    last = last.select(F.col(ACCOUNT).alias("its_account"), F.col(f"last.{SNAPSHOT}").alias("its_snapshot"))
+    same = F.col(ACCOUNT).eqNullSafe(F.col("its_account")) & F.col(SNAPSHOT).eqNullSafe(F.col("its_snapshot"))
+    return due.join(last, same, "left_semi").drop("taken", SNAPSHOT)
