@@ -77,6 +77,28 @@ o AS (
 )"""
 
 
+ODD = f"""
+o AS (
+  SELECT c_mktsegment AS account_name, l_orderkey AS order_id, l_linenumber AS line, 'SKU-' || l_partkey AS sku, p_name AS product_name,
+         CASE WHEN l_linenumber NOT IN (3, 4) THEN CAST(o_orderdate AS DATE) END AS day,
+         CASE l_linenumber WHEN 1 THEN CAST(o_orderdate AS TIMESTAMP) + INTERVAL 1890 MINUTES WHEN 2 THEN CAST(o_orderdate AS TIMESTAMP)
+              WHEN 3 THEN NULL WHEN 4 THEN NULL WHEN 5 THEN CAST(o_orderdate AS TIMESTAMP)
+              ELSE CAST(o_orderdate AS TIMESTAMP) - INTERVAL 510 MINUTES END AS instant,
+         CASE l_linenumber WHEN 1 THEN strftime(o_orderdate, '%Y-%m-%d') || 'T23:30:00-08:00' WHEN 2 THEN strftime(o_orderdate, '%Y-%m-%d') || 'T99:00'
+              WHEN 3 THEN 'junk' WHEN 4 THEN NULL WHEN 5 THEN strftime(o_orderdate, '%Y-%m-%d') || 'Tx'
+              ELSE strftime(o_orderdate, '%Y-%m-%d') || 'T00:30:00+09:00' END AS purchase_date,
+         CASE l_linenumber WHEN 2 THEN CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) || '9999999' WHEN 3 THEN '123456789012345.25'
+              WHEN 4 THEN '0.000000001' END AS price_text,
+         CAST(CASE l_linenumber WHEN 1 THEN CAST('0.00001' AS DECIMAL(27,8))
+              WHEN 2 THEN CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DECIMAL(27,8)) + CAST('0.01' AS DECIMAL(27,8))
+              WHEN 3 THEN CAST('123456789012345.25' AS DECIMAL(27,8)) WHEN 4 THEN CAST('0.00000001' AS DECIMAL(27,8))
+              WHEN 5 THEN CAST('-0.00001' AS DECIMAL(27,8)) WHEN 6 THEN CAST('0.00001' AS DECIMAL(27,8))
+              ELSE CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DECIMAL(27,8)) END AS DECIMAL(27,8)) AS item_price,
+         CAST(l_quantity AS INT) AS quantity
+  FROM {LINES}
+)"""
+
+
 def pieces(by: str = "account_name", stock_by: str = "account_name") -> str:
     """Sums, joined rows, totals and statuses of the sales report over `o` and `stock`."""
     on_stock = " AND ".join(f"s.{k} = stock.{k}" for k in [*filter(None, stock_by.split(", ")), "sku"])
@@ -348,6 +370,14 @@ FROM ({summary()})"""),
         "flat_file_scan": _with(ORDERS, RAW_ORDERS.format(**INTERNAL).replace("order_id,", "CAST(order_id AS VARCHAR) AS order_id,")),
         "csv_scan": _with(STOCK, """
 SELECT account_name, sku, asin, product_name AS "product-name", CAST(CAST(qty AS BIGINT) AS VARCHAR) AS "afn-fulfillable-quantity" FROM stock"""),
+        "tsv_scan": _with(STOCK, """
+SELECT account_name, sku, asin, product_name AS "product-name", CAST(CAST(qty AS BIGINT) AS VARCHAR) AS "afn-fulfillable-quantity" FROM stock"""),
+        "json_array_scan": _with(STOCK, """
+SELECT account_name, sku, asin, product_name AS "product-name", CAST(CAST(qty AS BIGINT) AS VARCHAR) AS "afn-fulfillable-quantity" FROM stock"""),
+        "empty_stock_report": _with(ORDERS, STOCK.replace("WHERE p_type <> 'PROMO'", "WHERE FALSE"), pieces(), summary()),
+        "raw_data_small_accounts": _with(SMALL, SMALL_STOCK, pieces(stock_by=""), """
+SELECT o.account_name, sku, product_name, CAST(item_price AS DOUBLE) AS item_price, CAST(quantity AS DOUBLE) AS quantity, CAST(day AS VARCHAR) AS purchase_date_fmt
+FROM o JOIN gate USING (account_name) WHERE status = 'OK'"""),
         "txt_scan": r"""
 SELECT regexp_replace(text, '[\r\n]+', ' ', 'g') AS value, count(*) AS lines FROM conversations GROUP BY 1""",
         "json_records": _with(STOCK, """
@@ -362,6 +392,31 @@ SELECT account_name, count(*) AS raw_lines, CAST(sum(item_price) AS DOUBLE) AS r
        CAST(any_value(t.units) AS DOUBLE) AS units_sold, CAST(any_value(t.revenue) AS DOUBLE) AS revenue
 FROM o JOIN totals t USING (account_name) GROUP BY account_name"""),
         "daily_job": _daily_job(),
+        "dirty_window_filter": _with(ODD, WINDOWS, f"""
+SELECT w.account_name, {iso('start_utc')} AS start_utc, {iso('end_utc')} AS end_utc, CAST(line AS BIGINT) AS line, count(*) AS lines
+FROM o JOIN windows w ON o.account_name = w.account_name AND instant >= start_utc AND instant < end_utc GROUP BY ALL"""),
+        "line_accounting": _with(ODD, """
+ranges AS (
+  SELECT c_mktsegment AS account_name, CAST(min(o_orderdate) AS DATE) AS first_day,
+         CAST(min(o_orderdate) AS DATE) + CAST(date_diff('day', CAST(min(o_orderdate) AS DATE), CAST(max(o_orderdate) AS DATE)) // 2 AS INT) AS last_day
+  FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL
+),
+placed AS (
+  SELECT o.account_name, day, instant >= """ + eastern("first_day") + " AND instant < " + eastern("last_day") + """ AS inside
+  FROM o JOIN ranges r ON o.account_name = r.account_name
+)""", """
+SELECT account_name, count(*) AS landed, count(*) FILTER (inside) AS in_window, count(*) FILTER (day IS NOT NULL AND NOT inside) AS outside,
+       count(*) FILTER (day IS NULL) AS undated
+FROM placed GROUP BY account_name"""),
+        "fine_prices": _with(ODD, """
+SELECT account_name, sku, product_name, CAST(sum(quantity) AS DOUBLE) AS units_sold, CAST(sum(item_price) AS VARCHAR) AS revenue
+FROM o WHERE item_price > 0 GROUP BY ALL"""),
+        "fine_quarantine": _with(ODD, """
+SELECT account_name, order_id, CAST(line AS BIGINT) AS line, purchase_date, price_text AS item_price,
+       concat_ws(',', CASE WHEN day IS NULL THEN 'purchase_date_unreadable' END, CASE WHEN line IN (2, 4) THEN 'item_price_rounded' END) AS reasons
+FROM o WHERE day IS NULL OR line IN (2, 4)"""),
+        "job_latest_snapshot": _with(DISTINCT_WINDOWED, STOCK, pieces(WINDOW_KEYS), summary(WINDOW_KEYS, ISO_KEYS)),
+        "rerun_job": _rerun_job(),
         "report_type_dispatch": _with(ORDERS, STOCK, f"""
 SELECT kind, account_name, count(*) AS lines
 FROM o CROSS JOIN (VALUES ('default'), ('{ORDERS_REPORT}')) AS kinds(kind) GROUP BY ALL
@@ -372,11 +427,27 @@ SELECT account_name, CAST(item_price AS DOUBLE) AS item_price,
     }
 
 
+# Lines that are equal in every column count once.
+DISTINCT_WINDOWED = WINDOWED.replace("every_line AS", "landed AS", 1).replace(
+    ",\no AS (", ",\nevery_line AS (SELECT DISTINCT * FROM landed),\no AS (")
+
+
+def _rerun_job() -> str:
+    """Accounts before F have free lines only by the second run, so nothing of the first is left but the status of their windows."""
+    return _with(DISTINCT_WINDOWED, STOCK, pieces(WINDOW_KEYS), """
+kept AS (SELECT * FROM gate WHERE account_name >= 'F'),
+made AS (SELECT account_name, start_utc, end_utc FROM kept WHERE status = 'OK')""", """
+SELECT 'summary' AS output, account_name, '' AS what, count(*) AS n_rows
+FROM (SELECT account_name FROM fine WHERE account_name >= 'F' UNION ALL SELECT account_name FROM made) GROUP BY account_name
+UNION ALL SELECT 'raw_data', o.account_name, '', count(*) FROM o JOIN made USING (account_name, start_utc, end_utc) GROUP BY o.account_name
+UNION ALL SELECT 'report_index', w.account_name, CASE WHEN g.status IS NULL THEN 'NO_ORDERS' WHEN w.account_name < 'F' THEN 'ZERO_REVENUE' ELSE g.status END AS what, count(*)
+FROM windows w LEFT JOIN gate g ON w.account_name = g.account_name AND w.start_utc = g.start_utc AND w.end_utc = g.end_utc GROUP BY ALL""")
+
+
 def _daily_job() -> str:
-    """Lines that are equal in every column count once; windows without orders have a status row."""
-    distinct = WINDOWED.replace("every_line AS", "landed AS", 1).replace(",\no AS (", ",\nevery_line AS (SELECT DISTINCT * FROM landed),\no AS (")
+    """Windows without orders have a status row."""
     shown = f"w.account_name, {iso('w.start_utc')} AS start_utc, {iso('w.end_utc')} AS end_utc"
     rows = index(WINDOW_KEYS, "g.account_name, g.start_utc, g.end_utc")
-    return _with(distinct, STOCK, pieces(WINDOW_KEYS), f"""
+    return _with(DISTINCT_WINDOWED, STOCK, pieces(WINDOW_KEYS), f"""
 SELECT {shown}, units_sold, revenue, report_name, coalesce(status, 'NO_ORDERS') AS status
 FROM windows w LEFT JOIN ({rows}) r ON w.account_name = r.account_name AND w.start_utc = r.start_utc AND w.end_utc = r.end_utc""")

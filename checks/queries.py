@@ -9,16 +9,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from checks import views as V
-from tallyshelf.columns import ACCOUNT, INVENTORY_REPORT, ORDERS_REPORT
+from tallyshelf.columns import ACCOUNT, INVENTORY_REPORT, ORDERS_REPORT, SUMMARY_HEADERS
 from tallyshelf.functions.dates import iso_utc
 from tallyshelf.operators.chunks import merge_chunks, union_chunks
 from tallyshelf.operators.clean import clean_orders, clean_stock, quarantine
 from tallyshelf.operators.coverage import cover_accounts
 from tallyshelf.operators.ranking import block_starts, rank_rows, sort_into_blocks
 from tallyshelf.operators.report_log import latest_ready, resolve_reports
-from tallyshelf.operators.requests import in_window, preset_requests, resolve_windows, split_windows
+from tallyshelf.operators.requests import in_window, line_accounting, preset_requests, resolve_windows, split_windows
 from tallyshelf.operators.sku_sales import paid_orders, sales_by_sku, sku_rollup, sold_units
-from tallyshelf.operators.stock import stock_per_sku, with_stock
+from tallyshelf.operators.stock import SNAPSHOT, stock_per_sku, with_stock
 from tallyshelf.plans.daily_job import run_daily_job
 from tallyshelf.plans.on_hand import on_hand_index, on_hand_report
 from tallyshelf.plans.presentation import ON_HAND_BARS, sales_display, with_bars
@@ -245,6 +245,34 @@ def q_csv_scan(spark, sf):
     return scan_stored(spark, path, "csv")
 
 
+def q_tsv_scan(spark, sf):
+    """Two folders of one table, the second with its columns turned round."""
+    path, stock = Scratch(spark).path("tsv"), _text(V.inventory_view(spark, sf))
+    sold_out = F.col("afn-fulfillable-quantity") == "0"
+    for part, rows in (("full", stock.filter(~sold_out)), ("empty", stock.filter(sold_out).select(*reversed(stock.columns)))):
+        rows.write.options(header=True, sep="\t", compression="gzip").csv(f"{path}/{part}")
+    return scan_stored(spark, path, "tsv")
+
+
+def q_json_array_scan(spark, sf):
+    """Files that each hold the array of an account's stock rows."""
+    path, stock = Scratch(spark).path("arrays"), V.inventory_view(spark, sf)
+    arrays = stock.groupBy(ACCOUNT).agg(F.to_json(F.collect_list(F.struct(*[F.col(f"`{c}`") for c in stock.columns]))).alias("value"))
+    arrays.select("value", F.col(ACCOUNT).alias("part")).write.partitionBy("part").text(path)
+    return scan_records(spark, path, stock.columns).drop("part")
+
+
+def q_empty_stock_report(spark, sf):
+    """Sales of all accounts, none of which has a stock row."""
+    return sales_report(V.orders_view(spark, sf), V.inventory_view(spark, sf).filter("false")).summary
+
+
+def q_raw_data_small_accounts(spark, sf):
+    """Raw lines of the accounts whose report is OK, among many whose isn't."""
+    report = sales_report(V.small_accounts_view(spark, sf), V.inventory_view(spark, sf).drop(ACCOUNT))
+    return report.raw_data.select(ACCOUNT, "sku", "product_name", "item_price", "quantity", "purchase_date_fmt")
+
+
 def q_txt_scan(spark, sf):
     path = Scratch(spark).path("txt")
     V.table(spark, sf, "conversations").select(F.regexp_replace("text", r"[\r\n]+", " ").alias("value")).write.text(path)
@@ -298,6 +326,71 @@ def q_daily_job(spark, sf):
     return index.select(*WINDOW_BY, "units_sold", "revenue", "report_name", "status")
 
 
+def q_dirty_window_filter(spark, sf):
+    """Lines with offsets, unreadable instants and dates, by window."""
+    windows = split_windows(V.whole_range_requests(spark, sf), V.AS_OF).select(*WINDOW_BY)
+    return in_window(V.odd_orders_view(spark, sf), windows).groupBy(*WINDOW_BY, "line").agg(F.count(F.lit(1)).alias("lines"))
+
+
+def q_line_accounting(spark, sf):
+    """Every landed line is in a window, outside all, or without a day."""
+    windows = split_windows(V.half_range_requests(spark, sf), V.AS_OF).select(*WINDOW_BY)
+    return line_accounting(V.odd_orders_view(spark, sf), windows)
+
+
+def q_fine_prices(spark, sf):
+    """Exact sums of very fine and very large prices, as text."""
+    sales = sales_by_sku(clean_orders(V.odd_orders_view(spark, sf)), BY)
+    return sales.withColumns({"revenue": F.col("revenue").cast("string"), "units_sold": F.col("units_sold").cast("double")})
+
+
+def q_fine_quarantine(spark, sf):
+    """Lines with prices finer than amounts hold, or without a day."""
+    return quarantine(V.odd_orders_view(spark, sf)).select(
+        ACCOUNT, "order_id", "line", "purchase_date", "item_price", F.concat_ws(",", "reasons").alias("reasons"))
+
+
+# When the two stock snapshots were taken.
+SNAPSHOTS = ("2001-06-01T00:00:00", "2001-07-01T00:00:00")
+
+
+def q_job_latest_snapshot(spark, sf):
+    """The summary the job writes from two stock snapshots, for requests that spell accounts in lower case."""
+    scratch = Scratch(spark)
+    landing, out = scratch.path("landing"), scratch.path("out")
+    write_flat_files(_text(V.orders_view(spark, sf)), landing_folder(landing, ORDERS_REPORT), BY, "gzip")
+    stock, quantity = V.inventory_view(spark, sf), "afn-fulfillable-quantity"
+    taken = [stock.withColumn(quantity, F.col(quantity) + more).withColumn(SNAPSHOT, F.lit(at)) for more, at in zip((5, 0), SNAPSHOTS)]
+    write_flat_files(_text(taken[0].unionByName(taken[1])), landing_folder(landing, INVENTORY_REPORT), (ACCOUNT, SNAPSHOT))
+    requests = V.whole_range_requests(spark, sf).withColumn(ACCOUNT, F.lower(ACCOUNT))
+    run_daily_job(spark, landing, requests, V.AS_OF, out)
+    rows = spark.read.parquet(f"{out}/summary")
+    return rows.withColumnsRenamed({h: i for i, h in SUMMARY_HEADERS.items()})
+
+
+def q_rerun_job(spark, sf):
+    """Run for all accounts, then again for some, whose lines are all free by now: counts of what is written."""
+    scratch = Scratch(spark)
+    landing, out = scratch.path("landing"), scratch.path("out")
+    orders, requests = _text(V.orders_view(spark, sf)), V.whole_range_requests(spark, sf)
+    some = F.col(ACCOUNT) < "F"
+    write_flat_files(orders, landing_folder(landing, ORDERS_REPORT), BY)
+    write_flat_files(_text(V.inventory_view(spark, sf)), landing_folder(landing, INVENTORY_REPORT), BY)
+    run_daily_job(spark, landing, requests, V.AS_OF, out)
+    again = {ORDERS_REPORT: scratch.path("again"), INVENTORY_REPORT: landing_folder(landing, INVENTORY_REPORT)}
+    write_flat_files(orders.filter(some).withColumn("item-price", F.lit("0.00")), again[ORDERS_REPORT], BY)
+    run_daily_job(spark, again, requests.filter(some), V.AS_OF, out)
+
+    def counted(name, what):
+        rows = spark.read.parquet(f"{out}/{name}")
+        return rows.groupBy(F.lit(name).alias("output"), ACCOUNT, what.alias("what")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+    nothing = F.lit("")
+    parts = [counted("summary", nothing), counted("raw_data", nothing), counted("report_index", F.col("status")),
+             counted("quarantine", nothing), counted("rejected_lines", nothing), counted("refused_requests", nothing)]
+    return union_chunks(parts)
+
+
 def q_report_type_dispatch(spark, sf):
     """Lines landed under each report type, the unnamed one being orders."""
     scratch = Scratch(spark)

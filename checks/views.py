@@ -100,6 +100,40 @@ def dirty_orders_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def odd_orders_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order lines as text, with offsets, unreadable instants and dates, and very fine and very large prices."""
+    line = F.col("l_linenumber")
+    price = F.col("l_extendedprice").cast("decimal(18,2)").cast("string")
+    day = _day("o_orderdate")
+    return _lines(spark, sf_dir).select(
+        F.col("c_mktsegment").alias(ACCOUNT), F.col("l_orderkey").alias("order_id"), line.alias("line"),
+        F.concat(F.lit("SKU-"), F.col("l_partkey")).alias("sku"), F.col("p_name").alias("product-name"),
+        F.when(line == 1, F.concat(day, F.lit("T23:30:00-08:00")))
+        .when(line == 2, F.concat(day, F.lit("T99:00")))
+        .when(line == 3, F.lit("junk"))
+        .when(line == 4, F.lit(None).cast("string"))
+        .when(line == 5, F.concat(day, F.lit("Tx")))
+        .otherwise(F.concat(day, F.lit("T00:30:00+09:00"))).alias("purchase-date"),
+        F.when(line == 1, F.lit("0.00001"))
+        .when(line == 2, F.concat(price, F.lit("9999999")))
+        .when(line == 3, F.lit("123456789012345.25"))
+        .when(line == 4, F.lit("0.000000001"))
+        .when(line == 5, F.lit("-0.00001"))
+        .when(line == 6, F.lit("1e-5"))
+        .otherwise(price).alias("item-price"),
+        F.col("l_quantity").cast("int").cast("string").alias("quantity"),
+    )
+
+
+def half_range_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One request per account over the first half of its orders' days."""
+    orders = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    first, last = F.min("o_orderdate").cast("date"), F.max("o_orderdate").cast("date")
+    ranges = orders.groupBy(F.col("c_mktsegment").alias(ACCOUNT)).agg(first.alias("first"), last.alias("last"))
+    middle = F.expr("date_add(first, cast(datediff(last, first) div 2 as int))")
+    return ranges.select(ACCOUNT, F.date_format("first", "MM-dd-yyyy").alias("start_date"), F.date_format(middle, "MM-dd-yyyy").alias("end_date"))
+
+
 def inventory_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stock of every account; promotional products are not stocked, small ones are sold out."""
     account = F.explode(F.array(*[F.lit(a) for a in ACCOUNTS])).alias(ACCOUNT)

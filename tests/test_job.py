@@ -41,19 +41,19 @@ def test_files_to_reports_twice(spark, tmp_path):
         raw = spark.read.parquet(f"{out}/raw_data")
         assert raw.count() == 3 and {"item-price", "purchase-date-fmt"} <= set(raw.columns)
         index = spark.read.parquet(f"{out}/report_index")
-        assert sorted(listed(index, ACCOUNT, "status")) == [("ab", "OK"), ("cd", "ZERO_REVENUE"), ("ef", "NO_ORDERS")]
+        assert sorted(listed(index, ACCOUNT, "status")) == [("AB", "OK"), ("CD", "ZERO_REVENUE"), ("EF", "NO_ORDERS")]
         assert listed(spark.read.parquet(f"{out}/quarantine"), "item_price") == [("x",)]
-        assert listed(spark.read.parquet(f"{out}/rejected_lines"), ACCOUNT, "line") == [("cd", "1\t2\t3\t4\t5\t6")]
-        assert listed(spark.read.parquet(f"{out}/refused_requests"), ACCOUNT, "end_date") == [("ab", "11-01-2024")]
+        assert listed(spark.read.parquet(f"{out}/rejected_lines"), ACCOUNT, "line") == [("CD", "1\t2\t3\t4\t5\t6")]
+        assert listed(spark.read.parquet(f"{out}/refused_requests"), ACCOUNT, "end_date") == [("AB", "11-01-2024")]
         on_hand = spark.read.parquet(f"{out}/on_hand").orderBy(ACCOUNT, "report_rank")
-        assert listed(on_hand, ACCOUNT, "sku", "on-hand", "received") == [("ab", "a", 7.0, 9.0), ("cd", "z", 3.0, 4.0)]
+        assert listed(on_hand, ACCOUNT, "sku", "on-hand", "received") == [("AB", "a", 7.0, 9.0), ("CD", "z", 3.0, 4.0)]
 
 
 def test_nothing_landed_or_no_stock(spark, tmp_path):
     requests = asked(spark, ("ab", "11-01-2024", "11-20-2024"))
     out = str(tmp_path / "none")
     run_daily_job(spark, str(tmp_path / "landing"), requests, NOW, out)
-    assert listed(spark.read.parquet(f"{out}/report_index"), ACCOUNT, "status") == [("ab", "NO_ORDERS")]
+    assert listed(spark.read.parquet(f"{out}/report_index"), ACCOUNT, "status") == [("AB", "NO_ORDERS")]
     land(spark, tmp_path / "landing")
     out = str(tmp_path / "orders-only")
     folders = {ORDERS_REPORT: f"{tmp_path}/landing/{ORDERS_REPORT}", INVENTORY_REPORT: f"{tmp_path}/nowhere"}

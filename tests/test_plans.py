@@ -10,6 +10,7 @@ from tallyshelf.columns import ACCOUNT
 from tallyshelf.operators.clean import clean_orders
 from tallyshelf.operators.copies import CHUNK, SPAN
 from tallyshelf.operators.ranking import block_starts, rank_rows, sort_into_blocks
+from tallyshelf.operators import requests
 from tallyshelf.operators.report_log import latest_ready
 from tallyshelf.operators.requests import in_window, resolve_windows
 from tallyshelf.operators.sku_sales import paid_orders, sales_by_sku, sku_rollup
@@ -65,7 +66,17 @@ def test_windows_are_joined_by_account_and_day(spark, typed_orders):
     lines = clean_orders(typed_orders)
     text = plan(in_window(lines, resolve_windows(asked, "2002-01-01").select(ACCOUNT, "start_utc", "end_utc")))
     join = next(line for line in text.splitlines() if "Join" in line)
-    assert join.count(ACCOUNT) == 2 and join.count("purchase_date_fmt") == 2
+    keys = join[join.index("["):join.index("Inner")]
+    assert keys.count(ACCOUNT) == 2 and "purchase_date_fmt" in keys and "window_day" in keys
+
+
+def test_many_windows_are_not_broadcast(spark, typed_orders, monkeypatch):
+    """The table of windows packs to little, whatever its rows would take in memory."""
+    monkeypatch.setattr(requests, "BROADCAST_DAYS", 100)
+    starts = spark.range(100).select(F.lit("BUILDING").alias(ACCOUNT), F.timestamp_seconds(F.col("id") * 86400 + 883612800).alias("start_utc"))
+    windows = starts.withColumn("end_utc", F.col("start_utc") + F.expr("INTERVAL 1 DAY"))
+    text = plan(in_window(clean_orders(typed_orders), windows))
+    assert "SortMergeJoin" in text and "Broadcast" not in text
 
 
 def test_days_outside_all_windows_are_not_read(spark, typed_orders):

@@ -1,0 +1,144 @@
+"""Running the job again, odd landings, and options that can't be met."""
+
+import pytest
+
+from tallyshelf import Scratch
+from tallyshelf.columns import ACCOUNT, INVENTORY_REPORT, ORDERS_REPORT
+from tallyshelf.operators.chunks import distinct_rows
+from tallyshelf.operators.clean import clean_orders, quarantine
+from tallyshelf.operators.requests import in_window, line_accounting
+from tallyshelf.operators.stock import SNAPSHOT, latest_snapshot
+from tallyshelf.plans.daily_job import run_daily_job
+from tallyshelf.plans.sales_report import sales_report
+from tallyshelf.sinks.tables import write_partitions
+from tallyshelf.sources.flat_files import write_flat_files
+from tests.tables import ORDER_HEADER, listed, orders, stock
+
+NOW = "2024-11-25T12:00:00"
+RANGE = ("11-01-2024", "11-20-2024")
+DAY = "2024-11-10T12:00:00Z"
+
+
+def asked(spark, *accounts):
+    return spark.createDataFrame([(a, *RANGE) for a in accounts], f"{ACCOUNT} string, start_date string, end_date string")
+
+
+def land(spark, folder, *rows):
+    write_flat_files(orders(spark, *rows), f"{folder}/{ORDERS_REPORT}", (ACCOUNT,))
+    write_flat_files(stock(spark, ("a", "7", "ab"), ("a", "7", "cd")), f"{folder}/{INVENTORY_REPORT}", (ACCOUNT,))
+    return str(folder)
+
+
+def table(spark, out, name, *columns):
+    return sorted(listed(spark.read.parquet(f"{out}/{name}"), *columns), key=repr)
+
+
+def test_a_rerun_leaves_nothing_old(spark, tmp_path):
+    out = str(tmp_path / "out")
+    first = land(spark, tmp_path / "one", ("a", "pa", "5", "1", DAY, "ab"), ("b", "pb", "x", "1", DAY, "ab"))
+    run_daily_job(spark, first, asked(spark, "ab"), NOW, out)
+    assert table(spark, out, "summary", ACCOUNT, "revenue") and len(table(spark, out, "quarantine", ACCOUNT)) == 1
+    second = land(spark, tmp_path / "two", ("a", "pa", "0", "1", DAY, "ab"), ("b", "pb", "0", "1", DAY, "ab"))
+    run_daily_job(spark, second, asked(spark, "ab"), NOW, out)
+    for name in ("summary", "raw_data", "quarantine", "rejected_lines", "refused_requests"):
+        assert table(spark, out, name, ACCOUNT) == [], name
+    assert table(spark, out, "report_index", ACCOUNT, "status") == [("AB", "ZERO_REVENUE")]
+
+
+def test_other_accounts_stay(spark, tmp_path):
+    out = str(tmp_path / "out")
+    folder = land(spark, tmp_path / "in", ("a", "pa", "5", "1", DAY, "ab"), ("a", "pa", "4", "1", DAY, "cd"))
+    run_daily_job(spark, folder, asked(spark, "AB"), NOW, out)
+    run_daily_job(spark, folder, asked(spark, "Cd"), NOW, out)
+    assert table(spark, out, "report_index", ACCOUNT, "revenue") == [("AB", 5.0), ("CD", 4.0)]
+    assert {r[0] for r in table(spark, out, "summary", ACCOUNT)} == {"AB", "CD"}
+    assert table(spark, out, "on_hand_index", ACCOUNT) == [("AB",), ("CD",)]
+
+
+def test_spellings_of_an_account_are_one(spark, tmp_path):
+    out = str(tmp_path / "out")
+    folder = land(spark, tmp_path / "in", ("a", "pa", "5", "1", DAY, "aB"), ("a", "pa", "4", "1", DAY, "AB"))
+    run_daily_job(spark, folder, asked(spark, "ab"), NOW, out)
+    assert table(spark, out, "report_index", ACCOUNT, "status", "revenue") == [("AB", "OK", 9.0)]
+
+
+def test_the_last_snapshot_is_used(spark, tmp_path):
+    out, folder = str(tmp_path / "out"), land(spark, tmp_path / "in", ("a", "pa", "5", "1", DAY, "ab"))
+    inventory = f"{folder}/{INVENTORY_REPORT}"
+    for at, units in (("2024-11-20T00:00:00", "3"), ("2024-11-24T00:00:00", "2"), ("2024-11-26T00:00:00", "9")):
+        write_flat_files(stock(spark, ("a", units, "ab")).drop(ACCOUNT), f"{inventory}/{ACCOUNT}=ab/{SNAPSHOT}={at.replace(':', '%3A')}")
+    run_daily_job(spark, folder, asked(spark, "ab"), NOW, out)
+    rows = table(spark, out, "summary", "sku", "revenue", "`remaining units`")
+    assert rows == [("Grand Total", 5.0, None), ("a", 5.0, 2.0)]
+    assert table(spark, out, "on_hand", ACCOUNT, "`on-hand`") == [("AB", 2.0), ("CD", 7.0)]
+
+
+def test_snapshots_without_times_are_the_oldest(spark):
+    rows = [("ab", "a", None), ("ab", "b", "2024-11-01T00:00:00"), ("cd", "c", None), ("cd", "d", "junk"), ("ef", "e", "2025-01-01T00:00:00")]
+    df = spark.createDataFrame(rows, f"{ACCOUNT} string, sku string, {SNAPSHOT} string")
+    assert sorted(listed(latest_snapshot(df, NOW), ACCOUNT, "sku")) == [("ab", "b"), ("cd", "d")]
+
+
+def test_options_are_checked_before_anything_is_read(spark):
+    for options, said in (({"fmt": "xlsx"}, "format"), ({"inventory_policy": "guess"}, "policy")):
+        with pytest.raises(ValueError, match=said):
+            run_daily_job(spark, "/nowhere", None, NOW, "/nowhere", **options)
+
+
+def test_every_line_is_in_one_place(spark):
+    dates = ["2024-11-10T23:30:00-08:00", "2024-11-10T99:00", "2024-11-10Tx", "2024-11-10", "junk", None, "2024-12-10T00:00:00Z"]
+    lines = orders(spark, *[("a", "pa", "1", "1", d, "ab") for d in dates])
+    window = spark.sql("SELECT 'ab' AS account_name, timestamp'2024-11-01' AS start_utc, timestamp'2024-12-01' AS end_utc")
+    assert sorted(str(r[0]) for r in listed(in_window(lines, window), "purchase_date")) == sorted(dates[:4])
+    assert listed(line_accounting(lines, window), "landed", "in_window", "outside", "undated") == [(7, 4, 1, 2)]
+    reasons = [r.reasons for r in quarantine(lines).collect()]
+    assert reasons == [["purchase_date_unreadable"]] * 2
+
+
+def test_no_price_is_rounded_to_nothing(spark):
+    prices = ["0.00001", "0.000000001", "-0.000000001", "19.99999", "123456789012345.25", "1e-5", "0"]
+    lines = orders(spark, *[("s" + str(i), "p", p, "1") for i, p in enumerate(prices)])
+    got = {r.sku: r.revenue for r in sales_report(lines, stock(spark)).summary.filter("NOT is_total").collect()}
+    assert got == {"s0": 0.00001, "s1": 1e-8, "s3": 19.99999, "s4": 123456789012345.25, "s5": 0.00001}
+    assert sorted(r.sku for r in quarantine(lines).collect()) == ["s1", "s2"]
+    assert clean_orders(lines).filter("item_price = 0").count() == 1
+
+
+def test_spellings_of_numbers_collapse_and_stay_as_they_arrived(spark):
+    header = [*ORDER_HEADER, "tax"]
+    rows = [("ab", "1.0", "p", DAY, "1.50", "1", "2.0"), ("ab", "1.0", "p", DAY, "1.5", "1", "2"), ("ab", "1", "p", DAY, "1.5", "1", "2"), ("ab", "x", "p", DAY, "abc", "1", "007")]
+    df = spark.createDataFrame([*rows, rows[3][:6] + ("7",)], ", ".join(f"`{c}` string" for c in header))
+    got = sorted(listed(distinct_rows(df), "sku", "`item-price`", "tax"))
+    assert got == [("1", "1.5", "2"), ("1.0", "1.5", "2"), ("x", "abc", "007"), ("x", "abc", "7")]
+
+
+def test_only_partitions_in_scope_go(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame([("ab", "x", 1), ("cd", "x", 1), (None, "y y", 1)], f"{ACCOUNT} string, day string, n int")
+    by = (ACCOUNT, "day")
+    for fmt in ("parquet", "json", "csv"):
+        write_partitions(df, f"{path}/{fmt}", by, fmt)
+        scope = spark.createDataFrame([("ab",), ("ef",), (None,)], f"{ACCOUNT} string")
+        write_partitions(df.filter("false"), f"{path}/{fmt}", by, fmt, scope=scope)
+        assert listed(spark.read.option("header", True).format(fmt).load(f"{path}/{fmt}"), ACCOUNT) == [("cd",)]
+
+
+def test_tables_without_rows_can_be_read(spark, tmp_path):
+    df = spark.createDataFrame([], f"{ACCOUNT} string, n int")
+    write_partitions(df, str(tmp_path / "t"))
+    back = spark.read.parquet(str(tmp_path / "t"))
+    assert back.count() == 0 and set(back.columns) == {ACCOUNT, "n"}
+
+
+def test_scratch_goes_when_the_job_fails(spark, tmp_path):
+    before = set(path_names(spark))
+    with pytest.raises(Exception, match="no_such"):
+        run_daily_job(spark, land(spark, tmp_path / "in", ("a", "pa", "5", "1", DAY, "ab")), asked(spark, "ab").withColumnRenamed("end_date", "no_such"), NOW, str(tmp_path / "out"))
+    assert set(path_names(spark)) <= before
+
+
+def path_names(spark):
+    folder = Scratch(spark)
+    names = [s.getPath().getName() for s in folder._files.listStatus(folder._path.getParent())]
+    folder.clear()
+    return [n for n in names if n != folder.folder.rsplit("/", 1)[-1]]
