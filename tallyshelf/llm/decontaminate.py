@@ -5,7 +5,8 @@ at least one piece of it occurs unchanged. All pieces are searched for at once i
 verified: Myers' bit-parallel distance gives the least number of edits between the item and any passage around the hit.
 
 Texts are compared in lower case, with one space for all that is neither letter nor digit. Items longer than PASSAGE are
-cut into passages between words, and a document leaks an item if it holds any of its passages.
+cut into equal passages between words, each with its share of the budget, and a document leaks an item if it holds any of
+them: a copy of the whole item within budget has a passage within budget, and so has a long excerpt.
 
 Scale: the benchmark is the query set, taken in blocks of a fixed number of characters; each block is one pass over the
 documents, without a shuffle. Only a block goes through the driver.
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from tallyshelf.llm.common import ship_package
 
 # Documented parameters: edits per character of a passage, characters of a passage, and of a block of the benchmark.
-BUDGET, PASSAGE, LEAST, BLOCK = 0.08, 400, 40, 400_000
+BUDGET, PASSAGE, LEAST, BLOCK = 0.08, 120, 40, 400_000
 APART = re.compile(r"[\W_]+")
 Passage = tuple[object, int, str]
 

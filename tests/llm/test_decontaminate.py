@@ -4,7 +4,7 @@ import re
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tallyshelf.llm.decontaminate import BUDGET, LEAST, Finder, cuts_of, drop_leaks, find_leaks, least_edits, passages_of
+from tallyshelf.llm.decontaminate import BUDGET, LEAST, PASSAGE, Finder, cuts_of, drop_leaks, find_leaks, least_edits, passages_of
 from tests.llm.samples import odd_documents, prose, rows_of
 
 
@@ -20,21 +20,19 @@ def plain_distance(pattern, text):
 
 
 def plain_leaks(docs, items):
-    """(doc, item, least edits) of all items within budget; every item against every document that shares a word run."""
+    """(doc, item, passage, least edits) within budget; every passage against every document that has one of its pieces."""
     normal = lambda t: re.sub(r"[\W_]+", " ", t or "").lower().strip()
+    passages = [(i, n, p) for i, item in items for n, p in enumerate(passages_of(item or "", PASSAGE, LEAST))]
     found = set()
     for d, text in docs:
         body = normal(text)
-        for i, item in items:
-            passage = normal(item)
-            if len(passage) < LEAST:
-                continue
+        for i, number, passage in passages:
             edits = int(len(passage) * BUDGET)
             cuts = cuts_of(len(passage), edits)
             if any(passage[a:b] in body for a, b in zip(cuts, cuts[1:], strict=False)):
                 distance = least_edits(passage, body)[0]
                 if distance <= edits:
-                    found.add((d, i, distance))
+                    found.add((d, i, number, distance))
     return found
 
 
@@ -72,12 +70,18 @@ def test_long_items_are_cut_between_words():
     assert " ".join(parts) == prose(500, 14) and max(map(len, parts)) <= 420
 
 
+def test_a_long_excerpt_is_a_leak(spark):
+    docs = spark.createDataFrame([(1, "Before. " + prose(60, 21)[150:420] + " after."), (2, prose(90, 22)), (3, prose(60, 21)[:60])], "doc_id long, text string")
+    items = spark.createDataFrame([(7, prose(60, 21))], "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in find_leaks(docs, items).collect()} == {(1, 7)}
+
+
 def test_odd_rows_and_items(spark):
     docs = odd_documents(spark)
     first = docs.where("doc_id = 1").first().text
     items = spark.createDataFrame([(1, first[:200]), (2, None), (3, ""), (4, "ba"), (1, first[:200]), (5, prose(30, 99))], "item_id long, text string")
-    got = rows_of(find_leaks(docs, items), "doc_id", "item_id", "edits")
-    assert got == [(d, 1, 0) for d in (1, 1, 2, 2, 3, 3, 3, 3)]
+    got = rows_of(find_leaks(docs, items), "doc_id", "item_id", "passage", "edits")
+    assert got == sorted((d, 1, p, 0) for d in (1, 1, 2, 2, 3, 3, 3, 3) for p in (0, 1))
     clean = drop_leaks(docs, items)
     assert clean.columns == docs.columns and clean.count() == docs.count() - 4
 

@@ -38,7 +38,7 @@ def test_leaks_are_those_of_a_plain_search(spark):
 
     items = duckdb.connect().execute(f"SELECT item_id, text FROM '{SF}/benchmark.parquet'").fetchall()
     got = registry.queries()["op1_decontamination"](spark, SF).collect()
-    assert {(r.doc_id, r.item_id, r.edits) for r in got} == plain_leaks([d[:2] for d in documents()], items)
+    assert {(r.doc_id, r.item_id, r.passage, r.edits) for r in got} == plain_leaks([d[:2] for d in documents()], items)
 
 
 def test_language_of_held_out_documents(spark):
@@ -84,7 +84,7 @@ def test_pipeline_is_its_stages_one_after_the_other(spark):
     kept = plain_components([(r.doc_id, r.text) for r in rows])
     rows = [r for r in rows if kept[r.doc_id] == r.doc_id]
     items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]
-    leaks = {d for d, _, _ in plain_leaks([(r.doc_id, r.text) for r in rows], items)}
+    leaks = {d for d, *_ in plain_leaks([(r.doc_id, r.text) for r in rows], items)}
     rows = [r for r in rows if r.doc_id not in leaks]
     copies = plain_copies([(r.doc_id, r.source, r.text) for r in rows])
     want = sorted(tuple(r) + (plain_jump(spark_hash(r.doc_id), P.SHARDS),) for r in rows for _ in range(copies[r.doc_id]))
