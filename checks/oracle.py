@@ -368,6 +368,8 @@ SELECT account_name, report_rank, sku, product_name, format('{{:,.0f}}', units_s
        '$' || format('{{:,.2f}}', revenue) AS revenue, format('{{:,.0f}}', remaining_units) AS remaining_units
 FROM ({summary()})"""),
         "flat_file_scan": _with(ORDERS, RAW_ORDERS.format(**INTERNAL).replace("order_id,", "CAST(order_id AS VARCHAR) AS order_id,")),
+        "mixed_header_scan": _with(ORDERS, RAW_ORDERS.format(**INTERNAL).replace(
+            "order_id,", "CASE WHEN item_price > 0 THEN CAST(order_id AS VARCHAR) END AS order_id,")),
         "csv_scan": _with(STOCK, """
 SELECT account_name, sku, asin, product_name AS "product-name", CAST(CAST(qty AS BIGINT) AS VARCHAR) AS "afn-fulfillable-quantity" FROM stock"""),
         "tsv_scan": _with(STOCK, """

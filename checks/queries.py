@@ -239,6 +239,15 @@ def q_flat_file_scan(spark, sf):
     return clean_orders(union_chunks(chunks))
 
 
+def q_mixed_header_scan(spark, sf):
+    """One folder whose files list their columns in two orders, plain and gzipped; one kind lacks a column."""
+    path, orders = Scratch(spark).path("mixed"), _text(V.orders_view(spark, sf))
+    free = F.col("item-price") == "0.00"
+    write_flat_files(orders.filter(~free), f"{path}/paid", (), "gzip")
+    write_flat_files(orders.filter(free).select(*[c for c in reversed(orders.columns) if c != "order_id"]), f"{path}/free")
+    return clean_orders(scan_flat_files(spark, path).rows)
+
+
 def q_csv_scan(spark, sf):
     path = Scratch(spark).path("csv")
     _text(V.inventory_view(spark, sf)).write.options(header=True).csv(path)
