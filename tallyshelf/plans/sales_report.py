@@ -140,7 +140,9 @@ class SalesReport:
 
     @cached_property
     def ordered(self) -> DataFrame:
-        return sort_into_blocks(self.products, self.by, report_order(), self.scratch)
+        # Written first: the sort runs its input twice, once for the sample, and this one holds the stock join.
+        products = self.scratch.table(self.products, "products")
+        return sort_into_blocks(products, self.by, report_order(), self.scratch)
 
     @cached_property
     def ledger(self) -> DataFrame:
