@@ -17,12 +17,13 @@ from tallyshelf.llm.near_duplicates import keep_one
 from tallyshelf.llm.sharding import with_shard
 from tallyshelf.scratch import Scratch
 
-# Documented parameters: least score of a language that counts as known, and the number of shards.
-LEAST_SCORE, SHARDS = 0.35, 16
+# Documented parameters: least score of a language that counts as known, and the number of shards. Short clean texts
+# score low, so only texts without any language are rejected.
+LEAST_SCORE, SHARDS = 0.0, 16
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a letter and those of no clear language."""
+    """Drops documents without a language: no text, or no letter in it."""
     return known_language(docs, LEAST_SCORE)
 
 
