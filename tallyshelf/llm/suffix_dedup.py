@@ -180,23 +180,46 @@ def _lists(doc: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, list[pa.Ar
     return doc[starts], [pa.ListArray.from_arrays(offsets, pa.array(v, pa.int64())) for v in values]
 
 
-def _shared_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each part the places whose hash two documents have, by document."""
+def _to_buckets(buckets: int, doc: np.ndarray, *values: np.ndarray) -> pa.RecordBatch:
+    """Values of documents as one blob per bucket, which the id alone decides."""
+    with np.errstate(over="ignore"):
+        bucket = (mix(doc.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+    order = np.lexsort((doc, bucket))
+    bounds = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    rows = []
+    for b in range(buckets):
+        some = order[bounds[b] : bounds[b + 1]]
+        if len(some):
+            rows.append((b, False, _pack(doc[some], *(v[some] for v in values))))
+    return _blobs(rows)
+
+
+def _shared_places(buckets: int) -> Callable:
+    """Of each part the places whose hash two documents have, sent to the documents' buckets."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for merge, _ in _by_part(batches):
+            lows, docs, places = [], [], []
+            for blob in merge:
+                steps, names, number, at = _unpack(blob)
+                lows.append(np.cumsum(steps, dtype=np.uint64))
+                docs.append(np.cumsum(names)[number])
+                places.append(at)
+            low, doc, at = np.concatenate(lows), np.concatenate(docs), np.concatenate(places)
+            order = np.argsort(low, kind="stable")
+            low, doc, at = low[order], doc[order], at[order]
+            starts = np.flatnonzero(np.r_[True, low[1:] != low[:-1]])
+            several = np.minimum.reduceat(doc, starts) < np.maximum.reduceat(doc, starts)
+            keep = np.repeat(several, np.diff(np.append(starts, len(low))))
+            yield _to_buckets(buckets, doc[keep], at[keep])
+
+    return run
+
+
+def _document_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per document of a bucket with all its places."""
     for merge, _ in _by_part(batches):
-        lows, docs, places = [], [], []
-        for blob in merge:
-            steps, names, number, at = _unpack(blob)
-            lows.append(np.cumsum(steps, dtype=np.uint64))
-            docs.append(np.cumsum(names)[number])
-            places.append(at)
-        low, doc, at = np.concatenate(lows), np.concatenate(docs), np.concatenate(places)
-        order = np.argsort(low, kind="stable")
-        low, doc, at = low[order], doc[order], at[order]
-        starts = np.flatnonzero(np.r_[True, low[1:] != low[:-1]])
-        several = np.minimum.reduceat(doc, starts) < np.maximum.reduceat(doc, starts)
-        keep = np.repeat(several, np.diff(np.append(starts, len(low))))
-        doc, at = doc[keep], at[keep]
-        order = np.argsort(doc, kind="stable")
+        doc, at = (np.concatenate(x) for x in zip(*map(_unpack, merge), strict=True))
+        order = np.lexsort((at, doc))
         names, (lists,) = _lists(doc[order], at[order])
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), lists], ["id", "places"])
 
@@ -367,10 +390,8 @@ def _covered(blobs: list[bytes], length: int, seed: int) -> tuple[np.ndarray, np
     left_most = length - seed
     decoded = [_unpack(b) for b in blobs]
     items, prefixes, firsts = [], [], []
-    rights = []
     for shared, tails, right_size, *_ in decoded:
         right = _front_decode(shared.astype(np.int64), tails, length)
-        rights.append(right)
         new = np.r_[True, shared[1:] < length]
         at = np.flatnonzero(new)
         raw = right[at].tobytes()
@@ -424,30 +445,33 @@ def _covered(blobs: list[bytes], length: int, seed: int) -> tuple[np.ndarray, np
     return np.repeat(doc[hit], n), texts, places - np.repeat(far[hit], n), places - np.repeat(near[hit], n) + length
 
 
-def _spans(length: int, seed: int) -> Callable:
-    """Covered spans of each part by document; overlapping ones as one."""
+def _spans(length: int, seed: int, buckets: int) -> Callable:
+    """Covered spans of each part, sent to the documents' buckets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for merge, through in _by_part(batches):
             found = [tuple(_unpack(b)) for b in through]
             if merge:
                 found.append(_covered(merge, length, seed))
-            doc, text, low, high = (np.concatenate(x) for x in zip(*found, strict=True))
-            order = np.lexsort((low, text, doc))
-            doc, text, low, high = doc[order], text[order], low[order], high[order]
-            if not len(doc):
-                continue
-            row = np.cumsum(np.r_[True, (doc[1:] != doc[:-1]) | (text[1:] != text[:-1])]) - 1
-            reach = np.maximum.accumulate(high + row * (1 << 40)) - row * (1 << 40)
-            first = np.r_[True, (row[1:] != row[:-1]) | (low[1:] > reach[:-1])]
-            starts = np.flatnonzero(first)
-            ends = reach[np.append(starts[1:], len(low)) - 1]
-            names, lists = _lists(row[starts], low[starts], ends)
-            at = np.searchsorted(row, names)
-            yield pa.RecordBatch.from_arrays([pa.array(doc[at], pa.int64()), pa.array(text[at], pa.int64()), *lists], ["id", "text_hash", "low", "high"])
+            yield _to_buckets(buckets, *(np.concatenate(x) for x in zip(*found, strict=True)))
 
     return run
 
 
+def _document_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per text of a bucket with its covered spans; those that touch as one."""
+    for merge, _ in _by_part(batches):
+        doc, text, low, high = (np.concatenate(x) for x in zip(*map(_unpack, merge), strict=True))
+        order = np.lexsort((low, text, doc))
+        doc, text, low, high = doc[order], text[order], low[order], high[order]
+        row = np.cumsum(np.r_[True, (doc[1:] != doc[:-1]) | (text[1:] != text[:-1])]) - 1
+        reach = np.maximum.accumulate(high + row * (1 << 40)) - row * (1 << 40)
+        starts = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (low[1:] > reach[:-1])])
+        ends = reach[np.append(starts[1:], len(low)) - 1]
+        names, lists = _lists(row[starts], low[starts], ends)
+        at = np.searchsorted(row, names)
+        yield pa.RecordBatch.from_arrays([pa.array(doc[at], pa.int64()), pa.array(text[at], pa.int64()), *lists], ["id", "text_hash", "low", "high"])
+
+
 def _cut(keep_text: bool) -> Callable:
     """What is left of each text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -499,13 +523,16 @@ def remove_repeats(
     firsts = marked.where("id = first").select("id", "text_hash").distinct()
     parts = max(1, -(-(narrow.agg(F.sum("n")).first()[0] or 0) // PART))
 
+    def by_part(blobs: DataFrame) -> DataFrame:
+        return blobs.repartition(parts, "part").sortWithinPartitions("part")
+
     sent = rows.select("id", "text").mapInArrow(_send_places(parts, length, seed), BLOBS)
-    shared = sent.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(_shared_places, "id long, places array<long>")
-    places = scratch.table(shared.groupBy("id").agg(F.flatten(F.collect_list("places")).alias("places")), "places")
+    shared = by_part(sent).mapInArrow(_shared_places(parts), BLOBS)
+    places = scratch.table(by_part(shared).mapInArrow(_document_places, "id long, places array<long>"), "places")
     texts = rows.select("id", "text_hash", "text").join(firsts.join(places, "id"), ["id", "text_hash"])
     runs = texts.select("id", "text_hash", "text", "places").mapInArrow(_send_runs(parts, length, seed), BLOBS)
-    spans = runs.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(_spans(length, seed), "id long, text_hash long, low array<long>, high array<long>")
-    spans = spans.groupBy("id", "text_hash").agg(F.flatten(F.collect_list("low")).alias("low"), F.flatten(F.collect_list("high")).alias("high"))
+    spans = by_part(by_part(runs).mapInArrow(_spans(length, seed, parts), BLOBS))
+    spans = spans.mapInArrow(_document_spans, "id long, text_hash long, low array<long>, high array<long>")
     nothing = F.lit(None).cast("array<long>")
     marks = spans.withColumn("copy", F.lit(False)).unionByName(copies.select("id", "text_hash", nothing.alias("low"), nothing.alias("high"), F.lit(True).alias("copy")))
     marks = scratch.table(marks, "marks")
