@@ -5,7 +5,9 @@ copyright lines or equivalent spellings have the same one. The digest of the who
 digests of known licences by a hash join. What is looked up is every entire document, and every entire line of it, as
 notices of one line stand among other text.
 
-The known licences are a table of the caller's, or `KNOWN`. They are broadcast if they are few, else shuffled.
+The known licences are a table of the caller's, or `KNOWN`. They are broadcast if they are few, else shuffled. If they
+are few, texts whose first word none of them can start with are left out before the costly steps: a canonical form
+starts with the text's first word, with what that is spelled otherwise, or after copyright lines.
 
 Edge cases. Null and empty texts, and texts of nothing but punctuation or copyright lines, match nothing. Repeated rows
 match each for itself by id: rows alike in id are counted together. A known licence given twice under one name counts
@@ -56,7 +58,9 @@ SPELLINGS: tuple[tuple[str, str], ...] = (
 )
 # A line that names a copyright: the sign, (c) or the word first, then anything. Fixed value.
 COPYRIGHT_LINE = r"(?imd)^[ \t*#/;-]*(copyright[ \t]+(\(c\)|©|[0-9]{4})|©|\(c\)[ \t]+[0-9]{4})[^\n]*$"
-NO_WORD = r"[^\p{L}\p{Nd}]+"
+NO_WORD, HAS_WORD = r"[^\p{L}\p{Nd}]+", r"[\p{L}\p{Nd}]+"
+# The first word of a copyright line, unless the sign © is.
+COPYRIGHT = "copyright"
 # Documented parameter: known texts up to this many are broadcast.
 BROADCAST_TEXTS = 100_000
 
@@ -78,10 +82,22 @@ def digest(form: Column) -> Column:
 
 def known_digests(known: DataFrame, name: str = "license_id", text: str = "text") -> DataFrame:
     form = canonical(text_of(text))
-    rows = known.select(F.col(f"`{name}`").alias("license_id"), digest(form).alias("digest"))
+    rows = known.select(F.col(f"`{name}`").alias("license_id"), digest(form).alias("digest"), F.substring_index(form, " ", 1).alias("first"))
     return rows.where(F.col("digest").isNotNull()).distinct()
 
 
+def first_word(text: Column) -> Column:
+    """The first word in lower case, found without reading on; lower case may split it."""
+    first = F.regexp_extract(text, HAS_WORD, 0)
+    return F.regexp_extract(F.lower(first), HAS_WORD, 0)
+
+
+def _spelled_firsts(spark: SparkSession) -> DataFrame:
+    """First words that the canonical form may replace or take away with their line."""
+    words = {spelled.split()[0] for spelled, _ in SPELLINGS} | {COPYRIGHT, "c"}
+    return spark.createDataFrame([(w,) for w in sorted(words)], "first string")
+
+
 def known_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(KNOWN), "license_id string, text string")
 
@@ -89,14 +105,19 @@ def known_table(spark: SparkSession) -> DataFrame:
 def scan_licenses(docs: DataFrame, known: DataFrame | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document, unit ('text' or 'line') and licence found: n_found counts the units that match."""
     digests = known_digests(known if known is not None else known_table(docs.sparkSession))
-    if digests.count() <= BROADCAST_TEXTS:
-        digests = F.broadcast(digests)
+    few = digests.count() <= BROADCAST_TEXTS
     body = text_of(text)
     units = F.concat(
         F.array(F.struct(F.lit("text").alias("unit"), body.alias("body"))),
         F.transform(F.split(body, "\n"), lambda line: F.struct(F.lit("line").alias("unit"), line.alias("body"))),
     )
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.explode(units).alias("u")).select("doc_id", "u.unit", "u.body")
+    if few:
+        digests = F.broadcast(digests)
+        firsts = digests.select("first").union(_spelled_firsts(docs.sparkSession)).distinct()
+        marked = F.contains("body", F.lit("©"))
+        rows = rows.withColumn("first", F.when(marked, F.lit(COPYRIGHT)).otherwise(first_word(F.col("body"))))
+        rows = rows.join(F.broadcast(firsts), "first", "left_semi")
     rows = rows.select("doc_id", "unit", digest(canonical(F.col("body"))).alias("digest"))
     found = rows.join(digests, "digest")
     return found.groupBy("doc_id", "unit", "license_id").agg(F.count(F.lit(1)).alias("n_found"))
