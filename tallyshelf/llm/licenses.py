@@ -76,14 +76,15 @@ def canonical(text: Column) -> Column:
 
 
 def digest(form: Column) -> Column:
-    """Digest of a canonical form, null if that is empty."""
-    return F.when(form != "", F.sha2(form, 256))
+    """Digest of a canonical form. Never null: a test for null would go below the joins, and cost the form for all."""
+    return F.coalesce(F.sha2(form, 256), F.lit(""))
 
 
 def known_digests(known: DataFrame, name: str = "license_id", text: str = "text") -> DataFrame:
     form = canonical(text_of(text))
-    rows = known.select(F.col(f"`{name}`").alias("license_id"), digest(form).alias("digest"), F.substring_index(form, " ", 1).alias("first"))
-    return rows.where(F.col("digest").isNotNull()).distinct()
+    rows = known.select(F.col(f"`{name}`").alias("license_id"), form.alias("form")).where("form <> ''")
+    form = F.col("form")
+    return rows.select("license_id", digest(form).alias("digest"), F.substring_index(form, " ", 1).alias("first")).distinct()
 
 
 def first_word(text: Column) -> Column:
@@ -116,7 +117,8 @@ def scan_licenses(docs: DataFrame, known: DataFrame | None = None, doc_id: str =
         digests = F.broadcast(digests)
         firsts = digests.select("first").union(_spelled_firsts(docs.sparkSession)).distinct()
         marked = F.contains("body", F.lit("©"))
-        rows = rows.withColumn("first", F.when(marked, F.lit(COPYRIGHT)).otherwise(first_word(F.col("body"))))
+        first = F.when(marked, F.lit(COPYRIGHT)).otherwise(first_word(F.col("body")))
+        rows = rows.withColumn("first", F.coalesce(first, F.lit("")))
         rows = rows.join(F.broadcast(firsts), "first", "left_semi")
     rows = rows.select("doc_id", "unit", digest(canonical(F.col("body"))).alias("digest"))
     found = rows.join(digests, "digest")
