@@ -33,7 +33,7 @@ from tallyshelf.llm.shingles import mix
 from tallyshelf.scratch import Scratch
 
 # Documented parameters: the sample, the lexicon, hashed features, words of a chain, code points of a word.
-ROWS_PER_LANGUAGE, WORDS_PER_LANGUAGE, LANGUAGES = 250, 120_000, 200
+ROWS_PER_LANGUAGE, WORDS_PER_LANGUAGE, LANGUAGES = 250, 120_000, 64
 LEXICON, FEATURES, CHAIN, LETTERS = 20_000, 1 << 17, 64, 24
 # Documented parameters of training: passes over the sample, words of a step, its size, decay.
 PASSES, STEP_WORDS, RATE, DECAY = 2, 4096, 0.2, 1e-4
@@ -304,7 +304,8 @@ def _predict(model: Field | None, runs: bool) -> Callable:
                 mean = own.mean(0)
                 best = int(mean.argmax())
                 names.append(model.labels[best])
-                scores.append(min(1.0, float(mean[best])))
+                # Rounded, as the last bits depend on which texts share a batch.
+                scores.append(min(1.0, round(float(mean[best]), 6)))
                 if runs:
                     each = own.argmax(1)
                     cuts = np.concatenate(([0], np.flatnonzero(np.diff(each)) + 1, [len(each)]))
