@@ -24,8 +24,13 @@ def list_files(spark: SparkSession, folder: str) -> list[str]:
     return sorted(row["path"] for row in found.select("path").toLocalIterator())
 
 
-def _uri(path: str) -> str:
-    return "file://" + path.removeprefix("file:") if path.startswith("file:/") and not path.startswith("file://") else path
+def _store(path: str) -> tuple[str, str]:
+    """The store's root as a URI, and the path inside, as it is: names may hold what a URI would decode."""
+    if path.startswith("file:"):
+        return "file:///", "/" + path.removeprefix("file:").lstrip("/")
+    scheme, _, rest = path.partition("://")
+    host, _, inside = rest.partition("/")
+    return f"{scheme}://{host}/", f"/{inside}"
 
 
 def _heads(longest: int) -> Callable:
@@ -34,12 +39,15 @@ def _heads(longest: int) -> Callable:
         import pyarrow as pa
         from pyarrow import fs
 
+        stores = {}
         for batch in batches:
             lines = []
-            for uri in batch.column("uri").to_pylist():
-                files, name = fs.FileSystem.from_uri(uri)
+            for root, inside in zip(batch.column("root").to_pylist(), batch.column("inside").to_pylist()):
+                if root not in stores:
+                    stores[root] = fs.FileSystem.from_uri(root)
+                files, base = stores[root]
                 data = b""
-                with files.open_input_stream(name, compression="detect") as stream:
+                with files.open_input_stream(base.rstrip("/") + inside, compression="detect") as stream:
                     while b"\n" not in data and len(data) < longest and (more := stream.read(1 << 14)):
                         data += more
                 lines.append(data.split(b"\n", 1)[0].removesuffix(b"\r"))
@@ -68,10 +76,10 @@ def first_lines(spark: SparkSession, files: list[str], encoding: str) -> dict[st
     if not files:
         return {}
     try:
-        fs.FileSystem.from_uri(_uri(files[0]))
+        fs.FileSystem.from_uri(_store(files[0])[0])
     except (OSError, ValueError):
         return {f: _driver_line(spark, f, encoding) for f in files}
-    paths = spark.createDataFrame([(f, _uri(f)) for f in files], "path string, uri string")
+    paths = spark.createDataFrame([(f, *_store(f)) for f in files], "path string, root string, inside string")
     paths = paths.repartition(-(-len(files) // PER_TASK), F.xxhash64("path"))
     heads = paths.mapInArrow(_heads(LONGEST), "path string, line binary").toLocalIterator()
     return {r["path"]: bytes(r["line"]).decode(encoding) for r in heads}
