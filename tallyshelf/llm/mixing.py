@@ -20,6 +20,7 @@ source are not read here; `mixed_copies` keeps them all, of whatever name.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,8 +28,8 @@ from pyspark.sql import functions as F
 from tallyshelf.llm.common import word_count
 from tallyshelf.scratch import Scratch
 
-# Documented parameter: bins of ranks per source.
-BINS = 1 << 16
+# Documented parameter: bins of ranks per source, coarse and fine.
+BINS = (1 << 8, 1 << 16)
 # Fixed value: hexadecimal digits of a digest that make the 52 bits of a uniform number.
 DIGITS = 13
 
@@ -71,22 +72,30 @@ def _drawn(narrow: DataFrame, targets: DataFrame) -> DataFrame:
     return rows.withColumn("rank", F.when(F.col("p") > 0, q / (1 + q)))
 
 
-def _cuts(drawn: DataFrame) -> DataFrame:
-    """The largest taken rank of each source that takes any."""
-    ranked = drawn.where(F.col("rank").isNotNull()).withColumn("bin", F.least(F.floor(F.col("rank") * BINS), F.lit(BINS - 1)))
-    bins = ranked.groupBy("source", "open", "bin").agg(F.sum("size").alias("words"), F.max("rank").alias("last"))
-    so_far = Window.partitionBy("source").orderBy("bin")
-    bins = bins.withColumn("through", F.sum("words").over(so_far)).withColumn("before", F.col("through") - F.col("words"))
-    full = bins.where(F.col("through") <= F.col("open")).groupBy("source").agg(F.max("last").alias("cut"))
-    at_cut = bins.where((F.col("through") > F.col("open")) & (F.col("before") <= F.col("open")))
-    at_cut = at_cut.select(F.col("source").alias("cut_source"), F.col("bin").alias("cut_bin"), "before")
-    same = F.col("source").eqNullSafe(F.col("cut_source")) & (F.col("bin") == F.col("cut_bin"))
-    units = ranked.join(at_cut, same).groupBy("source", "open", "before", "rank").agg(F.sum("size").alias("words"))
-    earlier = Window.partitionBy("source").orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
+def _cuts(drawn: DataFrame, scratch: Scratch) -> DataFrame:
+    """The largest taken rank of each source that takes any.
+
+    Ranks are counted in bins, and the bin that holds the cut in finer bins again, so a source's window has a fixed number of
+    rows at each level, and only the documents of one of the finest bins at the end.
+    """
+    same = F.col("source").eqNullSafe(F.col("cut_source"))
+    so_far = Window.partitionBy("source")
+    ranked = drawn.where(F.col("rank").isNotNull()).select("source", "open", "rank", "size", F.lit(0).cast("bigint").alias("before"))
+    taken = []
+    for bins in BINS:
+        ranked = ranked.withColumn("bin", F.least(F.floor(F.col("rank") * bins), F.lit(bins - 1)))
+        sums = ranked.groupBy("source", "open", "before", "bin").agg(F.sum("size").alias("words"), F.max("rank").alias("last"))
+        sums = scratch.table(sums.withColumn("through", F.col("before") + F.sum("words").over(so_far.orderBy("bin"))), "bins")
+        taken.append(sums.where("through <= open").groupBy("source").agg(F.max("last").alias("cut")))
+        at_cut = sums.where("through > open AND through - words <= open")
+        at_cut = scratch.table(at_cut.select(F.col("source").alias("cut_source"), F.col("bin").alias("cut_bin"), (F.col("through") - F.col("words")).alias("start")), "at_cut")
+        ranked = ranked.join(at_cut, same & (F.col("bin") == F.col("cut_bin"))).select("source", "open", "rank", "size", F.col("start").alias("before"))
+    units = ranked.groupBy("source", "open", "before", "rank").agg(F.sum("size").alias("words"))
+    earlier = so_far.orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
     through = F.col("before") + F.coalesce(F.sum("words").over(earlier), F.lit(0))
     near = units.withColumn("through", through).where(2 * F.col("through") + F.col("words") <= 2 * F.col("open"))
-    near = near.groupBy("source").agg(F.max("rank").alias("cut"))
-    return full.union(near).groupBy("source").agg(F.max("cut").alias("cut"))
+    taken.append(near.groupBy("source").agg(F.max("rank").alias("cut")))
+    return reduce(DataFrame.union, taken).groupBy("source").agg(F.max("cut").alias("cut"))
 
 
 def _measured(docs: DataFrame, doc_id: str, text: str, source: str, seed: int, *more: Column) -> DataFrame:
@@ -101,7 +110,7 @@ class _Plan:
     def __init__(self, narrow: DataFrame, weights: Sequence[float], share: float, most: float, scratch: Scratch):
         sizes = narrow.groupBy("source").agg(F.sum("size").alias("source_size"))
         self.targets = scratch.table(source_targets(sizes, weights, share, most), "targets")
-        self.cuts = scratch.table(_cuts(_drawn(narrow, self.targets)), "cuts").withColumnRenamed("source", "cut_source")
+        self.cuts = scratch.table(_cuts(_drawn(narrow, self.targets), scratch), "cuts").withColumnRenamed("source", "cut_source")
 
     def with_copies(self, measured: DataFrame) -> DataFrame:
         rows = _drawn(measured, self.targets).join(self.cuts, F.col("source").eqNullSafe(F.col("cut_source")), "left")
