@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyshelf.llm.common import ship_package, text_of
+from tallyshelf.llm.common import ship_package, shuffle_files_removed, text_of
 from tallyshelf.llm.shingles import BASE, VALUES, mix, powers
 from tallyshelf.scratch import Scratch
 
@@ -503,14 +503,8 @@ def _cut(keep_text: bool) -> Callable:
     return run
 
 
-def remove_repeats(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, seed: int = SEED, keep_text: bool = False,
-) -> DataFrame:
-    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256; with `keep_text`, the bytes left as `kept`."""
-    spark = docs.sparkSession
-    ship_package(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
-    scratch = Scratch(spark)
+def _marks(docs: DataFrame, doc_id: str, text: str, length: int, seed: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """The documents with id and text hash, and by these the spans to go, or that all goes: a written table."""
     rows = docs.select(
         F.col(f"`{doc_id}`").alias("doc_id"), F.coalesce(F.col(f"`{doc_id}`").cast("bigint"), F.lit(NO_ID)).alias("id"),
         F.xxhash64(text_of(text)).alias("text_hash"), F.col(f"`{text}`").alias("text"),
@@ -524,7 +518,8 @@ def remove_repeats(
     parts = max(1, -(-(narrow.agg(F.sum("n")).first()[0] or 0) // PART))
 
     def by_part(blobs: DataFrame) -> DataFrame:
-        return blobs.repartition(parts, "part").sortWithinPartitions("part")
+        # A task for each part: hashed, some tasks would get several parts and others none.
+        return blobs.repartitionById(parts, "part").sortWithinPartitions("part")
 
     sent = rows.select("id", "text").mapInArrow(_send_places(parts, length, seed), BLOBS)
     shared = by_part(sent).mapInArrow(_shared_places(parts), BLOBS)
@@ -536,6 +531,18 @@ def remove_repeats(
     nothing = F.lit(None).cast("array<long>")
     marks = spans.withColumn("copy", F.lit(False)).unionByName(copies.select("id", "text_hash", nothing.alias("low"), nothing.alias("high"), F.lit(True).alias("copy")))
     marks = scratch.table(marks, "marks")
+    return rows, marks
+
+
+def remove_repeats(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, seed: int = SEED, keep_text: bool = False,
+) -> DataFrame:
+    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256; with `keep_text`, the bytes left as `kept`."""
+    spark = docs.sparkSession
+    ship_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    with shuffle_files_removed(spark):
+        rows, marks = _marks(docs, doc_id, text, length, seed, Scratch(spark))
     rows = rows.join(marks, ["id", "text_hash"], "left").select("doc_id", "text", F.coalesce("copy", F.lit(False)).alias("copy"), "low", "high")
     schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     return rows.mapInArrow(_cut(keep_text), schema + ", kept binary" * keep_text)
