@@ -15,7 +15,9 @@ AMOUNT_TYPE = "decimal(27,8)"
 # Wide enough to see what AMOUNT_TYPE rounds.
 FINE_TYPE = "decimal(38,18)"
 # What stands for amounts too small for AMOUNT_TYPE: they stay on their side of zero.
-LEAST_AMOUNT = "0.00000001"
+LEAST_AMOUNT, HALF_AMOUNT = "0.00000001", 5e-9
+# A digit that AMOUNT_TYPE rounds away.
+FINE_DECIMALS = r"\.[0-9]{8}[0-9]*[1-9]"
 
 # Only used for the few texts with an exponent: the double cast also takes '1e5d'.
 EXPONENT_NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)[eE][+-]?[0-9]+\s*$"
@@ -39,8 +41,10 @@ def amount(df: DataFrame, name: str) -> Column:
     held = _rounded(df, name)
     if df.schema[name].dataType.simpleString() == AMOUNT_TYPE or isinstance(df.schema[name].dataType, T.IntegralType):
         return held
+    # The cheap test comes first: hardly any number is so small.
     written, least = F.col(f"`{name}`").try_cast("double"), F.lit(LEAST_AMOUNT).cast(AMOUNT_TYPE)
-    return F.when((held == 0) & (written != 0), F.when(written > 0, least).otherwise(-least)).otherwise(held)
+    tiny = (written > -HALF_AMOUNT) & (written < HALF_AMOUNT) & (written != 0) & held.isNotNull()
+    return F.when(tiny, F.when(written > 0, least).otherwise(-least)).otherwise(held)
 
 
 def inexact(df: DataFrame, name: str) -> Column:
@@ -50,10 +54,15 @@ def inexact(df: DataFrame, name: str) -> Column:
         return F.lit(False)
     c = F.col(f"`{name}`")
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        return F.coalesce(_rounded(df, name).cast("double") != c, F.lit(False))
-    fine = F.coalesce(c.try_cast(FINE_TYPE), c.try_cast("double").try_cast(FINE_TYPE))
+        # The nearest double of a whole number of least amounts is itself again; large doubles have no finer decimals.
+        return F.coalesce((F.abs(c) < 9e7) & (F.rint(c * 1e8) / 1e8 != c), F.lit(False))
     held = _rounded(df, name)
-    return F.coalesce((held != fine) | ((held == 0) & (c.try_cast("double") != 0)), F.lit(False))
+    fine = F.coalesce(c.try_cast(FINE_TYPE), c.try_cast("double").try_cast(FINE_TYPE))
+    rounded = (held != fine) | ((held == 0) & (c.try_cast("double") != 0))
+    if not isinstance(dtype, T.StringType):
+        return F.coalesce(rounded, F.lit(False))
+    plain = (F.length(c) > 9) & c.rlike(FINE_DECIMALS) & held.isNotNull()
+    return F.coalesce(F.when(F.lower(c).contains("e"), rounded).otherwise(plain), F.lit(False))
 
 
 def _rounded(df: DataFrame, name: str) -> Column:
