@@ -41,9 +41,12 @@ def amount(df: DataFrame, name: str) -> Column:
     held = _rounded(df, name)
     if df.schema[name].dataType.simpleString() == AMOUNT_TYPE or isinstance(df.schema[name].dataType, T.IntegralType):
         return held
-    # The cheap test comes first: hardly any number is so small.
+    # The cheap test comes first: doubles are there, texts are only read as such if the amount is zero.
     written, least = F.col(f"`{name}`").try_cast("double"), F.lit(LEAST_AMOUNT).cast(AMOUNT_TYPE)
-    tiny = (written > -HALF_AMOUNT) & (written < HALF_AMOUNT) & (written != 0) & held.isNotNull()
+    if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
+        tiny = (written > -HALF_AMOUNT) & (written < HALF_AMOUNT) & (written != 0)
+    else:
+        tiny = (held == 0) & (written != 0)
     return F.when(tiny, F.when(written > 0, least).otherwise(-least)).otherwise(held)
 
 
@@ -79,6 +82,18 @@ def _rounded(df: DataFrame, name: str) -> Column:
     return F.when(F.lower(c).contains("e"), exponent).otherwise(c.try_cast(AMOUNT_TYPE))
 
 
+def unreadable(df: DataFrame, name: str, tokens: Sequence[str] = NULL_TOKENS) -> Column:
+    """True where a value is there but is no amount."""
+    c = F.col(f"`{name}`")
+    there = c.isNotNull()
+    dtype = df.schema[name].dataType
+    if isinstance(dtype, T.StringType) and tokens:
+        there = there & ~is_token(name, tokens)
+    elif isinstance(dtype, (T.DoubleType, T.FloatType)):
+        there = there & ~F.isnan(c)
+    return there & _rounded(df, name).isNull()
+
+
 def amount_or_zero(df: DataFrame, name: str, tokens: Sequence[str] = NULL_TOKENS) -> Column:
     """Missing becomes 0 first; text that is present but no number stays NULL."""
     c = F.col(f"`{name}`")

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tallyshelf import columns as C
 from tallyshelf.functions.dates import purchase_day
-from tallyshelf.functions.numbers import AMOUNT_TYPE, amount, amount_or_zero, blank_to_null, inexact
+from tallyshelf.functions.numbers import AMOUNT_TYPE, amount, amount_or_zero, blank_to_null, inexact, unreadable
 
 
 def require_columns(df: DataFrame, required: Sequence[str], error: type[Exception] = ValueError) -> DataFrame:
@@ -58,8 +58,8 @@ def quarantine(orders: DataFrame, null_tokens: Sequence[str] = C.NULL_TOKENS) ->
         "sku_missing": _text(df, "sku", null_tokens).isNull(),
         "product_name_missing": _text(df, "product_name", null_tokens).isNull(),
         "purchase_date_unreadable": purchase_day(F.col("purchase_date")).isNull(),
-        "item_price_unreadable": amount_or_zero(df, "item_price", null_tokens).isNull(),
-        "quantity_unreadable": amount_or_zero(df, "quantity", null_tokens).isNull(),
+        "item_price_unreadable": unreadable(df, "item_price", null_tokens),
+        "quantity_unreadable": unreadable(df, "quantity", null_tokens),
         "item_price_rounded": inexact(df, "item_price"),
         "quantity_rounded": inexact(df, "quantity"),
     }
