@@ -17,14 +17,14 @@ from tallyshelf.llm.near_duplicates import keep_one
 from tallyshelf.llm.sharding import with_shard
 from tallyshelf.scratch import Scratch
 
-# Documented parameters: least score of a language that counts as known, and the number of shards. Short clean texts
-# score low, so only texts without any language are rejected.
-LEAST_SCORE, SHARDS = 0.0, 16
+# Documented parameters: least score of a language that counts as known, its least support, and the number of shards. Short
+# clean texts score low, so the support decides, which doesn't depend on length.
+LEAST_SCORE, LEAST_SUPPORT, SHARDS = 0.0, 0.5, 16
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a language: no text, or no letter in it."""
-    return known_language(docs, LEAST_SCORE)
+    """Drops documents without a learned language: no letter in the text, junk, or a language or script never learned."""
+    return known_language(docs, LEAST_SCORE, support=LEAST_SUPPORT)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

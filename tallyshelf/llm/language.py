@@ -5,6 +5,13 @@ and suffixes, its n-grams, and its entry in a lexicon of frequent words of the t
 between languages are learned. Forward-backward gives each word's probabilities, so a text that switches languages has
 its words labelled one by one. A document's language is the one with the largest mean probability, which is its score.
 
+The field only chooses among the languages that it has learned, and its probabilities say little about a text of another, or
+of a short one. Whether a text is of its language at all is told by its support: the share of its words' runs of four letters,
+bounds included, that the training texts of the words' languages hold, so a text may switch languages. It doesn't depend
+on the length of the text. It is compared
+with the mean support of the training texts by the others of their language, so a language that is known from little,
+or whose words seldom repeat, asks for less. Runs in fewer than one text in a hundred don't count, as labels may be wrong.
+
 Training fits the field by AdaGrad on a bounded sample of labelled rows, whose words have the label of their document. It
 runs in one task, as the sample is bounded (ROWS_PER_LANGUAGE, WORDS_PER_LANGUAGE). Labels with rows beyond the first LANGUAGES by
 frequency aren't learned. Prediction is one pass over whole texts.
@@ -12,7 +19,8 @@ frequency aren't learned. Prediction is one pass over whole texts.
 Edge cases. Null and empty texts, and texts without a letter, are `und` with score 0; so is everything if no row is
 labelled. Ties go to the first language by code point. Repeated rows are predicted alike. A null id counts as empty text
 where ids are split. An empty table gives no rows. Extra columns are left out by `identify` and kept by
-`known_language`.
+`known_language`. A text without any supported run is never of a known language if support is asked for; one of a language learned from
+a single text is if it has one such run.
 """
 
 from __future__ import annotations
@@ -22,6 +30,7 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +48,8 @@ LEXICON, FEATURES, CHAIN, LETTERS = 20_000, 1 << 17, 64, 24
 PASSES, STEP_WORDS, RATE, DECAY = 2, 4096, 0.2, 1e-4
 # Documented parameter: words whose scores a task keeps at a time.
 REMEMBERED = 400_000
+# Documented parameters: letters of a run that supports a language, least share of the training texts that hold it.
+RUN, FEW_TEXTS = 4, 0.01
 TOKEN = re.compile(r"[^\W\d_]+|\n")
 UNKNOWN = "und"
 
@@ -93,6 +104,73 @@ def features_of(words: list[str], lexicon: frozenset[str]) -> tuple[np.ndarray,
     return ids[order], starts
 
 
+def runs_of(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed runs of RUN letters of each word, word after word, and where each word's begin.
+
+    A word's bounds are letters too. A word that is shorter than a run with them is one run.
+    """
+    codes = np.frombuffer(f" {' '.join(words)} {' ' * RUN}".encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    sizes = np.array([len(w) for w in words], np.int64) + 2
+    begins = np.concatenate(([0], np.cumsum(sizes - 1)[:-1])).astype(np.int64)
+    many = np.maximum(1, sizes - RUN + 1)
+    starts = np.concatenate(([0], np.cumsum(many)[:-1])).astype(np.int64)
+    at = np.arange(many.sum()) - np.repeat(starts - begins, many)
+    left = np.repeat(begins + sizes, many) - at
+    runs = np.zeros(len(at), np.uint64)
+    with np.errstate(over="ignore"):
+        for i in range(RUN):
+            runs = runs * np.uint64(0x9E3779B97F4A7C15) + np.where(i < left, codes[at + i], 0).astype(np.uint64) + np.uint64(1)
+    return mix(runs), starts
+
+
+class Support:
+    """The runs that the texts of each label hold, and the mean share that other texts of a label support."""
+
+    def __init__(self, labels: int, vocabulary: list[str], texts: list[tuple[np.ndarray, int]]):
+        runs, starts = runs_of(vocabulary)
+        self.runs, own = np.unique(runs, return_inverse=True)
+        ends = np.append(starts[1:], len(runs))
+        self.expected = np.zeros(labels)
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        by_label: list[dict[bytes, np.ndarray]] = [{} for _ in range(labels)]
+        for words, label in texts:
+            # Equal texts count once: copies would vouch for one another.
+            by_label[label][words.tobytes()] = words
+        for label, own_texts in enumerate(by_label):
+            each = [own[_spans(starts[w], ends[w])] for w in own_texts.values()]
+            if not each:
+                continue
+            held, texts_with = np.unique(np.concatenate([np.unique(e) for e in each]), return_counts=True)
+            least = max(1, int(np.ceil(FEW_TEXTS * len(each))))
+            others = np.zeros(len(self.runs), bool)
+            others[held[texts_with > least]] = True
+            self.expected[label] = np.mean([others[e].mean() for e in each])
+            held = held[texts_with >= least]
+            found.append((held, np.full(len(held), label)))
+        held, label = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.argsort(held, kind="stable")
+        self.labels = label[order].astype(np.int32)
+        self.starts = np.searchsorted(held[order], np.arange(len(self.runs) + 1))
+
+    def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """For each word, how many of its runs each label holds, and how many it has."""
+        runs, starts = runs_of(words)
+        sizes = np.diff(np.append(starts, len(runs)))
+        at = np.minimum(np.searchsorted(self.runs, runs), len(self.runs) - 1)
+        hit = self.runs[at] == runs
+        word, at = np.repeat(np.arange(len(words)), sizes)[hit], at[hit]
+        many = self.starts[at + 1] - self.starts[at]
+        label = self.labels[_spans(self.starts[at], self.starts[at + 1])]
+        counts = np.bincount(np.repeat(word, many) * len(self.expected) + label, minlength=len(words) * len(self.expected))
+        return counts.reshape(len(words), -1).astype(np.float32), sizes
+
+
+def _spans(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The numbers of all spans, one after the other."""
+    sizes = ends - starts
+    return np.arange(sizes.sum()) + np.repeat(starts - np.cumsum(sizes) + sizes, sizes)
+
+
 class Chains:
     """The chains of a token stream, longest first; `numbers` has the words' numbers, -1 for the end of a line."""
 
@@ -145,18 +223,19 @@ def forward_backward(chains: Chains, scores: np.ndarray, moves: np.ndarray, coun
 
 
 class Field:
-    """The model: weights of hashed features by label, weights of moves, the lexicon and the labels."""
+    """The model: weights of hashed features by label, weights of moves, the lexicon, the labels and their support."""
 
-    def __init__(self, labels: list[str], lexicon: frozenset[str], weights: np.ndarray, moves: np.ndarray):
-        self.labels, self.lexicon, self.weights, self.moves = labels, lexicon, weights, moves
+    def __init__(self, labels: list[str], lexicon: frozenset[str], weights: np.ndarray, moves: np.ndarray, support: Support | None = None):
+        self.labels, self.lexicon, self.weights, self.moves, self.support = labels, lexicon, weights, moves, support
         self.forget()
 
     def __reduce__(self):
-        return Field, (self.labels, self.lexicon, self.weights, self.moves)
+        return Field, (self.labels, self.lexicon, self.weights, self.moves, self.support)
 
     def forget(self) -> None:
         self.known: dict[str, int] = {"\n": -1}
         self.scores = np.empty((0, len(self.labels)))
+        self.held, self.runs = np.empty((0, len(self.labels)), np.float32), np.empty(0, np.int64)
 
     def numbers(self, tokens: list[str]) -> np.ndarray:
         """Numbers of the words; the scores of new words are computed."""
@@ -171,10 +250,22 @@ class Field:
             self.known.update(zip(new, range(first, first + len(new)), strict=True))
         return np.fromiter(map(self.known.__getitem__, tokens), np.int64, len(tokens))
 
-    def label(self, tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Probabilities of the words among the tokens, and their places there."""
+    def label(self, tokens: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Probabilities of the words among the tokens, their places there, and their numbers."""
         chains = Chains(self.numbers(tokens))
-        return forward_backward(chains, self.scores[chains.words], self.moves)[0], chains.at
+        return forward_backward(chains, self.scores[chains.words], self.moves)[0], chains.at, chains.words
+
+    def supported(self, words: np.ndarray, p: np.ndarray) -> float:
+        """The support of words, by their numbers and probabilities of labels: 1 is that of training texts."""
+        if not self.support:
+            return 0.0
+        new = list(islice(self.known, 1 + len(self.runs), None))
+        if new:
+            held, runs = self.support.of(new)
+            self.held, self.runs = np.concatenate([self.held, held]), np.concatenate([self.runs, runs])
+        found = float((p * self.held[words]).sum())
+        expected = float((p * self.support.expected).sum(1) @ self.runs[words])
+        return round(found / expected, 6) if expected else float(found > 0)
 
 
 def tokens_of(text: str | None) -> list[str]:
@@ -201,6 +292,8 @@ def train(texts: list[tuple[str, str]], seed: int = 0) -> Field:
         return field
     vocabulary = sorted(counts)
     number = {w: i for i, w in enumerate(vocabulary)} | {"\n": -1}
+    spoken = [(np.array([number[w] for w in t if w != "\n"], np.int64), y) for t, y in zip(tokens, wanted, strict=True)]
+    field.support = Support(size, vocabulary, [(w, y) for w, y in spoken if len(w)])
     ids, starts = features_of(vocabulary, lexicon)
     ends = np.append(starts[1:], len(ids))
     squares, move_squares = np.full((FEATURES, size), 1e-6), np.full((size, size), 1e-6)
@@ -280,7 +373,7 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
     return pickle.loads(zlib.decompress(model["model"])) if model else None
 
 
-def _predict(model: Field | None, runs: bool) -> Callable:
+def _predict(model: Field | None, runs: bool, support: bool = False) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             stream: list[str] = []
@@ -291,14 +384,15 @@ def _predict(model: Field | None, runs: bool) -> Callable:
                 stream += tokens
                 stream.append("\n")
                 ends.append(len(stream))
-            names, scores, found = [], [], []
-            p, at = model.label(stream) if model else (None, None)
+            names, scores, found, supports = [], [], [], []
+            p, at, words = model.label(stream) if model else (None, None, None)
             bounds = np.searchsorted(at, [0, *ends]) if model else None
             for i, ok in enumerate(has):
                 if not ok:
                     names.append(UNKNOWN)
                     scores.append(0.0)
                     found.append([])
+                    supports.append(0.0)
                     continue
                 own = p[bounds[i] : bounds[i + 1]]
                 mean = own.mean(0)
@@ -306,13 +400,17 @@ def _predict(model: Field | None, runs: bool) -> Callable:
                 names.append(model.labels[best])
                 # Rounded, as the last bits depend on which texts share a batch.
                 scores.append(min(1.0, round(float(mean[best]), 6)))
+                if support:
+                    supports.append(model.supported(words[bounds[i] : bounds[i + 1]], own))
                 if runs:
                     each = own.argmax(1)
                     cuts = np.concatenate(([0], np.flatnonzero(np.diff(each)) + 1, [len(each)]))
                     found.append([{"lang": model.labels[each[a]], "n_words": int(b - a)} for a, b in zip(cuts, cuts[1:], strict=False)])
             columns = [batch.column("doc_id"), pa.array(names, pa.string()), pa.array(scores, pa.float64())]
             kind = pa.list_(pa.struct([("lang", pa.string()), ("n_words", pa.int64())]))
-            yield pa.RecordBatch.from_arrays(columns + [pa.array(found, kind)] * runs, ["doc_id", "lang_pred", "score"] + ["runs"] * runs)
+            more = {"runs": pa.array(found, kind)} if runs else {}
+            more |= {"support": pa.array(supports, pa.float64())} if support else {}
+            yield pa.RecordBatch.from_arrays(columns + list(more.values()), ["doc_id", "lang_pred", "score", *more])
 
     return run
 
@@ -332,18 +430,25 @@ def identify(
     return rows.withColumn("held_out", held_out(F.col("doc_id")))
 
 
-def known_language(docs: DataFrame, least: float = 0.5, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """The documents whose language is found with at least this score, all columns, in one pass without a shuffle."""
+def known_language(
+    docs: DataFrame, least: float = 0.5, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", support: float = 0.0,
+) -> DataFrame:
+    """The documents whose language is found with at least this score and support, all columns, in one pass without a shuffle.
+
+    A support of 1 is what the language's training texts have; with 0, texts of languages that were never learned stay.
+    """
     ship_package(docs.sparkSession)
     docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     model = fit(docs, doc_id, text, lang)
-    predict = _predict(model, False)
+    predict = _predict(model, False, support > 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             plain = pa.RecordBatch.from_arrays([batch.column(doc_id), batch.column(text)], ["doc_id", "text"])
             found = next(predict(iter([plain])))
             sure = [n != UNKNOWN and s >= least for n, s in zip(found.column("lang_pred").to_pylist(), found.column("score").to_pylist(), strict=True)]
+            if support:
+                sure = [ok and s >= support for ok, s in zip(sure, found.column("support").to_pylist(), strict=True)]
             yield batch.filter(pa.array(sure, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -4,7 +4,7 @@ import zlib
 import numpy as np
 import pytest
 
-from tallyshelf.llm.language import Chains, Field, fit, forward_backward, identify, known_language
+from tallyshelf.llm.language import Chains, Field, fit, forward_backward, identify, known_language, runs_of, train
 from tests.llm.samples import odd_documents
 
 SOUNDS = {"aa": "ba be bi bo da de di do", "bb": "kra kre kri gro gru ska sko", "cc": "lili nana momo pepe ruru sasa"}
@@ -92,3 +92,27 @@ def test_models_travel():
 
     field = Field(["a"], frozenset({"w"}), np.zeros((1 << 17, 1)), np.zeros((1, 1)))
     assert pickle.loads(pickle.dumps(field)).labels == ["a"]
+
+
+def test_junk_and_languages_never_learned_go_and_short_clean_texts_stay(spark, labelled):
+    from corpus_pipeline import language
+
+    rng = random.Random(6)
+    clean = [sentence("aa", 1, rng), sentence("bb", 2, rng), "Lili!", sentence("aa", 9, rng) + " " + sentence("bb", 9, rng), sentence("cc", 400, rng)]
+    junk = [" ".join("".join(rng.choice("bcdfghjklmnpqrstvwxz") for _ in range(rng.randint(2, 9))) for _ in range(n)) for n in (1, 3, 40, 4000)]
+    unlearned = ["vux tix wyx " * n for n in (1, 30)] + ["привет как дела", "我们今天去学校学习中文", "a", "12 !"]
+    rows = [(1000 + i, text, None) for i, text in enumerate(clean + junk + unlearned)]
+    docs = labelled.union(spark.createDataFrame(rows, labelled.schema))
+    assert sorted(r.doc_id for r in language(spark, docs, "").collect()) == [*range(240), *range(1000, 1000 + len(clean))]
+
+
+def test_runs_of_letters():
+    runs, starts = runs_of(["a", "ab", "abc", "xabc", "bc", "a"])
+    sizes = np.diff(np.append(starts, len(runs))).tolist()
+    assert sizes == [1, 1, 2, 3, 1, 1]
+    assert runs[0] == runs[starts[5]] and runs[starts[2] + 1] == runs[starts[3] + 2] and len(set(runs.tolist())) == 7
+
+
+def test_copies_do_not_vouch_for_one_another():
+    field = train([("bada bedo", "x")] * 50 + [("kruska grogra", "y"), ("kruska skogru", "y")])
+    assert field.support.expected[0] == 0 and 0 < field.support.expected[1] < 1
