@@ -6,12 +6,14 @@ verified: Myers' bit-parallel distance gives the least number of edits between t
 
 Texts are compared in lower case, with one space for all that is neither letter nor digit. Items longer than PASSAGE are
 cut into equal passages between words, each with its share of the budget, and a document leaks an item if it holds any of
-them: a copy of the whole item within budget has a passage within budget, and so has a long excerpt.
+them: a copy of the whole item within budget has a passage within budget, and so has a long excerpt. Items of fewer than
+LEAST characters are one passage that is searched without edits, from word bound to word bound; scripts that write no
+space between words need no bounds.
 
 Scale: the benchmark is the query set, taken in blocks of a fixed number of characters; each block is one pass over the
 documents, without a shuffle. Only a block goes through the driver.
 
-Edge cases. Null and empty documents and items match nothing; neither do passages of fewer than LEAST characters, which
+Edge cases. Null and empty documents and items match nothing; neither do items of fewer than LEAST_EXACT characters, which
 can't tell a leak from chance. Repeated documents each have their matches; repeated items match each under its id. An
 item that occurs several times in a document gives several rows. Hits around one place are one match: that with the
 fewest edits, the first of such. Empty tables give no rows. Extra columns are left out by `find_leaks` and kept by
@@ -34,6 +36,10 @@ from tallyshelf.llm.common import ship_package
 
 # Documented parameters: edits per character of a passage, characters of a passage, and of a block of the benchmark.
 BUDGET, PASSAGE, LEAST, BLOCK = 0.08, 120, 40, 400_000
+# Documented parameter: characters of the shortest item that is searched.
+LEAST_EXACT = 3
+# Letters of scripts that write no space between words: Thai to Tibetan, Burmese, Khmer, kana, Han.
+UNSPACED = re.compile("[\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3005-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 APART = re.compile(r"[\W_]+")
 Passage = tuple[object, int, str]
 
@@ -56,6 +62,12 @@ def passages_of(text: str, most: int, least: int) -> list[str]:
     return found
 
 
+def short_of(text: str, least: int) -> list[str]:
+    """The normal text as one passage if it is shorter than `least`, but can be told from chance."""
+    whole = normal(text)
+    return [whole] if LEAST_EXACT <= len(whole) < least else []
+
+
 def cuts_of(length: int, edits: int) -> list[int]:
     """Bounds of edits + 1 pieces of nearly equal length."""
     return [j * length // (edits + 1) for j in range(edits + 2)]
@@ -95,7 +107,7 @@ class Finder:
     """Finds the leaks of a block of passages in one text."""
 
     def __init__(self, passages: list[Passage], budget: float):
-        self.passages = [(item, number, body, int(len(body) * budget)) for item, number, body in passages]
+        self.passages = [(item, number, body, int(len(body) * budget) if len(body) >= LEAST else 0) for item, number, body in passages]
         pieces: dict[str, list[tuple[int, int]]] = {}
         for p, (_, _, body, edits) in enumerate(self.passages):
             cuts = cuts_of(len(body), edits)
@@ -114,6 +126,9 @@ class Finder:
                 hits.setdefault(p, []).append(last + 1 - end)
         for p, starts in hits.items():
             _, _, body, edits = self.passages[p]
+            if len(body) < LEAST:
+                yield from ((p, at, at + len(body)) for at in self.whole_words(body, text, starts))
+                continue
             start = end = None
             for at in sorted(starts):
                 if end is not None and at - edits <= end:
@@ -124,6 +139,18 @@ class Finder:
                 start, end = at - edits, at + len(body) + edits
             yield p, max(0, start), end
 
+    @staticmethod
+    def whole_words(body: str, text: str, starts: list[int]) -> Iterator[int]:
+        """The starts of a short item that are not inside of longer words, the first of those that overlap."""
+        end = 0
+        for at in sorted(starts):
+            after = at + len(body)
+            inside = at and text[at - 1] != " " and not UNSPACED.match(body[0])
+            inside = inside or after < len(text) and text[after] != " " and not UNSPACED.match(body[-1])
+            if at >= end and not inside:
+                end = after
+                yield at
+
     def matches(self, text: str | None) -> list[tuple[object, int, int, int, int]]:
         """(item, passage number, edits, start, end) of each leak; start and end are code points of the text."""
         if not text:
@@ -150,7 +177,7 @@ def _blocks(benchmark: DataFrame, item_id: str, text: str, block: int) -> Iterat
     passages: list[Passage] = []
     size = 0
     for item, body in rows:
-        for number, passage in enumerate(passages_of(body or "", PASSAGE, LEAST)):
+        for number, passage in enumerate(short_of(body or "", LEAST) or passages_of(body or "", PASSAGE, LEAST)):
             passages.append((item, number, passage))
             size += len(passage)
             if size >= block:

@@ -99,3 +99,18 @@ def test_empty_tables(spark):
     assert find_leaks(docs.limit(0), items).count() == 0
     assert find_leaks(docs, items.limit(0)).count() == 0
     assert drop_leaks(docs, items.limit(0)).count() == docs.count()
+
+
+def test_short_items_are_found_as_whole_words_without_edits(spark):
+    docs = spark.createDataFrame(
+        [
+            (1, "So: what IS the capital, of France? Paris."), (2, "What is the capitol of France"), (3, "somewhat is the capital of france"),
+            (4, "what is the capital of france's"), (5, "有人问中国的首都在哪里呢。"), (6, "yes? Yes! yesterday"), (7, "What is the capital of France"),
+        ],
+        "doc_id long, text string",
+    )
+    items = spark.createDataFrame([(1, "What is the capital of France?"), (2, "中国的首都在哪里"), (3, "yes")], "item_id long, text string")
+    assert rows_of(find_leaks(docs, items), "doc_id", "item_id", "edits", "start", "end") == [
+        (1, 1, 0, 4, 34), (4, 1, 0, 0, 29), (5, 2, 0, 0, 12), (6, 3, 0, 0, 3), (6, 3, 0, 5, 8), (7, 1, 0, 0, 29),
+    ]
+    assert rows_of(drop_leaks(docs, items), "doc_id") == [(2,), (3,)]
