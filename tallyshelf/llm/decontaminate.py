@@ -15,15 +15,15 @@ documents, without a shuffle. Only a block goes through the driver.
 
 Edge cases. Null and empty documents and items match nothing; neither do items of fewer than LEAST_EXACT characters, which
 can't tell a leak from chance. Repeated documents each have their matches; repeated items match each under its id. An
-item that occurs several times in a document gives several rows. Hits around one place are one match: that with the
-fewest edits, the first of such. Empty tables give no rows. Extra columns are left out by `find_leaks` and kept by
+item that occurs several times in a document gives several rows, also back to back. Of matches that overlap, the one with the
+fewest edits is reported, the first of such. Empty tables give no rows. Extra columns are left out by `find_leaks` and kept by
 `drop_leaks`.
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_right
+from bisect import bisect_right, insort
 from collections.abc import Callable, Iterator
 from functools import reduce
 
@@ -73,18 +73,20 @@ def cuts_of(length: int, edits: int) -> list[int]:
     return [j * length // (edits + 1) for j in range(edits + 2)]
 
 
-def least_edits(pattern: str, text: str) -> tuple[int, int]:
-    """The least distance between the pattern and any substring of the text, and where the first such one ends.
+def distances(pattern: str, text: str, anchored: bool = False) -> list[int]:
+    """For each character of the text, the least distance between the pattern and any substring that ends with it.
 
-    Myers' recurrence on one long bit vector: bit i tells how the column of distances changes at row i.
+    If anchored, substrings start where the text does. Myers' recurrence on one long bit vector: bit i tells how the
+    column of distances changes at row i.
     """
     m = len(pattern)
     full, top = (1 << m) - 1, 1 << (m - 1)
     bits: dict[str, int] = {}
     for i, c in enumerate(pattern):
         bits[c] = bits.get(c, 0) | 1 << i
-    up, down, score, best, end = full, 0, m, m, 0
-    for at, c in enumerate(text):
+    up, down, score, carry = full, 0, m, int(anchored)
+    scores = []
+    for c in text:
         equal = bits.get(c, 0)
         vertical = equal | down
         same = (((equal & up) + up) ^ up) | equal
@@ -94,13 +96,43 @@ def least_edits(pattern: str, text: str) -> tuple[int, int]:
             score += 1
         elif minus & top:
             score -= 1
-        # No carry into the first row: a match may start anywhere.
-        plus, minus = plus << 1 & full, minus << 1 & full
+        # No carry into the first row unless anchored: a match may start anywhere.
+        plus, minus = (plus << 1 | carry) & full, minus << 1 & full
         up = minus | (full & ~(vertical | plus))
         down = plus & vertical
-        if score < best:
-            best, end = score, at + 1
-    return best, end
+        scores.append(score)
+    return scores
+
+
+def least_edits(pattern: str, text: str) -> tuple[int, int]:
+    """The least distance between the pattern and any substring of the text, and where the first such one ends."""
+    scores = distances(pattern, text)
+    best = min(scores, default=len(pattern))
+    return (best, scores.index(best) + 1) if best < len(pattern) else (len(pattern), 0)
+
+
+def occurrences(pattern: str, text: str, edits: int) -> list[tuple[int, int, int]]:
+    """(distance, start, end) of the substrings within so many edits; of those that overlap the best, the first of such."""
+    # Every end counts, not only the lowest: within copies of a repeating pattern the distance doesn't change.
+    ends = sorted((d, at) for at, d in enumerate(distances(pattern, text), 1) if d <= edits)
+    starts: list[int] = []
+    found: dict[int, tuple[int, int]] = {}
+
+    def free(start: int, end: int) -> bool:
+        i = bisect_right(starts, start)
+        return (not i or found[starts[i - 1]][1] <= start) and (i == len(starts) or end <= starts[i])
+
+    for distance, end in ends:
+        # A match has at least this length.
+        if not free(end - max(1, len(pattern) - distance), end):
+            continue
+        # The start is the end of the best match of the reversed texts.
+        back = distances(pattern[::-1], text[max(0, end - len(pattern) - edits) : end][::-1], anchored=True)
+        start = end - 1 - back.index(min(back))
+        if free(start, end):
+            insort(starts, start)
+            found[start] = distance, end
+    return [(found[at][0], at, found[at][1]) for at in starts]
 
 
 class Finder:
@@ -155,19 +187,17 @@ class Finder:
         """(item, passage number, edits, start, end) of each leak; start and end are code points of the text."""
         if not text:
             return []
-        plain, found, places = normal(text), [], None
+        plain, found, places, breaks = normal(text), [], None, None
         for p, start, end in self.windows(plain):
             item, number, body, edits = self.passages[p]
-            distance, stop = least_edits(body, plain[start:end])
-            if distance > edits:
-                continue
-            # The start of the match is the end of the best match of the reversed texts before its end.
-            back, length = least_edits(body[::-1], plain[start : start + stop][::-1])
-            places = places or [m.span() for m in re.finditer(r"[^\W_]+", text)]
-            breaks = [i for i, c in enumerate(plain) if c == " "]
-            first = bisect_right(breaks, start + stop - length)
-            last = min(bisect_right(breaks, max(0, start + stop - 1)), len(places) - 1)
-            found.append((item, number, distance, places[min(first, last)][0], places[last][1]))
+            near = occurrences(body, plain[start:end], edits) if len(body) >= LEAST else [(0, 0, end - start)]
+            if near and places is None:
+                places = [m.span() for m in re.finditer(r"[^\W_]+", text)]
+                breaks = [i for i, c in enumerate(plain) if c == " "]
+            for distance, begin, stop in near:
+                first = bisect_right(breaks, start + begin)
+                last = min(bisect_right(breaks, max(0, start + stop - 1)), len(places) - 1)
+                found.append((item, number, distance, places[min(first, last)][0], places[last][1]))
         return sorted(found, key=lambda x: (x[3], str(x[0]), x[1]))
 
 

@@ -4,7 +4,7 @@ import re
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tallyshelf.llm.decontaminate import BUDGET, LEAST, PASSAGE, Finder, cuts_of, drop_leaks, find_leaks, least_edits, passages_of
+from tallyshelf.llm.decontaminate import BUDGET, LEAST, PASSAGE, Finder, cuts_of, distances, drop_leaks, find_leaks, least_edits, occurrences, passages_of
 from tests.llm.samples import odd_documents, prose, rows_of
 
 
@@ -114,3 +114,26 @@ def test_short_items_are_found_as_whole_words_without_edits(spark):
         (1, 1, 0, 4, 34), (4, 1, 0, 0, 29), (5, 2, 0, 0, 12), (6, 3, 0, 0, 3), (6, 3, 0, 5, 8), (7, 1, 0, 0, 29),
     ]
     assert rows_of(drop_leaks(docs, items), "doc_id") == [(2,), (3,)]
+
+
+def test_copies_back_to_back_are_rows_of_their_own():
+    item = prose(12, 31)
+    near = item[:20] + "x" + item[21:]
+    text = " ".join([item, near, item, item[: len(item) // 2], item])
+    got = [m[2:] for m in Finder([(1, 0, item)], BUDGET).matches(text)]
+    n = len(item)
+    half = 3 * (n + 1) + n // 2 + 1
+    assert got == [(0, 0, n), (1, n + 1, 2 * n + 1), (0, 2 * n + 2, 3 * n + 2), (0, half, half + n)]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text("ab ", min_size=3, max_size=8), st.text("ab ", max_size=40))
+def test_occurrences_are_the_best_of_those_that_overlap(pattern, text):
+    edits = 1
+    found = occurrences(pattern, text, edits)
+    assert all(a[2] <= b[1] for a, b in zip(found, found[1:], strict=False))
+    for distance, start, end in found:
+        assert distances(pattern, text[start:end], anchored=True)[-1] == distance <= edits
+    for end, distance in enumerate(distances(pattern, text), 1):
+        if distance <= edits:
+            assert any(d <= distance and s < end + edits and end - len(pattern) - 2 * edits < e for d, s, e in found)
