@@ -3,9 +3,11 @@
 A text is brought to a canonical form, so that copies of a licence that differ in case, punctuation, white space,
 copyright lines or equivalent spellings have the same one. The digest of the whole canonical text is looked up among the
 digests of known licences by a hash join. What is looked up is every entire document, and every entire line of it, as
-notices of one line stand among other text.
+notices of one line stand among other text. Known texts of several lines, or of RUN_WORDS words and more, are also looked for
+from every line on: where a line begins with the first words of such texts, the digests of as many words from there on as they
+have are looked up. How the lines are broken makes no difference, nor what stands before or after.
 
-The known licences are a table of the caller's, or `KNOWN`. They are broadcast if they are few, else shuffled. If they
+The known licences are a table of the caller's, or `KNOWN` and the full texts in `license_texts`. They are broadcast if they are few, else shuffled. If they
 are few, texts whose first word none of them can start with are left out before the costly steps: a canonical form
 starts with the text's first word, with what that is spelled otherwise, or after copyright lines.
 
@@ -16,6 +18,8 @@ once; one text under two names gives both. An empty table gives no rows. Extra c
 
 from __future__ import annotations
 
+import pkgutil
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,6 +50,14 @@ http://www.apache.org/licenses/LICENSE-2.0
 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."""),
 )
 
+# Full texts that are shipped with the package, by their short names. The licences' files as they are published.
+FULL: tuple[str, ...] = (
+    "Apache-2.0", "Artistic-1.0-Perl", "BSD-2-Clause", "BSD-3-Clause", "BSL-1.0", "CC0-1.0", "GFDL-1.2", "GFDL-1.3", "GPL-1.0", "GPL-2.0",
+    "GPL-3.0", "LGPL-2.0", "LGPL-2.1", "LGPL-3.0", "MPL-1.1", "MPL-2.0", "Unlicense",
+)
+# What follows this line of a full text is advice on its use, which copies may lack. Fixed value.
+END_OF_TERMS = "END OF TERMS AND CONDITIONS"
+
 # Spellings that count as equal, as whole words of the canonical form. Fixed values.
 SPELLINGS: tuple[tuple[str, str], ...] = (
     ("licence", "license"), ("licences", "licenses"), ("licenced", "licensed"), ("acknowledgement", "acknowledgment"),
@@ -63,6 +75,10 @@ NO_WORD, HAS_WORD = r"[^\p{L}\p{Nd}]+", r"[\p{L}\p{Nd}]+"
 COPYRIGHT = "copyright"
 # Documented parameter: known texts up to this many are broadcast.
 BROADCAST_TEXTS = 100_000
+# Documented parameters: words from which a known text of one line is looked for in runs too, and words that find a run.
+RUN_WORDS, ANCHOR_WORDS = 20, 4
+# Documented parameter: characters in which the first words of a run are looked for before all that follows is read.
+HEAD = 2000
 
 
 def canonical(text: Column) -> Column:
@@ -82,9 +98,15 @@ def digest(form: Column) -> Column:
 
 def known_digests(known: DataFrame, name: str = "license_id", text: str = "text") -> DataFrame:
     form = canonical(text_of(text))
-    rows = known.select(F.col(f"`{name}`").alias("license_id"), form.alias("form")).where("form <> ''")
+    lines = F.size(F.filter(F.split(text_of(text), "\n"), lambda line: canonical(line) != ""))
+    rows = known.select(F.col(f"`{name}`").alias("license_id"), form.alias("form"), lines.alias("lines")).where("form <> ''")
     form = F.col("form")
-    return rows.select("license_id", digest(form).alias("digest"), F.substring_index(form, " ", 1).alias("first")).distinct()
+    words = F.size(F.split(form, " "))
+    return rows.select(
+        "license_id", digest(form).alias("digest"), F.substring_index(form, " ", 1).alias("first"), words.alias("n_words"),
+        F.xxhash64(F.substring_index(form, " ", ANCHOR_WORDS)).alias("anchor"),
+        ((F.col("lines") > 1) | (words >= RUN_WORDS)).alias("in_runs"),
+    ).distinct()
 
 
 def first_word(text: Column) -> Column:
@@ -99,14 +121,59 @@ def _spelled_firsts(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(w,) for w in sorted(words)], "first string")
 
 
+def full_texts() -> list[tuple[str, str]]:
+    """The shipped texts, those with advice on their use also without."""
+    texts = [(name, pkgutil.get_data(__package__, f"license_texts/{name}.txt").decode()) for name in FULL]
+    cut = [(name, text[: text.index(END_OF_TERMS)]) for name, text in texts if END_OF_TERMS in text]
+    return texts + [(name, body + more) for name, body in cut for more in ("", END_OF_TERMS)]
+
+
 def known_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(KNOWN), "license_id string, text string")
+    return spark.createDataFrame([*KNOWN, *full_texts()], "license_id string, text string")
+
+
+def _runs(docs: DataFrame, digests: DataFrame, few: bool, doc_id: str, text: str) -> DataFrame:
+    """One row per document, place and licence found from the start of a line on: doc_id, unit 'lines', place, license_id."""
+    digests = digests.where("in_runs").select("license_id", "digest", "anchor", "first", F.col("n_words").alias("run_words"))
+    spark = docs.sparkSession
+    found = digests.select("first", "anchor", F.least("run_words", F.lit(ANCHOR_WORDS)).alias("n")).distinct().collect()
+    firsts = sorted({r["first"] for r in found} | {r["first"] for r in _spelled_firsts(spark).collect()})
+    anchors, sizes = sorted({r["anchor"] for r in found}), sorted({r["n"] for r in found})
+
+    def from_line(lines: Column, at: Column) -> Column:
+        return F.array_join(F.slice(lines, at + 1, F.size(lines)), "\n")
+
+    def anchors_of(lines: Column, at: Column) -> Column:
+        # The last words of a head may be cut, so a head of few words doesn't do.
+        head = canonical(F.substring(F.array_join(F.slice(lines, at + 1, HEAD), "\n"), 1, HEAD))
+        head = F.when(F.size(F.split(head, " ")) > 4 * ANCHOR_WORDS, head).otherwise(canonical(from_line(lines, at)))
+        return F.array(*[F.xxhash64(F.substring_index(head, " ", n)) for n in sizes])
+
+    # First words are cheap and leave few lines; whole known starts leave nearly none, of which all that follows is read.
+    body = text_of(text)
+    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.split(body, "\n").alias("lines"))
+    at = F.filter(F.sequence(F.lit(0), F.size("lines") - 1), lambda i: first_word(F.get("lines", i)).isin(firsts))
+    rows = rows.withColumn("at", at).where(F.size("at") > 0)
+    at = F.filter("at", lambda i: (canonical(F.get("lines", i)) != "") & F.exists(anchors_of(F.col("lines"), i), lambda a: a.isin(anchors)))
+    rows = rows.withColumn("at", at).where(F.size("at") > 0)
+    starts = F.transform("at", lambda i: F.struct(i.alias("place"), anchors_of(F.col("lines"), i).alias("anchors"), canonical(from_line(F.col("lines"), i)).alias("form")))
+    rows = rows.withColumn("row", F.monotonically_increasing_id()).select("doc_id", "row", F.explode(starts).alias("s"))
+    rows = rows.select("doc_id", "row", "s.place", "s.form", F.explode(F.array_distinct("s.anchors")).alias("anchor"))
+    known = digests.drop("first").distinct()
+    rows = rows.join(F.broadcast(known) if few else known, "anchor")
+    run = F.expr("substring_index(form, ' ', run_words)")
+    return rows.where(digest(run) == F.col("digest")).select("doc_id", F.lit("lines").alias("unit"), "license_id", "row", "place").distinct()
 
 
 def scan_licenses(docs: DataFrame, known: DataFrame | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document, unit ('text' or 'line') and licence found: n_found counts the units that match."""
+    """One row per document, unit ('text', 'line' or 'lines') and licence found: n_found counts the units that match.
+
+    A unit 'lines' is a run of lines, counted by the line where it begins.
+    """
     digests = known_digests(known if known is not None else known_table(docs.sparkSession))
     few = digests.count() <= BROADCAST_TEXTS
+    runs = _runs(docs, digests, few, doc_id, text).select("doc_id", "unit", "license_id")
+    digests = digests.select("license_id", "digest", "first").distinct()
     body = text_of(text)
     units = F.concat(
         F.array(F.struct(F.lit("text").alias("unit"), body.alias("body"))),
@@ -121,5 +188,5 @@ def scan_licenses(docs: DataFrame, known: DataFrame | None = None, doc_id: str =
         rows = rows.withColumn("first", F.coalesce(first, F.lit("")))
         rows = rows.join(F.broadcast(firsts), "first", "left_semi")
     rows = rows.select("doc_id", "unit", digest(canonical(F.col("body"))).alias("digest"))
-    found = rows.join(digests, "digest")
+    found = rows.join(digests, "digest").select("doc_id", "unit", "license_id").union(runs)
     return found.groupBy("doc_id", "unit", "license_id").agg(F.count(F.lit(1)).alias("n_found"))

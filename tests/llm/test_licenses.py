@@ -52,3 +52,28 @@ def test_many_known_texts_are_shuffled(spark, monkeypatch):
     monkeypatch.setattr(L, "BROADCAST_TEXTS", 0)
     docs = spark.createDataFrame([(1, "Released under the MIT License.")], DOC)
     assert L.scan_licenses(docs).count() == 2
+
+
+@pytest.mark.parametrize("name", L.FULL)
+def test_full_texts_are_known(spark, name):
+    text = dict(reversed(L.full_texts()))[name]
+    docs = spark.createDataFrame([(1, text), (2, "Readme\n\n" + text.replace("\n\n", "\n * \n") + "\nThe end."), (3, text[: len(text) // 3])], DOC)
+    got = rows_of(L.scan_licenses(docs).where("unit <> 'line'"))
+    # The Apache licence holds its own header, so it is found twice.
+    n = 2 if name == "Apache-2.0" else 1
+    assert got == [(1, "lines", name, n), (1, "text", name, 1), (2, "lines", name, n)]
+
+
+def test_runs_of_lines_among_other_text(spark):
+    wrapped = "\n".join(" * " + " ".join(MIT.split()[i : i + 7]) for i in range(0, len(MIT.split()), 7))
+    docs = spark.createDataFrame(
+        [(1, "The MIT License\n\nCopyright (c) 2024 X\n\n" + MIT + "\n\nMore."), (2, f"int a;\n/*\n{wrapped}\n*/\n{wrapped}\nint b;"), (3, "x " + MIT), (3, None)], DOC
+    )
+    assert rows_of(L.scan_licenses(docs)) == [(1, "lines", "MIT", 1), (2, "lines", "MIT", 2)]
+
+
+def test_runs_of_short_known_texts(spark):
+    docs = spark.createDataFrame([(1, "a\n\nBE good\n and kind.\nb"), (2, "be\ngood"), (3, "© be\nbe\n(c) 2020 X\ngood and kind")], DOC)
+    known = spark.createDataFrame([("k", "Be good\nand kind"), ("s", "be\n good"), ("n", "and kind b")], "license_id string, text string")
+    got = [r for r in rows_of(L.scan_licenses(docs, known)) if r[1] == "lines"]
+    assert got == [(1, "lines", "k", 1), (1, "lines", "s", 1), (2, "lines", "s", 1), (3, "lines", "k", 1), (3, "lines", "s", 1)]
