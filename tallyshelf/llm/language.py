@@ -13,8 +13,9 @@ with the mean support of the training texts by the others of their language, so
 or whose words seldom repeat, asks for less. Runs in fewer than one text in a hundred don't count, as labels may be wrong.
 
 Training fits the field by AdaGrad on a bounded sample of labelled rows, whose words have the label of their document. It
-runs in one task, as the sample is bounded (ROWS_PER_LANGUAGE, WORDS_PER_LANGUAGE). Labels with rows beyond the first LANGUAGES by
-frequency aren't learned. Prediction is one pass over whole texts.
+runs in one task, as the sample is bounded (ROWS_PER_LANGUAGE, WORDS_PER_LANGUAGE). Every label is learned: beyond LANGUAGES labels,
+each has fewer rows and words, so that the sample is no larger than for LANGUAGES, but a row of each label at least; beyond CELLS /
+FEATURES labels features share fewer weights. Prediction is one pass over whole texts.
 
 Edge cases. Null and empty texts, and texts without a letter, are `und` with score 0; so is everything if no row is
 labelled. Ties go to the first language by code point. Repeated rows are predicted alike. A null id counts as empty text
@@ -34,20 +35,22 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyshelf.llm.common import ship_package
 from tallyshelf.llm.shingles import mix
 from tallyshelf.scratch import Scratch
 
-# Documented parameters: the sample, the lexicon, hashed features, words of a chain, code points of a word.
+# Documented parameters: the sample of a language, and the languages up to which it is whole; the lexicon, hashed features, words of
+# a chain, code points of a word.
 ROWS_PER_LANGUAGE, WORDS_PER_LANGUAGE, LANGUAGES = 250, 120_000, 64
 LEXICON, FEATURES, CHAIN, LETTERS = 20_000, 1 << 17, 64, 24
 # Documented parameters of training: passes over the sample, words of a step, its size, decay.
 PASSES, STEP_WORDS, RATE, DECAY = 2, 4096, 0.2, 1e-4
-# Documented parameter: words whose scores a task keeps at a time.
-REMEMBERED = 400_000
+# Documented parameters: weights, words whose scores a task keeps at a time, and documents it labels at a time; the last two are
+# for up to LANGUAGES languages, and fewer for more.
+CELLS, REMEMBERED, TOGETHER = 1 << 24, 400_000, 1000
 # Documented parameters: letters of a run that supports a language, least share of the training texts that hold it.
 RUN, FEW_TEXTS = 4, 0.01
 TOKEN = re.compile(r"[^\W\d_]+|\n")
@@ -59,7 +62,17 @@ def _short(word: str) -> str:
     return word if len(word) <= LETTERS else word[: LETTERS // 2] + word[-LETTERS // 2 :]
 
 
-def features_of(words: list[str], lexicon: frozenset[str]) -> tuple[np.ndarray, np.ndarray]:
+def shared(most: int, labels: int) -> int:
+    """What is left for each label, or for each of anything that takes room by labels, of `most` for up to LANGUAGES of them."""
+    return max(1, min(most, most * LANGUAGES // max(1, labels)))
+
+
+def slots_of(labels: int) -> int:
+    """Weights of a label: a power of two."""
+    return min(FEATURES, 1 << (max(1, CELLS // max(1, labels)).bit_length() - 1))
+
+
+def features_of(words: list[str], lexicon: frozenset[str], slots: int = FEATURES) -> tuple[np.ndarray, np.ndarray]:
     """Hashed features of each word, word after word, and where each word's begin."""
     short = [_short(w) for w in words]
     codes = np.array(short, f"<U{LETTERS}").view(np.uint32).reshape(len(words), LETTERS).astype(np.uint64)
@@ -67,7 +80,7 @@ def features_of(words: list[str], lexicon: frozenset[str]) -> tuple[np.ndarray,
     ids, rows = [], []
 
     def add(kind: int, values: np.ndarray, which: np.ndarray) -> None:
-        ids.append(mix(values * np.uint64(64) + np.uint64(kind)) % np.uint64(FEATURES))
+        ids.append(mix(values * np.uint64(64) + np.uint64(kind)) % np.uint64(slots))
         rows.append(which)
 
     everyone = np.arange(len(words))
@@ -215,8 +228,9 @@ def forward_backward(chains: Chains, scores: np.ndarray, moves: np.ndarray, coun
         if t:
             here = e[at] * b
             if count:
-                pairs = ahead[at - 1][:, :, None] * m[None] * here[:, None, :]
-                moved += (pairs / pairs.sum((1, 2), keepdims=True)).sum(0)
+                before = ahead[at - 1]
+                whole = ((before @ m) * here).sum(1, keepdims=True)
+                moved += m * ((before / whole).T @ here)
             b = here @ m.T
             behind[:n] = b / b.sum(1, keepdims=True)
     return out, moved
@@ -239,12 +253,12 @@ class Field:
 
     def numbers(self, tokens: list[str]) -> np.ndarray:
         """Numbers of the words; the scores of new words are computed."""
-        if len(self.known) > REMEMBERED:
+        if len(self.known) > shared(REMEMBERED, len(self.labels)):
             self.forget()
         new = list(set(tokens).difference(self.known))
         if new:
             new.sort()
-            ids, starts = features_of(new, self.lexicon)
+            ids, starts = features_of(new, self.lexicon, len(self.weights))
             first = len(self.scores)
             self.scores = np.concatenate([self.scores, np.add.reduceat(self.weights[ids], starts, axis=0)])
             self.known.update(zip(new, range(first, first + len(new)), strict=True))
@@ -277,7 +291,7 @@ def train(texts: list[tuple[str, str]], seed: int = 0) -> Field:
     labels = sorted({label for _, label in texts})
     tokens: list[list[str]] = []
     wanted: list[int] = []
-    room = dict.fromkeys(labels, WORDS_PER_LANGUAGE)
+    room = dict.fromkeys(labels, shared(WORDS_PER_LANGUAGE, len(labels)))
     for text, label in texts:
         words = tokens_of(text)[: room[label]]
         room[label] -= len(words)
@@ -286,21 +300,21 @@ def train(texts: list[tuple[str, str]], seed: int = 0) -> Field:
             wanted.append(labels.index(label))
     counts = Counter(w for t in tokens for w in t if w != "\n")
     lexicon = frozenset(w for w, n in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:LEXICON] if n > 2)
-    size = len(labels)
-    field = Field(labels, lexicon, np.zeros((FEATURES, size)), np.zeros((size, size)))
+    size, slots = len(labels), slots_of(len(labels))
+    field = Field(labels, lexicon, np.zeros((slots, size)), np.zeros((size, size)))
     if not counts:
         return field
     vocabulary = sorted(counts)
     number = {w: i for i, w in enumerate(vocabulary)} | {"\n": -1}
     spoken = [(np.array([number[w] for w in t if w != "\n"], np.int64), y) for t, y in zip(tokens, wanted, strict=True)]
     field.support = Support(size, vocabulary, [(w, y) for w, y in spoken if len(w)])
-    ids, starts = features_of(vocabulary, lexicon)
+    ids, starts = features_of(vocabulary, lexicon, slots)
     ends = np.append(starts[1:], len(ids))
-    squares, move_squares = np.full((FEATURES, size), 1e-6), np.full((size, size), 1e-6)
+    squares, move_squares = np.full((slots, size), 1e-6), np.full((size, size), 1e-6)
     random = np.random.default_rng(seed)
     # Steps of about STEP_WORDS words, from runs of CHAIN tokens of all documents in random order.
     runs = [(t[i : i + CHAIN], y) for t, y in zip(tokens, wanted, strict=True) for i in range(0, len(t), CHAIN)]
-    per_step = max(1, STEP_WORDS // CHAIN)
+    per_step = shared(STEP_WORDS // CHAIN, size)
     for _ in range(PASSES):
         order = random.permutation(len(runs))
         for i in range(0, len(runs), per_step):
@@ -352,20 +366,23 @@ def _trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", scratch: Scratch | None = None) -> Field | None:
     """The field fitted on a sample of the labelled documents that are not held out; None if there are none.
 
-    Each label's rows are taken by a hash of their id below a bar that leaves about ROWS_PER_LANGUAGE of them. Only the model
-    comes to the driver.
+    Each label's rows are those with the least hashes of their id, ROWS_PER_LANGUAGE of them; a bar on the hash leaves about twice
+    as many to sort. Only the model comes to the driver, and the labels with their counts.
     """
     spark = docs.sparkSession
     ship_package(spark)
     scratch = scratch or Scratch(spark)
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("lang"))
     rows = rows.where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
-    per_label = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    per_label = rows.groupBy("lang").count().collect()
     if not per_label:
         return None
-    share = F.create_map(*[F.lit(x) for r in per_label for x in (r["lang"], min(1.0, ROWS_PER_LANGUAGE / r["count"]))])
+    most = shared(ROWS_PER_LANGUAGE, len(per_label))
+    shares = spark.createDataFrame([(r["lang"], min(1.0, 2 * most / r["count"])) for r in per_label], "lang string, share double")
     draw = F.pmod(F.xxhash64(F.lit("train"), "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = rows.where(draw < F.try_element_at(share, F.col("lang"))).limit(2 * ROWS_PER_LANGUAGE * len(per_label))
+    sample = rows.join(F.broadcast(shares), "lang").withColumn("draw", draw).where("draw < share")
+    in_turn = Window.partitionBy("lang").orderBy("draw", "doc_id", "text")
+    sample = sample.withColumn("turn", F.row_number().over(in_turn)).where(F.col("turn") <= most)
     sample = scratch.table(sample.select("doc_id", "text", "lang"), "sample")
     # Ordered, as the order of the rows decides where a label's words end and in which steps they come.
     ordered = sample.repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id", "text")
@@ -375,7 +392,8 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
 
 def _predict(model: Field | None, runs: bool, support: bool = False) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        pieces = shared(TOGETHER, len(model.labels) if model else 1)
+        for batch in (b.slice(i, pieces) for b in batches for i in range(0, max(1, len(b)), pieces)):
             stream: list[str] = []
             ends, has = [], []
             for text in batch.column("text"):
@@ -445,7 +463,7 @@ def known_language(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             plain = pa.RecordBatch.from_arrays([batch.column(doc_id), batch.column(text)], ["doc_id", "text"])
-            found = next(predict(iter([plain])))
+            found = pa.Table.from_batches(predict(iter([plain])))
             sure = [n != UNKNOWN and s >= least for n, s in zip(found.column("lang_pred").to_pylist(), found.column("score").to_pylist(), strict=True)]
             if support:
                 sure = [ok and s >= support for ok, s in zip(sure, found.column("support").to_pylist(), strict=True)]

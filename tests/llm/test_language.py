@@ -4,7 +4,7 @@ import zlib
 import numpy as np
 import pytest
 
-from tallyshelf.llm.language import Chains, Field, fit, forward_backward, identify, known_language, runs_of, train
+from tallyshelf.llm.language import Chains, Field, fit, forward_backward, identify, known_language, runs_of, shared, slots_of, train
 from tests.llm.samples import odd_documents
 
 SOUNDS = {"aa": "ba be bi bo da de di do", "bb": "kra kre kri gro gru ska sko", "cc": "lili nana momo pepe ruru sasa"}
@@ -116,3 +116,20 @@ def test_runs_of_letters():
 def test_copies_do_not_vouch_for_one_another():
     field = train([("bada bedo", "x")] * 50 + [("kruska grogra", "y"), ("kruska skogru", "y")])
     assert field.support.expected[0] == 0 and 0 < field.support.expected[1] < 1
+
+
+def test_every_label_is_learned(spark):
+    marks = [a + b for a in "bcdfghjklm" for b in "aeiouyw"]
+    rows = [(i * 1000 + j, f"{m}{m} {m}n{m} {m}{m}s " * 3, m) for i, m in enumerate(marks) for j in range(40 if i < 64 else 12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = fit(docs)
+    assert len(marks) == 70 and model.labels == sorted(marks)
+    assert all(r.lang_pred == marks[r.doc_id // 1000] for r in identify(docs, model).collect())
+
+
+def test_rooms_shrink_with_labels():
+    assert [shared(250, n) for n in (1, 64, 128, 100_000)] == [250, 250, 125, 1]
+    assert [slots_of(n) for n in (4, 128, 129, 1000)] == [1 << 17, 1 << 17, 1 << 16, 1 << 14]
+    many = [(f"{chr(97 + i % 26)}{chr(97 + i // 26)}{'o' * (i % 5)} " * 4, f"l{i}") for i in range(200)]
+    field = train(many)
+    assert len(field.labels) == 200 and field.weights.shape == (1 << 16, 200)
