@@ -366,21 +366,23 @@ def _trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", scratch: Scratch | None = None) -> Field | None:
     """The field fitted on a sample of the labelled documents that are not held out; None if there are none.
 
-    Each label's rows are those with the least hashes of their id, ROWS_PER_LANGUAGE of them; a bar on the hash leaves about twice
-    as many to sort. Only the model comes to the driver, and the labels with their counts.
+    Each label's rows are those with the least hashes of their id and text, ROWS_PER_LANGUAGE of them, equal rows once; a bar on
+    the hash leaves about twice as many to sort. Only the model comes to the driver, and the labels with their counts.
     """
     spark = docs.sparkSession
     ship_package(spark)
     scratch = scratch or Scratch(spark)
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("lang"))
     rows = rows.where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
-    per_label = rows.groupBy("lang").count().collect()
+    key = F.xxhash64(F.lit("train"), "doc_id", "text")
+    # Equal rows have one hash, and a bar by their number might leave none of them: different ones are counted.
+    per_label = rows.groupBy("lang").agg(F.approx_count_distinct(key).alias("rows")).collect()
     if not per_label:
         return None
     most = shared(ROWS_PER_LANGUAGE, len(per_label))
-    shares = spark.createDataFrame([(r["lang"], min(1.0, 2 * most / r["count"])) for r in per_label], "lang string, share double")
-    draw = F.pmod(F.xxhash64(F.lit("train"), "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = rows.join(F.broadcast(shares), "lang").withColumn("draw", draw).where("draw < share")
+    shares = spark.createDataFrame([(r["lang"], min(1.0, 2 * most / r["rows"])) for r in per_label], "lang string, share double")
+    draw = F.pmod(key, F.lit(1 << 30)) / F.lit(float(1 << 30))
+    sample = rows.join(F.broadcast(shares), "lang").withColumn("draw", draw).where("draw < share").distinct()
     in_turn = Window.partitionBy("lang").orderBy("draw", "doc_id", "text")
     sample = sample.withColumn("turn", F.row_number().over(in_turn)).where(F.col("turn") <= most)
     sample = scratch.table(sample.select("doc_id", "text", "lang"), "sample")

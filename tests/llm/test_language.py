@@ -133,3 +133,14 @@ def test_rooms_shrink_with_labels():
     many = [(f"{chr(97 + i % 26)}{chr(97 + i // 26)}{'o' * (i % 5)} " * 4, f"l{i}") for i in range(200)]
     field = train(many)
     assert len(field.labels) == 200 and field.weights.shape == (1 << 16, 200)
+
+
+def test_rows_that_share_an_id_are_drawn_one_by_one(spark):
+    rng = random.Random(8)
+    for one in (1, 2, 3, 11):
+        rows = [(one, sentence("aa", 6, rng), "aa") for _ in range(2000)] + [(one, "kra kre kri", "bb")] * 2000 + [(i, sentence("cc", 6, rng), "cc") for i in range(5000, 5400)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+        held = zlib.crc32(str(one).encode()) % 5 == 0
+        model = fit(docs)
+        assert model.labels == (["cc"] if held else ["aa", "bb", "cc"])
+        assert fit(docs.repartition(7)).weights.tobytes() == model.weights.tobytes()
