@@ -8,8 +8,6 @@ from pyarrow import fs
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-# A first line is looked for in so many bytes.
-LONGEST = 1 << 20
 # Files whose first lines one task reads.
 PER_TASK = 256
 
@@ -33,7 +31,7 @@ def _store(path: str) -> tuple[str, str]:
     return f"{scheme}://{host}/", f"/{inside}"
 
 
-def _heads(longest: int) -> Callable:
+def _heads() -> Callable:
     """First lines of a batch of files, decompressed by suffix. All that it needs is inside: workers may lack this package."""
     def run(batches):
         import pyarrow as pa
@@ -46,11 +44,13 @@ def _heads(longest: int) -> Callable:
                 if root not in stores:
                     stores[root] = fs.FileSystem.from_uri(root)
                 files, base = stores[root]
-                data = b""
+                parts = []
                 with files.open_input_stream(base.rstrip("/") + inside, compression="detect") as stream:
-                    while b"\n" not in data and len(data) < longest and (more := stream.read(1 << 14)):
-                        data += more
-                lines.append(data.split(b"\n", 1)[0].removesuffix(b"\r"))
+                    while (more := stream.read(1 << 14)):
+                        parts.append(more)
+                        if b"\n" in more:
+                            break
+                lines.append(b"".join(parts).split(b"\n", 1)[0].removesuffix(b"\r"))
             yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(lines, pa.binary())], ["path", "line"])
 
     return run
@@ -81,5 +81,5 @@ def first_lines(spark: SparkSession, files: list[str], encoding: str) -> dict[st
         return {f: _driver_line(spark, f, encoding) for f in files}
     paths = spark.createDataFrame([(f, *_store(f)) for f in files], "path string, root string, inside string")
     paths = paths.repartition(-(-len(files) // PER_TASK), F.xxhash64("path"))
-    heads = paths.mapInArrow(_heads(LONGEST), "path string, line binary").toLocalIterator()
+    heads = paths.mapInArrow(_heads(), "path string, line binary").toLocalIterator()
     return {r["path"]: bytes(r["line"]).decode(encoding) for r in heads}

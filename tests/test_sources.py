@@ -113,3 +113,12 @@ def test_accounts(spark):
 def test_quoted_line_breaks(spark, tmp_path):
     path = put(tmp_path / "a.txt", 'sku\tnote\na\t"one\ntwo"\nb\tx\n')
     assert listed(scan_flat_files(spark, path, multi_line=True).rows, "*") == [("a", "one\ntwo"), ("b", "x")]
+
+
+def test_a_long_first_line_is_read_to_its_end(spark, tmp_path):
+    from tallyshelf.sources.files import first_lines
+
+    header = "\t".join(f"column-{i}" for i in range(150_000))
+    (tmp_path / "long.txt").write_text(header + "\r\n1\t2\n")
+    (found,) = first_lines(spark, [f"file:{tmp_path}/long.txt"], "utf-8").values()
+    assert len(header) > 1 << 20 and found == header
