@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import shutil
 import tempfile
@@ -9,6 +10,8 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from pathlib import Path
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +34,22 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
 
 
+def pieces(batch: pa.RecordBatch, column: str, rows: int, size: int) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of at most so many rows and bytes of a text column; a longer text is a slice of its own.
+
+    Spark bounds a batch by its bytes already; what Python makes of a text is many times larger.
+    """
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+    begin = held = 0
+    for at, n in enumerate(sizes):
+        if at > begin and (at - begin >= rows or held + n > size):
+            yield batch.slice(begin, at - begin)
+            begin, held = at, 0
+        held += n
+    if begin < len(sizes):
+        yield batch.slice(begin)
+
+
 @contextmanager
 def shuffle_files_removed(spark: SparkSession) -> Iterator[None]:
     """Queries that run inside leave no shuffle files behind. For jobs that write their steps as tables.
@@ -60,4 +79,6 @@ def ship_package(spark: SparkSession) -> None:
     package = Path(folder, "src", "tallyshelf")
     shutil.copytree(root / "tallyshelf", package, ignore=shutil.ignore_patterns("__pycache__"))
     sc.addPyFile(shutil.make_archive(f"{folder}/tallyshelf-workers", "zip", f"{folder}/src"))
+    # Executors that start later still ask the driver for the archive, so it stays until the driver ends.
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     sc._tallyshelf_shipped = True

@@ -1,6 +1,7 @@
 """Language identification with a linear-chain conditional random field over words.
 
-Every word is a position of a chain; a chain is a line, or 64 words of a longer one. A word's features are its prefixes
+Every word is a position of a chain, and every 24 letters of a longer word are one; a chain is a line, or 64 positions of a
+longer one. A word is letters and the marks on them, by Unicode category. A word's features are its prefixes
 and suffixes, its n-grams, and its entry in a lexicon of frequent words of the training sample, all hashed; transitions
 between languages are learned. Forward-backward gives each word's probabilities, so a text that switches languages has
 its words labelled one by one. A document's language is the one with the largest mean probability, which is its score.
@@ -21,13 +22,13 @@ Edge cases. Null and empty texts, and texts without a letter, are `und` with sco
 labelled. Ties go to the first language by code point. Repeated rows are predicted alike. A null id counts as empty text
 where ids are split. An empty table gives no rows. Extra columns are left out by `identify` and kept by
 `known_language`. A text without any supported run is never of a known language if support is asked for; one of a language learned from
-a single text is if it has one such run.
+a single text is if it has one such run. Very long texts are labelled whole, in chains. Superscripts, fractions and circled
+digits are no letters, so a text of these alone is `und`.
 """
 
 from __future__ import annotations
 
 import pickle
-import re
 import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
@@ -35,10 +36,11 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyshelf.llm.common import ship_package
+from tallyshelf.llm.common import pieces, ship_package
 from tallyshelf.llm.shingles import mix
 from tallyshelf.scratch import Scratch
 
@@ -49,19 +51,15 @@ LEXICON, FEATURES, CHAIN, LETTERS = 20_000, 1 << 17, 64, 24
 # Documented parameters of training: passes over the sample, words of a step, its size, decay.
 PASSES, STEP_WORDS, RATE, DECAY = 2, 4096, 0.2, 1e-4
 # Documented parameters: weights, words whose scores a task keeps at a time, and documents it labels at a time; the last two are
-# for up to LANGUAGES languages, and fewer for more.
-CELLS, REMEMBERED, TOGETHER = 1 << 24, 400_000, 1000
+# for up to LANGUAGES languages, and fewer for more. Bytes of text that a task labels at a time.
+CELLS, REMEMBERED, TOGETHER, BYTES = 1 << 24, 400_000, 1000, 4_000_000
 # Documented parameters: letters of a run that supports a language, least share of the training texts that hold it.
 RUN, FEW_TEXTS = 4, 0.01
-TOKEN = re.compile(r"[^\W\d_]+|\n")
+# A position of the chain: letters and their marks by Unicode category; digits of any kind are no letters.
+TOKEN = regex.compile(rf"\p{{L}}[\p{{L}}\p{{M}}]{{0,{LETTERS - 1}}}|\n")
 UNKNOWN = "und"
 
 
-def _short(word: str) -> str:
-    """Words longer than LETTERS keep both ends, where their affixes are."""
-    return word if len(word) <= LETTERS else word[: LETTERS // 2] + word[-LETTERS // 2 :]
-
-
 def shared(most: int, labels: int) -> int:
     """What is left for each label, or for each of anything that takes room by labels, of `most` for up to LANGUAGES of them."""
     return max(1, min(most, most * LANGUAGES // max(1, labels)))
@@ -74,9 +72,8 @@ def slots_of(labels: int) -> int:
 
 def features_of(words: list[str], lexicon: frozenset[str], slots: int = FEATURES) -> tuple[np.ndarray, np.ndarray]:
     """Hashed features of each word, word after word, and where each word's begin."""
-    short = [_short(w) for w in words]
-    codes = np.array(short, f"<U{LETTERS}").view(np.uint32).reshape(len(words), LETTERS).astype(np.uint64)
-    sizes = np.array([len(w) for w in short])
+    codes = np.array(words, f"<U{LETTERS}").view(np.uint32).reshape(len(words), LETTERS).astype(np.uint64)
+    sizes = np.array([len(w) for w in words])
     ids, rows = [], []
 
     def add(kind: int, values: np.ndarray, which: np.ndarray) -> None:
@@ -273,9 +270,9 @@ class Field:
         """The support of words, by their numbers and probabilities of labels: 1 is that of training texts."""
         if not self.support:
             return 0.0
-        new = list(islice(self.known, 1 + len(self.runs), None))
-        if new:
-            held, runs = self.support.of(new)
+        if len(self.known) - 1 > len(self.runs):
+            # Once for the words of a batch: the walk passes all that are known.
+            held, runs = self.support.of(list(islice(self.known, 1 + len(self.runs), None)))
             self.held, self.runs = np.concatenate([self.held, held]), np.concatenate([self.runs, runs])
         found = float((p * self.held[words]).sum())
         expected = float((p * self.support.expected).sum(1) @ self.runs[words])
@@ -394,8 +391,8 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
 
 def _predict(model: Field | None, runs: bool, support: bool = False) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = shared(TOGETHER, len(model.labels) if model else 1)
-        for batch in (b.slice(i, pieces) for b in batches for i in range(0, max(1, len(b)), pieces)):
+        most = shared(TOGETHER, len(model.labels) if model else 1)
+        for batch in (piece for b in batches for piece in pieces(b, "text", most, BYTES)):
             stream: list[str] = []
             ends, has = [], []
             for text in batch.column("text"):
@@ -439,9 +436,7 @@ def identify(
     docs: DataFrame, model: Field | None = None, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", runs: bool = False,
 ) -> DataFrame:
     """One row per document: doc_id, held_out, lang_pred, score; with `runs`, the languages of its words in turn."""
-    spark = docs.sparkSession
-    ship_package(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    ship_package(docs.sparkSession)
     model = model or fit(docs, doc_id, text, lang)
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     more = ", runs array<struct<lang: string, n_words: long>>" if runs else ""
@@ -458,13 +453,14 @@ def known_language(
     A support of 1 is what the language's training texts have; with 0, texts of languages that were never learned stay.
     """
     ship_package(docs.sparkSession)
-    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     model = fit(docs, doc_id, text, lang)
     predict = _predict(model, False, support > 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             plain = pa.RecordBatch.from_arrays([batch.column(doc_id), batch.column(text)], ["doc_id", "text"])
+            if not len(batch):
+                continue
             found = pa.Table.from_batches(predict(iter([plain])))
             sure = [n != UNKNOWN and s >= least for n, s in zip(found.column("lang_pred").to_pylist(), found.column("score").to_pylist(), strict=True)]
             if support:

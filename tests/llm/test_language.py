@@ -2,9 +2,11 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from tallyshelf.llm.language import Chains, Field, fit, forward_backward, identify, known_language, runs_of, shared, slots_of, train
+from tallyshelf.llm.common import pieces
+from tallyshelf.llm.language import Chains, Field, fit, forward_backward, identify, known_language, runs_of, shared, slots_of, tokens_of, train
 from tests.llm.samples import odd_documents
 
 SOUNDS = {"aa": "ba be bi bo da de di do", "bb": "kra kre kri gro gru ska sko", "cc": "lili nana momo pepe ruru sasa"}
@@ -144,3 +146,50 @@ def test_rows_that_share_an_id_are_drawn_one_by_one(spark):
         model = fit(docs)
         assert model.labels == (["cc"] if held else ["aa", "bb", "cc"])
         assert fit(docs.repartition(7)).weights.tobytes() == model.weights.tobytes()
+
+
+def test_letters_are_told_by_category():
+    assert tokens_of("a² ½ ① x_y 3 Ⅳ") == ["a", "x", "y"]
+    assert tokens_of("नमस्ते e\u0301t") == ["नमस्ते", "e\u0301t"]
+    assert tokens_of("\u0301 \u0301a") == ["a"]
+
+
+def test_digits_of_any_kind_are_und(spark, labelled):
+    docs = spark.createDataFrame([(i, t, None) for i, t in enumerate(["²", "½ ① ³", "٣", "\u0301"])], "doc_id long, text string, lang string")
+    assert [(r.lang_pred, r.score) for r in identify(docs, model=fit(labelled)).collect()] == [("und", 0.0)] * 4
+
+
+def test_the_middle_of_long_words_counts(spark):
+    rng = random.Random(9)
+
+    def word(mark):
+        # Both ends say nothing: only the letters in the middle tell the two apart.
+        return "".join(rng.choice("lmnr") for _ in range(26)) + mark * 4 + "".join(rng.choice("lmnr") for _ in range(26))
+
+    rows = [(i, word(("ka", "to")[i % 2]), ("xx", "yy")[i % 2]) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert tokens_of(rows[0][1]) == [rows[0][1][i : i + 24] for i in (0, 24, 48)]
+    got = {r.doc_id: r for r in identify(docs).collect()}
+    held = [r for r in rows if got[r[0]].held_out]
+    assert sum(got[d].lang_pred == lang for d, _, lang in held) >= 0.95 * len(held)
+
+
+def test_words_are_looked_up_once_a_batch(labelled):
+    """The support of a document doesn't depend on what a task has seen before."""
+    model = train([(r.text, r.lang) for r in labelled.collect()])
+    streams = [tokens_of(f"{a} {b}") for a in ("baba", "krakra", "zzyyxx") for b in ("bebe", "lilinana")]
+
+    def support(tokens):
+        p, _, words = model.label(tokens)
+        return model.supported(words, p)
+
+    together = [support(s) for s in streams]
+    for s, want in zip(streams, together, strict=True):
+        model.forget()
+        assert support(s) == want
+
+
+def test_slices_are_bounded_by_rows_and_bytes():
+    batch = pa.RecordBatch.from_pydict({"text": ["aa", None, "é", "x" * 50, "", "y"]})
+    assert [p.column("text").to_pylist() for p in pieces(batch, "text", 3, 10)] == [["aa", None, "é"], ["x" * 50], ["", "y"]]
+    assert list(pieces(batch.slice(0, 0), "text", 3, 10)) == []
