@@ -17,6 +17,7 @@ from tallyshelf.llm.near_duplicates import near_duplicates
 from tallyshelf.llm.quality import judge
 from tallyshelf.llm.sharding import shard_documents
 from tallyshelf.llm.suffix_dedup import remove_repeats
+from tallyshelf.llm.toxicity import score_toxicity
 from tallyshelf.llm.warc import archive_pages, read_archives
 
 
@@ -97,6 +98,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learned from the labels that are not held out."""
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_quality": op2_quality,
@@ -108,6 +114,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat": op8_chat,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_mixing": op10_mixing,
+    "op11_toxicity": op11_toxicity,
 }
 
 

@@ -1,0 +1,123 @@
+import random
+import zlib
+from math import exp, log
+
+import numpy as np
+import pytest
+
+from tallyshelf.llm import toxicity as T
+from tests.llm.samples import odd_documents, prose
+
+BAD = ("vrakkun", "slijmoor", "gnathub")
+
+
+def held(doc_id):
+    return zlib.crc32(str(doc_id).encode()) % 4 == 2
+
+
+@pytest.fixture(scope="module")
+def labelled(spark):
+    rng = random.Random(2)
+    rows, labels = [], []
+    for i in range(600):
+        words, toxic = prose(rng.randint(3, 200), i).split(), i % 5 == 0
+        for _ in range(1 + len(words) // 60 if toxic else 0):
+            words.insert(rng.randint(0, len(words)), rng.choice(BAD).upper() if rng.random() < 0.2 else rng.choice(BAD))
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(toxic)))
+    return spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+
+
+def plain_grams(text):
+    """Distinct n-grams, without hashing."""
+    text = f" {' '.join(text.lower().split())} " if text.split() else ""
+    return {(n, text[i : i + n]) for n in T.GRAMS for i in range(len(text) - n + 1)}
+
+
+def test_slots_are_those_of_distinct_grams():
+    owner = np.zeros(T.SLOTS, np.int32)
+    texts = ["Abc  abc\nABC", "x", "", None, " \t", "漢字 é", prose(300, 1)]
+    for text in texts:
+        slots = T.slots_of(text, owner)
+        # No two n-grams of these few share a slot by chance, but for the longest text.
+        assert len(set(slots.tolist())) == len(slots)
+        assert abs(len(slots) - len(plain_grams(text or ""))) <= (5 if text == texts[-1] else 0)
+    assert sorted(T.slots_of(texts[0], owner)) == sorted(T.slots_of("abc abc abc", owner))
+
+
+def test_blocks_of_long_texts_lose_nothing(monkeypatch):
+    owner, text = np.zeros(T.SLOTS, np.int32), prose(2000, 3)
+    whole = sorted(T.slots_of(text, owner))
+    for size in (7, 100, 1001, len(text) + 2, len(text) + 1):
+        monkeypatch.setattr(T, "BLOCK", size)
+        assert sorted(T.slots_of(text, owner)) == whole
+
+
+def test_ratios_are_log_count_ratios():
+    owner = np.zeros(T.SLOTS, np.int32)
+    texts, toxic = ["ab ab", "ab cd", "ab xy", "cd ab", "cd q"], np.array([1, 1, 0, 0, 0])
+    got = T.ratios([T.slots_of(t, owner) for t in texts], toxic)
+    grams = [plain_grams(t) for t in texts]
+    seen = {g for g in set().union(*grams) if sum(g in x for x in grams) >= T.FEW}
+    p, q = ({g: T.SMOOTH + sum(g in x for x, y in zip(grams, toxic, strict=True) if y == c) for g in seen} for c in (1, 0))
+    want = sorted(log(p[g] / sum(p.values())) - log(q[g] / sum(q.values())) for g in seen)
+    assert len(seen) == np.count_nonzero(got) and np.allclose(sorted(got[got != 0]), want)
+
+
+def test_the_score_is_the_sum_of_weights():
+    model = T.train(["bad vrakkun", "vrakkun oh", "vrakkun"] * 3 + ["good day", "oh day", "day"] * 3, [1] * 9 + [0] * 9, 0.5)
+    owner = np.zeros(T.SLOTS, np.int32)
+    for text in ("a vrakkun day", "day", "", "new"):
+        total = model.intercept + sum(float(model.weights[s]) for s in T.slots_of(text, owner))
+        assert model.score(text) == pytest.approx(1 / (1 + exp(-total)), abs=2e-6)
+    assert model.score("vrakkun") > 0.8 > 0.2 > model.score("day")
+
+
+def test_toxic_documents_are_caught_and_clean_ones_left_alone(labelled):
+    docs, labels = labelled
+    truth = {r.doc_id: r.toxic for r in labels.collect()}
+    rows = T.score_toxicity(docs, labels).collect()
+    assert len(rows) == 600 and all(r.held_out == held(r.doc_id) and r.predicted == (r.score >= 0.3) for r in rows)
+    own = [r for r in rows if r.held_out]
+    caught = [r.predicted for r in own if truth[r.doc_id]]
+    assert sum(caught) >= 0.9 * len(caught) and sum(r.predicted for r in own if not truth[r.doc_id]) <= 0.02 * len(own)
+
+
+def test_held_out_labels_other_columns_and_row_order_change_nothing(labelled):
+    docs, labels = labelled
+    want = sorted(map(tuple, T.score_toxicity(docs, labels).collect()))
+    wrong = labels.selectExpr("doc_id", "CASE WHEN crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 4 = 2 THEN 1 - toxic ELSE toxic END AS toxic")
+    more = docs.repartition(7).selectExpr("'x' AS score", "text", "'1' AS toxic", "doc_id", "1 AS id", "0 AS draw")
+    assert sorted(map(tuple, T.score_toxicity(more, wrong.repartition(3)).collect())) == want
+
+
+def test_odd_rows(spark, labelled):
+    docs, labels = labelled
+    odd = odd_documents(spark)
+    rows = T.score_toxicity(odd, model=T.fit(docs, labels)).collect()
+    assert len(rows) == odd.count() and all(0 <= r.score <= 1 for r in rows)
+    assert len({r.score for r in rows if r.doc_id in (5, 6, 7)}) == 1
+    given = spark.createDataFrame([(1, 1), (1, 0), (3, 0), (3, 0), (9, 0), (10, 0), (None, 1), (4, None), (77, 1), (11, 5)], "doc_id long, toxic int")
+    rows = T.score_toxicity(odd, given).collect()
+    assert len(rows) == odd.count() and len({r.score for r in rows if r.doc_id == 3}) == 2
+    assert T.score_toxicity(odd.limit(0), given).count() == 0
+
+
+def test_one_class_or_none(spark, labelled):
+    docs, labels = labelled
+    assert {r.score for r in T.score_toxicity(docs, labels.limit(0)).collect()} == {0.0}
+    assert {r.score for r in T.score_toxicity(docs, labels.where("toxic = 0")).collect()} == {0.000001}
+    assert {r.predicted for r in T.score_toxicity(docs, labels.where("toxic = 1")).collect()} == {1}
+
+
+def test_rows_that_share_an_id_teach_once(spark, labelled):
+    docs, labels = labelled
+    copies = docs.union(docs.where("doc_id = 5")).union(spark.createDataFrame([(7, "zzz other")] * 500, "doc_id long, text string"))
+    model = T.fit(copies, labels)
+    assert model.score("vrakkun") > 0.5
+    assert np.array_equal(T.fit(copies.repartition(5), labels).weights, model.weights)
+
+
+def test_the_sample_has_room_for_both_classes(monkeypatch):
+    monkeypatch.setattr(T, "CHARS", 40)
+    assert T._within(["a" * 30, "b", "c" * 9, "d" * 9, "e" * 9], [0, 0, 1, 1, 1]) == (["a" * 30, "c" * 9, "d" * 9, "e" * 9], [0, 1, 1, 1])
