@@ -16,6 +16,7 @@ from tallyshelf.llm.mixing import mix
 from tallyshelf.llm.near_duplicates import near_duplicates
 from tallyshelf.llm.quality import judge
 from tallyshelf.llm.sharding import shard_documents
+from tallyshelf.llm.structure_repair import Repairs
 from tallyshelf.llm.suffix_dedup import remove_repeats
 from tallyshelf.llm.toxicity import score_toxicity
 from tallyshelf.llm.warc import archive_pages, read_archives
@@ -103,6 +104,23 @@ def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Rows damaged by the checksum of their conversation and turn, nulls as one space: dropped, emptied, without ends of
+    sentences, written twice, or said by the user."""
+    spaced = {name: F.coalesce(F.col(name).cast("string"), F.lit(" ")) for name in ("conv_id", "turn", "role", "text")}
+    harm = F.crc32(F.concat(spaced["conv_id"], F.lit(":"), spaced["turn"]).cast("binary")) % 20
+    text = F.when(harm == 1, F.lit("")).when(harm == 2, F.regexp_replace(spaced["text"], "[.!?]", "")).otherwise(spaced["text"])
+    role = F.when(harm == 4, F.lit("user")).otherwise(spaced["role"])
+    times = F.explode(F.array_repeat(F.lit(1), F.when(harm == 3, 2).otherwise(1))).alias("copy")
+    return conversations.where(harm != 0).select("conv_id", "turn", role.alias("role"), text.alias("text"), times).drop("copy")
+
+
+def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations damaged, judged and repaired by the cheapest edits."""
+    turns = table(spark, sf_dir, "conversations")
+    return Repairs(damaged(turns), ids=turns).digests
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_quality": op2_quality,
@@ -115,6 +133,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_mixing": op10_mixing,
     "op11_toxicity": op11_toxicity,
+    "op13_structure_repair": op13_structure_repair,
 }
 
 
