@@ -14,12 +14,14 @@ from tallyshelf.llm.language import identify
 from tallyshelf.llm.licenses import scan_licenses
 from tallyshelf.llm.mixing import mix
 from tallyshelf.llm.near_duplicates import near_duplicates
+from tallyshelf.llm.prefix_trie import paths_of, trie_nodes
 from tallyshelf.llm.quality import judge
 from tallyshelf.llm.sharding import shard_documents
 from tallyshelf.llm.structure_repair import Repairs
 from tallyshelf.llm.suffix_dedup import remove_repeats
 from tallyshelf.llm.toxicity import score_toxicity
 from tallyshelf.llm.warc import archive_pages, read_archives
+from tallyshelf.scratch import Scratch
 
 
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,6 +106,23 @@ def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def regrafted(paths: DataFrame) -> DataFrame:
+    """Every conversation begins with the first turns, 0 to 3 by its id's checksum, of the one whose id is the multiple of 20 before."""
+    own, begun = F.col("path"), F.coalesce(F.col("begin"), F.expr("CAST(array() AS array<struct<id: string, words: bigint>>)"))
+    begins = paths.select(F.col("conv_id").alias("base"), F.slice("path", 1, 3).alias("begin"))
+    rows = paths.withColumns({"base": F.col("conv_id") - F.col("conv_id") % 20, "h": (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 4).cast("int")})
+    return rows.join(begins, "base", "left").select(
+        "conv_id", F.concat(F.slice(begun, F.lit(1), F.col("h")), F.slice(own, F.col("h") + 1, F.size(own))).alias("path"),
+    )
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the trie of all conversations, each begun as an earlier one."""
+    scratch = Scratch(spark)
+    paths = scratch.table(paths_of(table(spark, sf_dir, "conversations")), "paths")
+    return trie_nodes(regrafted(paths), scratch)
+
+
 def damaged(conversations: DataFrame) -> DataFrame:
     """Rows damaged by the checksum of their conversation and turn, nulls as one space: dropped, emptied, without ends of
     sentences, written twice, or said by the user."""
@@ -133,6 +152,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_mixing": op10_mixing,
     "op11_toxicity": op11_toxicity,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_structure_repair": op13_structure_repair,
 }
 

@@ -16,9 +16,9 @@ def duck():
     return connect(SF)
 
 
-def test_ten_operators_are_registered():
+def test_thirteen_operators_are_registered():
     numbers = sorted(int(name[2:].split("_")[0]) for name in registry.queries())
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert registry.oracle_sql().keys() <= registry.queries().keys()
 
 
@@ -68,6 +68,32 @@ def test_shards_are_those_of_the_published_loop(spark):
         assert slots == list(range(len(slots)))
 
 
+def test_toxicity_of_held_out_documents(spark):
+    got = {r.doc_id: r for r in registry.queries()["op11_toxicity"](spark, SF).collect()}
+    assert got.keys() == {d for d, *_ in documents()}
+    labels = duckdb.connect().execute(f"SELECT doc_id, toxic FROM '{SF}/labels.parquet'").fetchall()
+    held = [(d, y) for d, y in labels if zlib.crc32(str(d).encode()) % 4 == 2]
+    assert all(got[d].held_out for d, _ in held) and sum(got[d].predicted == y for d, y in held) >= 0.9 * len(held)
+
+
+def turns():
+    return duckdb.connect().execute(f"SELECT conv_id, turn, role, text FROM '{SF}/conversations.parquet'").fetchall()
+
+
+def test_trie_nodes_are_those_of_all_prefixes(spark):
+    from tests.llm.test_prefix_trie import plain_grafts, plain_nodes, plain_turns
+
+    got = sorted((tuple(r) for r in registry.queries()["op12_prefix_trie"](spark, SF).collect()), key=repr)
+    assert got == plain_nodes(plain_grafts(plain_turns(turns())))
+
+
+def test_repairs_are_those_of_a_plain_table(spark):
+    from tests.llm.test_structure_repair import plain_repairs
+
+    got = {r[0]: tuple(r)[1:] for r in registry.queries()["op13_structure_repair"](spark, SF).collect()}
+    assert got == plain_repairs(turns())
+
+
 def test_pipeline_is_its_stages_one_after_the_other(spark):
     """The plain version: each stage's rule applied to rows in Python, from the operators' own results."""
     import corpus_pipeline as P
