@@ -35,9 +35,10 @@ from tallyshelf.scratch import Scratch
 # Documented parameters: rows of each class in the sample and their code points in all; sizes of n-grams, slots, texts that hold an
 # n-gram at least, and code points of a block.
 ROWS, CHARS = 1500, 12_000_000
-GRAMS, SLOTS, FEW, BLOCK = (2, 3, 4, 5), 1 << 20, 3, 1_000_000
-# Documented parameters of training: smoothing of the ratios, passes over the sample, texts of a step, its size, decay.
-SMOOTH, PASSES, STEP, RATE, DECAY = 1.0, 5, 64, 0.1, 1e-3
+GRAMS, SLOTS, FEW, BLOCK = (2, 3, 4, 5), 1 << 20, 2, 1_000_000
+# Documented parameters of training: smoothing of the ratios, steps at least and passes over the sample at least, texts of a step,
+# its size, decay.
+SMOOTH, STEPS, PASSES, STEP, RATE, DECAY = 1.0, 250, 5, 64, 0.1, 1e-3
 # Documented parameters: the score from which a text is toxic, and bytes of text that a task scores at a time.
 TOXIC, BYTES = 0.3, 8_000_000
 
@@ -120,7 +121,7 @@ def train(texts: list[str], toxic: list[int], share: float, seed: int = 0) -> De
     sampled = truth.mean()
     intercept, intercept_squares = log(sampled / (1 - sampled)), 1e-6
     random = np.random.default_rng(seed)
-    for _ in range(PASSES):
+    for _ in range(max(PASSES, -(-STEPS * STEP // len(held)))):
         order = random.permutation(len(held))
         for i in range(0, len(order), STEP):
             step = order[i : i + STEP]
