@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +11,7 @@ from tallyshelf.columns import ACCOUNT, to_internal
 from tallyshelf.functions.dates import (
     REQUEST_ZONE, eastern_midnight_utc, iso_utc, purchase_day, request_day, title_day, whole_days,
 )
+from tallyshelf.operators.intervals import IntervalJoin
 from tallyshelf.scratch import Scratch
 
 # The longest window of one report, the default window, and the preset ranges, in days.
@@ -103,10 +102,6 @@ def preset_requests(accounts: DataFrame, as_of: Column | str) -> DataFrame:
     return accounts.select(ACCOUNT, F.inline(presets)).withColumn("end_date", title_day(today))
 
 
-# Days of windows up to this many may be broadcast; an order line is then not shuffled.
-BROADCAST_DAYS = 200_000
-
-
 def dated(orders: DataFrame) -> DataFrame:
     """Order lines with their purchase day, null if it is unreadable."""
     orders = to_internal(orders)
@@ -115,24 +110,18 @@ def dated(orders: DataFrame) -> DataFrame:
     return orders.withColumn("purchase_date_fmt", purchase_day(F.col("purchase_date")))
 
 
-def _listed_days(windows: DataFrame, scratch: Scratch) -> DataFrame:
-    """Windows once for each day around them, as `window_day`.
+def instant(purchase_date: Column, day: Column) -> Column:
+    """When a line was bought, in microseconds: by its instant; if only its day is readable, the start of that day. Null without a day."""
+    at = F.coalesce(F.try_to_timestamp(purchase_date.cast("string")), day.cast("timestamp"))
+    return F.when(day.isNotNull(), F.unix_micros(at))
 
-    A window has up to 34 days, and the table packs well, so neither the windows' size nor the file's tells what a
-    broadcast would take: the rows are counted, and beyond BROADCAST_DAYS both sides are shuffled.
-    """
-    first_day = F.date_sub(F.col("start_utc").cast("date"), 1)
-    last_day = F.date_add(F.col("end_utc").cast("date"), 1)
-    days = F.explode(F.sequence(first_day, last_day, F.expr("INTERVAL 1 DAY")))
-    listed = scratch.table(windows.withColumn("window_day", days), "window_days")
-    return listed if listed.count() <= BROADCAST_DAYS else listed.hint("merge")
+
+def _bins(windows: DataFrame, keys: Sequence[str], scratch: Scratch) -> IntervalJoin:
+    return IntervalJoin(windows, F.unix_micros("start_utc"), F.unix_micros("end_utc"), keys, scratch)
 
 
-def _inside(orders: DataFrame, listed: DataFrame, keys: Sequence[str]) -> Column:
-    """A line belongs to a window by its instant; if only its day is readable, by the start of that day."""
-    instant = F.coalesce(F.try_to_timestamp(F.col("purchase_date").cast("string")), F.col("purchase_date_fmt").cast("timestamp"))
-    same = [orders[k] == listed[k] for k in keys]
-    return reduce(and_, [*same, F.col("purchase_date_fmt") == F.col("window_day"), instant >= F.col("start_utc"), instant < F.col("end_utc")])
+def _at() -> Column:
+    return instant(F.col("purchase_date"), F.col("purchase_date_fmt"))
 
 
 def in_window(
@@ -140,19 +129,17 @@ def in_window(
 ) -> DataFrame:
     """Order lines with every window they fall in, by purchase instant.
 
-    Windows are listed by day and joined on account and purchase day, so one account's lines spread over many join
-    keys and a line only meets windows around its own day. The written day and the UTC day differ by at most one,
-    which the margin covers; the instant decides. The first and last day of all windows go to the scan as literals,
-    so a table partitioned or sorted by day is read for those days only. Lines without a readable day are in no
-    window; the quarantine lists them.
+    Windows are listed by account and bin of time, two for each at most, so one account's lines spread over many join
+    keys; bins that hold very many lines are split. The first and last day of all windows go to the scan as literals,
+    with a day's margin as the written day may differ from the UTC day, so a table partitioned or sorted by day is read for those days only.
+    Lines without a readable day are in no window; the quarantine lists them.
     """
     orders = dated(orders)
-    listed = _listed_days(windows, scratch or Scratch(orders.sparkSession))
-    span = listed.agg(F.min("window_day").alias("first"), F.max("window_day").alias("last")).head()
+    span = windows.agg(F.date_sub(F.min("start_utc").cast("date"), 1).alias("first"), F.date_add(F.max("end_utc").cast("date"), 1).alias("last")).head()
     orders = orders.filter(F.col("purchase_date_fmt").between(F.lit(span["first"]), F.lit(span["last"])))
-    found = orders.join(listed, _inside(orders, listed, keys))
-    own = [orders[f"`{c}`"] for c in orders.columns if c not in keys]
-    return found.select(*own, *[listed[f"`{c}`"] for c in windows.columns if c not in keys], *[orders[k] for k in keys])
+    found = _bins(windows, keys, scratch or Scratch(orders.sparkSession)).join(orders, _at())
+    own = [F.col(f"`{c}`") for c in found.columns if c not in keys]
+    return found.select(*own, *keys)
 
 
 def line_accounting(
@@ -163,19 +150,8 @@ def line_accounting(
     Every line is in exactly one of the last three.
     """
     orders = dated(orders)
-    listed = _listed_days(windows, scratch or Scratch(orders.sparkSession))
-    inside = _inside(orders, listed, keys)
-
-    def counted(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
-
-    day = F.col("purchase_date_fmt")
-    parts = [
-        counted(orders.join(listed, inside, "left_semi"), "in_window"),
-        counted(orders.filter(day.isNotNull()).join(listed, inside, "left_anti"), "outside"),
-        counted(orders.filter(day.isNull()), "undated"),
-    ]
-    rows = counted(orders, "landed")
-    for part in parts:
-        rows = rows.join(part, list(keys), "left")
-    return rows.na.fill(0, ["in_window", "outside", "undated"])
+    found = _bins(windows, keys, scratch or Scratch(orders.sparkSession)).inside(orders, _at())
+    landed = orders.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("landed"), F.count(F.when(F.col("purchase_date_fmt").isNull(), 1)).alias("undated"))
+    rows = landed.join(found.groupBy(*keys).agg(F.count(F.lit(1)).alias("in_window")), list(keys), "left").na.fill(0, ["in_window"])
+    return rows.select(*keys, "landed", "in_window", (F.col("landed") - F.col("in_window") - F.col("undated")).alias("outside"), "undated")

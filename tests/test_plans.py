@@ -10,7 +10,7 @@ from tallyshelf.columns import ACCOUNT
 from tallyshelf.operators.clean import clean_orders
 from tallyshelf.operators.copies import CHUNK, SPAN
 from tallyshelf.operators.ranking import block_starts, rank_rows, sort_into_blocks
-from tallyshelf.operators import requests
+from tallyshelf.operators import intervals
 from tallyshelf.operators.report_log import latest_ready
 from tallyshelf.operators.requests import in_window, resolve_windows
 from tallyshelf.operators.sku_sales import paid_orders, sales_by_sku, sku_rollup
@@ -61,22 +61,22 @@ def test_latest_ready_combines_before_its_shuffle(spark):
     assert "Window" not in text and "partial_min" in text and text.count("Exchange") == 1
 
 
-def test_windows_are_joined_by_account_and_day(spark, typed_orders):
+def test_windows_are_joined_by_account_and_bin(spark, typed_orders):
     asked = spark.createDataFrame([("BUILDING", "1-1-1998", "1-31-1998")], f"{ACCOUNT} string, start_date string, end_date string")
     lines = clean_orders(typed_orders)
     text = plan(in_window(lines, resolve_windows(asked, "2002-01-01").select(ACCOUNT, "start_utc", "end_utc")))
     join = next(line for line in text.splitlines() if "Join" in line)
     keys = join[join.index("["):join.index("Inner")]
-    assert keys.count(ACCOUNT) == 2 and "purchase_date_fmt" in keys and "window_day" in keys
+    assert keys.count(ACCOUNT) == 2 and keys.count("interval_bin") == 2 and "BroadcastNestedLoop" not in text
 
 
 def test_many_windows_are_not_broadcast(spark, typed_orders, monkeypatch):
-    """The table of windows packs to little, whatever its rows would take in memory."""
-    monkeypatch.setattr(requests, "BROADCAST_DAYS", 100)
+    """The table of windows packs to little, whatever its rows would take in memory. What is broadcast are the few heavy keys."""
+    monkeypatch.setattr(intervals, "BROADCAST_INTERVALS", 100)
     starts = spark.range(100).select(F.lit("BUILDING").alias(ACCOUNT), F.timestamp_seconds(F.col("id") * 86400 + 883612800).alias("start_utc"))
     windows = starts.withColumn("end_utc", F.col("start_utc") + F.expr("INTERVAL 1 DAY"))
     text = plan(in_window(clean_orders(typed_orders), windows))
-    assert "SortMergeJoin" in text and "Broadcast" not in text
+    assert "SortMergeJoin" in text and text.count("BroadcastExchange") <= 2 and text.count("heavy_parts") >= text.count("BroadcastExchange")
 
 
 def test_days_outside_all_windows_are_not_read(spark, typed_orders):
