@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks.views import ACCOUNTS, AS_OF, AS_OF_INSIDE
+from checks.views import ACCOUNTS, AS_OF, AS_OF_INSIDE, CUT_HOURS, CUT_START, CUTS
 from tallyshelf.columns import INVENTORY_REPORT, ORDERS_REPORT
 
 AMOUNT = "DECIMAL(18,4)"
@@ -419,6 +419,10 @@ SELECT account_name, order_id, CAST(line AS BIGINT) AS line, purchase_date, pric
 FROM o WHERE day IS NULL OR line IN (2, 4)"""),
         "job_latest_snapshot": _with(DISTINCT_WINDOWED, STOCK, pieces(WINDOW_KEYS), summary(WINDOW_KEYS, ISO_KEYS)),
         "rerun_job": _rerun_job(),
+        "incremental_job": _daily_job(),
+        "incremental_summary": _with(DISTINCT_WINDOWED.replace(WINDOWS, CUT_WINDOWS), STOCK, pieces(WINDOW_KEYS), summary(WINDOW_KEYS, ISO_KEYS)),
+        "known_lines": _with(ORDERS, """
+SELECT CASE WHEN day < DATE '1998-01-01' THEN 1 ELSE 2 END AS landing, account_name, count(*) AS lines FROM (SELECT DISTINCT * FROM o) GROUP BY ALL"""),
         "report_type_dispatch": _with(ORDERS, STOCK, f"""
 SELECT kind, account_name, count(*) AS lines
 FROM o CROSS JOIN (VALUES ('default'), ('{ORDERS_REPORT}')) AS kinds(kind) GROUP BY ALL
@@ -434,6 +438,13 @@ DISTINCT_WINDOWED = WINDOWED.replace("every_line AS", "landed AS", 1).replace(
     ",\no AS (", ",\nevery_line AS (SELECT DISTINCT * FROM landed),\no AS (")
 
 
+CUT_WINDOWS = f"""
+windows AS (
+  SELECT account_name, TIMESTAMP '{CUT_START}' + to_hours({CUT_HOURS} * n) AS start_utc, TIMESTAMP '{CUT_START}' + to_hours({CUT_HOURS} * (n + 1)) AS end_utc
+  FROM (SELECT DISTINCT c_mktsegment AS account_name FROM customer), range({CUTS}) AS t(n)
+)"""
+
+
 def _rerun_job() -> str:
     """Accounts before F have free lines only by the second run, so nothing of the first is left but the status of their windows."""
     return _with(DISTINCT_WINDOWED, STOCK, pieces(WINDOW_KEYS), """

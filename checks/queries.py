@@ -20,11 +20,13 @@ from tallyshelf.operators.requests import in_window, line_accounting, preset_req
 from tallyshelf.operators.sku_sales import paid_orders, sales_by_sku, sku_rollup, sold_units
 from tallyshelf.operators.stock import SNAPSHOT, stock_per_sku, with_stock
 from tallyshelf.plans.daily_job import run_daily_job
+from tallyshelf.plans.line_store import ingest, read_report, run_stored_job, stored_report
 from tallyshelf.plans.on_hand import on_hand_index, on_hand_report
 from tallyshelf.plans.presentation import ON_HAND_BARS, sales_display, with_bars
 from tallyshelf.plans.sales_report import SalesReport, gates, sales_report
 from tallyshelf.scratch import Scratch
 from tallyshelf.session import configure
+from tallyshelf.sinks.published import read_runs, runs_in_force
 from tallyshelf.sinks.tables import write_partitions, write_raw_data, write_summary
 from tallyshelf.sources.accounts import account_list, landing_folder, scan_report
 from tallyshelf.sources.flat_files import scan_flat_files, write_flat_files
@@ -414,6 +416,47 @@ def q_report_type_dispatch(spark, sf):
     return union_chunks(counted)
 
 
+def _two_landings(spark, sf) -> list[dict[str, str]]:
+    """The early lines, then all lines in files of other names."""
+    scratch = Scratch(spark)
+    orders, inventory = _text(V.orders_view(spark, sf)), scratch.path("stock")
+    write_flat_files(_text(V.inventory_view(spark, sf)), inventory, BY)
+    landings = [{ORDERS_REPORT: scratch.path(name), INVENTORY_REPORT: inventory} for name in ("early", "late")]
+    write_flat_files(orders.filter(F.col("purchase-date") < "1998"), landings[0][ORDERS_REPORT], BY, "gzip")
+    write_flat_files(orders, landings[1][ORDERS_REPORT], BY, "gzip")
+    return landings
+
+
+def q_incremental_job(spark, sf):
+    """The index after two landings in one store, as the job that reads everything makes it."""
+    scratch, requests = Scratch(spark), V.whole_range_requests(spark, sf)
+    folder, out = scratch.path("store"), scratch.path("out")
+    first, second = _two_landings(spark, sf)
+    ingest(spark, first, folder)
+    run_stored_job(spark, second, requests, V.AS_OF, folder, out, raw_data=False)
+    return read_report(spark, out, "report_index").select(*WINDOW_BY, "units_sold", "revenue", "report_name", "status")
+
+
+def q_incremental_summary(spark, sf):
+    """The summary of windows that cut days, from kept day sums and the lines of cut days."""
+    folder = Scratch(spark).path("store")
+    for landing in _two_landings(spark, sf):
+        store = ingest(spark, landing, folder)
+    return stored_report(store, V.cut_windows(spark, sf), V.inventory_view(spark, sf), "as_is", Scratch(spark)).summary
+
+
+def q_known_lines(spark, sf):
+    """Lines that each of three landings added to a store: the first three years, all years, and all again under other names."""
+    scratch = Scratch(spark)
+    folder, orders = scratch.path("store"), _text(V.orders_view(spark, sf))
+    for until in ("1998", "2100", "2100"):
+        landing = {ORDERS_REPORT: scratch.path("landing")}
+        write_flat_files(orders.filter(F.col("purchase-date") < until), landing[ORDERS_REPORT], BY)
+        ingest(spark, landing, folder)
+    runs = read_runs(spark, folder, "lines", runs_in_force(spark, folder))
+    return runs.groupBy(F.substring("run", 1, 8).cast("bigint").alias("landing"), ACCOUNT).agg(F.count(F.lit(1)).alias("lines"))
+
+
 def q_ranked_lines(spark, sf):
     """Positions of all order lines of an account by price, equal lines counted and written out again."""
     lines = clean_orders(V.orders_view(spark, sf)).groupBy(ACCOUNT, "item_price").agg(F.count(F.lit(1)).alias("copies"))

@@ -209,3 +209,16 @@ def whole_range_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format(F.min("o_orderdate"), "MM-dd-yyyy").alias("start_date"),
         F.date_format(F.date_add(F.max("o_orderdate").cast("date"), 1), "MM/dd/yyyy").alias("end_date"),
     )
+
+
+# When the first of the windows that cut days begins, their hours and number.
+CUT_START, CUT_HOURS, CUTS = "1992-01-01T06:00:00", 1000, 70
+
+
+def cut_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Consecutive windows of 1,000 hours for each account, whose bounds are no midnights."""
+    start = F.lit(CUT_START).cast("timestamp")
+    accounts = table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias(ACCOUNT)).distinct()
+    hours = F.make_dt_interval(hours=F.lit(CUT_HOURS) * F.col("n"))
+    rows = accounts.select(ACCOUNT, F.explode(F.sequence(F.lit(0), F.lit(CUTS - 1))).alias("n")).withColumn("start_utc", start + hours)
+    return rows.select(ACCOUNT, "start_utc", (F.col("start_utc") + F.make_dt_interval(hours=F.lit(CUT_HOURS))).alias("end_utc"))

@@ -36,9 +36,14 @@ def sales_by_sku(lines: DataFrame, by: Sequence[str]) -> DataFrame:
     )
 
 
-def sku_rollup(lines: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Everything both the summary and the report index need, from one pass over the order lines."""
+# What sums of amounts are, however often they are added up.
+SUM_TYPE = T.DecimalType(37, 8)
+
+
+def sku_rollup(lines: DataFrame, by: Sequence[str], all_units: bool = False) -> DataFrame:
+    """Everything both the summary and the report index need, from one pass over the order lines; the on-hand report needs `all_units`."""
     paid = F.col("item_price") > 0
+    more = [_sum("quantity").alias("all_units")] if all_units else []
     return lines.groupBy(*by, "sku", "product_name").agg(
         F.count(F.lit(1)).alias("lines"),
         F.count(F.when(paid, 1)).alias("paid_lines"),
@@ -47,6 +52,7 @@ def sku_rollup(lines: DataFrame, by: Sequence[str]) -> DataFrame:
         _sum(F.when(paid, F.col("item_price"))).alias("revenue"),
         F.min("purchase_date_fmt").alias("start_date"),
         F.max("purchase_date_fmt").alias("end_date"),
+        *more,
     )
 
 

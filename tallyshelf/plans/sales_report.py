@@ -124,9 +124,13 @@ class SalesReport:
     by: tuple[str, ...]
     scratch: Scratch
     requested: DataFrame | None = None
+    rolled: DataFrame | None = None
 
     @cached_property
     def rollup(self) -> DataFrame:
+        """From the lines, or as it was made from kept sums."""
+        if self.rolled is not None:
+            return self.scratch.table(self.rolled, "rollup")
         return self.scratch.table(sku_rollup(self.lines, self.by), "rollup")
 
     @cached_property

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyarrow import fs
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Files whose first lines one task reads.
@@ -22,6 +22,14 @@ def list_files(spark: SparkSession, folder: str) -> list[str]:
     return sorted(row["path"] for row in found.select("path").toLocalIterator())
 
 
+def file_table(spark: SparkSession, folder: str) -> DataFrame:
+    """path, length and modificationTime of the data files below `folder`, as a table; no content is read."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return spark.createDataFrame([], "path string, length long, modificationTime timestamp")
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder).select("path", "length", "modificationTime")
+
+
 def _store(path: str) -> tuple[str, str]:
     """The store's root as a URI, and the path inside, as it is: names may hold what a URI would decode."""
     if path.startswith("file:"):
