@@ -1,5 +1,9 @@
 """Every registered query against its SQL on the smallest test tables."""
 
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 from checks import oracle, queries
@@ -29,3 +33,11 @@ def test_entry(spark):
 
     assert entry.entry(spark).count() > 0
     assert entry.oracle_sql().keys() <= entry.queries().keys()
+
+
+@pytest.mark.parametrize("absent", ["tallyshelf.llm", "corpus_pipeline", "ahocorasick"])
+def test_entry_without_what_only_training_data_needs(absent):
+    code = f"import sys; sys.modules[{absent!r}] = None; import __spark_entry__ as e; print('NAMES', *e.queries())"
+    said = subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).parents[1], capture_output=True, text=True, timeout=120)
+    names = said.stdout.split("NAMES ")[1].split()
+    assert set(names) == set(queries.registered()) and "left out" in said.stderr
