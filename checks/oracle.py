@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks.views import ACCOUNTS, AS_OF, AS_OF_INSIDE, CUT_HOURS, CUT_START, CUTS
+from checks.views import ACCOUNTS, AS_OF, AS_OF_INSIDE, CUT_HOURS, CUT_START, CUTS, YEAR_STATUS
 from tallyshelf.columns import INVENTORY_REPORT, ORDERS_REPORT
 
 AMOUNT = "DECIMAL(18,4)"
@@ -420,6 +420,7 @@ FROM o WHERE day IS NULL OR line IN (2, 4)"""),
         "job_latest_snapshot": _with(DISTINCT_WINDOWED, STOCK, pieces(WINDOW_KEYS), summary(WINDOW_KEYS, ISO_KEYS)),
         "rerun_job": _rerun_job(),
         "incremental_job": _daily_job(),
+        "job_resolved_report": _job_resolved_report(),
         "incremental_summary": _with(DISTINCT_WINDOWED.replace(WINDOWS, CUT_WINDOWS), STOCK, pieces(WINDOW_KEYS), summary(WINDOW_KEYS, ISO_KEYS)),
         "known_lines": _with(ORDERS, """
 SELECT CASE WHEN day < DATE '1998-01-01' THEN 1 ELSE 2 END AS landing, account_name, count(*) AS lines FROM (SELECT DISTINCT * FROM o) GROUP BY ALL"""),
@@ -457,6 +458,22 @@ UNION ALL SELECT 'report_index', w.account_name, CASE WHEN g.status IS NULL THEN
 FROM windows w LEFT JOIN gate g ON w.account_name = g.account_name AND w.start_utc = g.start_utc AND w.end_utc = g.end_utc GROUP BY ALL""")
 
 
+def _job_resolved_report() -> str:
+    """Lines of the years whose report is ready; the first two years' failures have nothing to fall back to, the stock's has."""
+    ready = ", ".join(str(y) for y, status in YEAR_STATUS.items() if status == "DONE")
+    left = {"FATAL": "failed", "CANCELLED": "failed", "IN_PROGRESS": "pending"}
+    said = ["I1:bound:I1", "I2:bound:I2", "I3:bound:I2"]
+    said += [f"R{y}:{left[s]}" if s in left else f"R{y}:{'missing' if y == 2002 else 'bound'}:R{y}" for y, s in YEAR_STATUS.items()]
+    landed = DISTINCT_WINDOWED.replace("SELECT DISTINCT * FROM landed", f"SELECT DISTINCT * FROM landed WHERE year(day) IN ({ready})")
+    return _with(landed, STOCK, pieces(WINDOW_KEYS), f"""
+g AS (SELECT account_name, CAST(sum(CAST(revenue AS DECIMAL(18,4))) AS DOUBLE) AS revenue, count(*) FILTER (status = 'OK') AS reports
+      FROM ({index(WINDOW_KEYS, "g.account_name")}) GROUP BY account_name),
+units AS (SELECT account_name, sku, sum(quantity) AS sold FROM every_line GROUP BY ALL),
+h AS (SELECT account_name, CAST(sum(qty) AS DOUBLE) AS on_hand FROM stock LEFT JOIN units USING (account_name, sku)
+      WHERE qty + coalesce(sold, 0) > 0 GROUP BY account_name)""", f"""
+SELECT account_name, revenue, reports, '{" ".join(sorted(said))}' AS bindings, on_hand FROM g JOIN h USING (account_name)""")
+
+
 def _daily_job() -> str:
     """Windows without orders have a status row."""
     shown = f"w.account_name, {iso('w.start_utc')} AS start_utc, {iso('w.end_utc')} AS end_utc"

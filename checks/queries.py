@@ -416,6 +416,25 @@ def q_report_type_dispatch(spark, sf):
     return union_chunks(counted)
 
 
+def q_job_resolved_report(spark, sf):
+    """The index of a job whose log resolves to some of the landed reports, and what became of the requests."""
+    scratch = Scratch(spark)
+    landing, out = scratch.path("landing"), scratch.path("out")
+    orders, stock, quantity = V.orders_view(spark, sf), V.inventory_view(spark, sf), "afn-fulfillable-quantity"
+    by = (ACCOUNT, "report_id")
+    orders = orders.withColumn("report_id", F.concat(F.lit("R"), F.substring("purchase-date", 1, 4)))
+    write_flat_files(_text(orders), landing_folder(landing, ORDERS_REPORT), by)
+    snapshots = [stock.withColumn(quantity, F.col(quantity) + more).withColumn("report_id", F.lit(name)) for name, more in (("I1", 5), ("I2", 0))]
+    write_flat_files(_text(snapshots[0].unionByName(snapshots[1])), landing_folder(landing, INVENTORY_REPORT), by)
+    run_daily_job(spark, landing, V.whole_range_requests(spark, sf), V.AS_OF, out, log=V.report_log_view(spark, sf))
+    bound = spark.read.parquet(f"{out}/report_bindings").groupBy(ACCOUNT).agg(
+        F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", "report_id", "binding", "resolved_report_id"))), " ").alias("bindings"))
+    stocked = spark.read.parquet(f"{out}/on_hand").groupBy(ACCOUNT).agg(F.sum("on-hand").alias("on_hand"))
+    totals = spark.read.parquet(f"{out}/report_index").groupBy(ACCOUNT).agg(
+        F.sum(F.col("revenue").cast("decimal(18,4)")).alias("revenue"), F.count(F.when(F.col("status") == "OK", 1)).alias("reports"))
+    return totals.join(bound, ACCOUNT).join(stocked, ACCOUNT)
+
+
 def _two_landings(spark, sf) -> list[dict[str, str]]:
     """The early lines, then all lines in files of other names."""
     scratch = Scratch(spark)

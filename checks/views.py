@@ -222,3 +222,17 @@ def cut_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     hours = F.make_dt_interval(hours=F.lit(CUT_HOURS) * F.col("n"))
     rows = accounts.select(ACCOUNT, F.explode(F.sequence(F.lit(0), F.lit(CUTS - 1))).alias("n")).withColumn("start_utc", start + hours)
     return rows.select(ACCOUNT, "start_utc", (F.col("start_utc") + F.make_dt_interval(hours=F.lit(CUT_HOURS))).alias("end_utc"))
+
+
+# The reports of the order years, by what became of them; the last one's files never landed.
+YEAR_STATUS = {1995: "DONE", 1996: "FATAL", 1997: "DONE", 1998: "CANCELLED", 1999: "DONE", 2000: "IN_PROGRESS", 2001: "DONE", 2002: "DONE"}
+
+
+def report_log_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each account an order report per year and three stock reports: two ready, and a later one that failed."""
+    accounts = table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias(ACCOUNT)).distinct()
+    rows = [(f"R{y}", ORDERS_REPORT, status, f"2002-01-{y - 1990:02}T00:00:00Z") for y, status in YEAR_STATUS.items()]
+    rows += [("I1", INVENTORY_REPORT, "DONE", "2002-01-01T00:00:00Z"), ("I2", INVENTORY_REPORT, "DONE", "2002-01-02T00:00:00Z"), ("I3", INVENTORY_REPORT, "FATAL", None)]
+    names = ("report_id", "report_type", "processing_status", "processing_end_time")
+    entries = F.array(*[F.struct(*[F.lit(v).cast("string").alias(n) for n, v in zip(names, row, strict=True)]) for row in rows])
+    return accounts.select(ACCOUNT, F.inline(entries))

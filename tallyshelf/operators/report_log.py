@@ -48,6 +48,27 @@ def resolve_reports(log: DataFrame) -> DataFrame:
     }).drop("latest_id")
 
 
+def bindings(log: DataFrame, landed: DataFrame) -> DataFrame:
+    """Every request with the report to use and whether that has landed: bound, missing, failed or pending.
+
+    `landed` has an account_name and report_id for each report that files are there of.
+    """
+    there = landed.select(ACCOUNT, F.col("report_id").alias("resolved_report_id")).distinct().withColumn("there", F.lit(True))
+    rows = resolve_reports(log).join(there, [ACCOUNT, "resolved_report_id"], "left")
+    found = F.when(F.col("resolved_report_id").isNull(), F.col("resolution")).when(F.col("there"), F.lit("bound")).otherwise(F.lit("missing"))
+    return rows.select(*KEYS, "report_id", "processing_status", "processing_end_time", "resolution", "resolved_report_id", found.alias("binding"))
+
+
+def bound_reports(bound: DataFrame, report_type: str) -> DataFrame:
+    """account_name and report_id of the reports to read. Of stock reports, the one that was ready last: a snapshot has no date range."""
+    rows = bound.filter((F.col("report_type") == report_type) & (F.col("binding") == "bound"))
+    if report_type == INVENTORY_REPORT:
+        # A fallback's own time says nothing; the report that it falls back to has a row of its own.
+        rows = latest_ready(rows.filter(F.col("report_id") == F.col("resolved_report_id")))
+        return rows.select(ACCOUNT, "report_id")
+    return rows.select(ACCOUNT, F.col("resolved_report_id").alias("report_id")).distinct()
+
+
 def last_ready_report_id(log: DataFrame, account: str, report_type: str | None = None) -> str:
     """The id for one account and type; raises when there is none."""
     rows = latest_ready(
