@@ -8,7 +8,8 @@ from tallyshelf.llm.licenses import COPYRIGHT_LINE, KNOWN, NO_WORD, SPELLINGS
 
 MIXING = r"""
 WITH d AS (
-  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size, md5(coalesce(text, '')) AS digest
+  FROM documents
 ), s AS (
   SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source
 ), w AS (
@@ -19,25 +20,38 @@ WITH d AS (
   FROM w WINDOW o AS (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
 ), t AS (
   SELECT source, source_size, least(cap, max(level) OVER () * weight) AS target FROM l
+), b AS (
+  SELECT source, length(bin(size)) AS digits, sum(size)::BIGINT AS words FROM d GROUP BY ALL
 ), r AS (
-  SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS ratio FROM t
+  SELECT b.*, source_size, target, floor(CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END) AS base
+  FROM b JOIN t ON b.source IS NOT DISTINCT FROM t.source
+), o AS (
+  SELECT *, target - base * source_size AS to_draw FROM r
+), v AS (
+  SELECT *, sum(words * digits) OVER (PARTITION BY source) - coalesce(sum(words * digits) OVER o, 0) AS rest,
+         to_draw - coalesce(sum(words) OVER o, 0) AS remaining
+  FROM o WINDOW o AS (PARTITION BY source ORDER BY digits DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), x AS (
+  SELECT *, coalesce(max(CASE WHEN rest > 0 THEN remaining / rest END) OVER (PARTITION BY source), 0) * digits AS raw FROM v
 ), p AS (
-  SELECT *, floor(ratio) AS whole, ratio - floor(ratio) AS p, target - floor(ratio) * source_size AS open FROM r
+  SELECT *, CASE WHEN raw >= 1 THEN base + 1 ELSE base END AS whole, CASE WHEN raw >= 1 THEN 0 ELSE raw END AS p,
+         to_draw - sum(CASE WHEN raw >= 1 THEN words ELSE 0 END) OVER (PARTITION BY source) AS open
+  FROM x
 ), u AS (
   SELECT d.doc_id, d.source, d.size, p.source_size, p.target, p.whole, p.p, p.open,
-         (('0x' || substr(md5('0:' || coalesce(doc_id::VARCHAR, 'null') || ':' || d.size), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0 AS u
-  FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source
+         (('0x' || substr(md5('0:' || coalesce(doc_id::VARCHAR, 'null') || ':' || d.size || ':' || d.digest), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0 AS u
+  FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source AND length(bin(d.size)) = p.digits
 ), q AS (
   SELECT *, CASE WHEN p > 0 THEN (u / (1 - u)) / (p / (1 - p)) END AS q FROM u
 ), k AS (
   SELECT *, CASE WHEN q IS NOT NULL THEN q / (1 + q) END AS rank FROM q
 ), c AS (
-  SELECT *, sum(size) OVER (PARTITION BY source, rank) AS unit,
-         sum(size) OVER (PARTITION BY source ORDER BY rank RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS through
-  FROM k
+  SELECT *, sum(size) OVER (PARTITION BY source ORDER BY rank ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS through
+  FROM k WHERE rank IS NOT NULL
+  UNION ALL SELECT *, 0 FROM k WHERE rank IS NULL
 )
 SELECT doc_id, size, source_size, target,
-       ((whole + CASE WHEN rank IS NOT NULL AND 2 * (through - unit) + unit <= 2 * open THEN 1 ELSE 0 END) * size)::BIGINT AS taken
+       ((whole + CASE WHEN rank IS NOT NULL AND 2 * (through - size) + size <= 2 * open THEN 1 ELSE 0 END) * size)::BIGINT AS taken
 FROM c
 """
 

@@ -26,25 +26,43 @@ def plain_targets(sizes, weights=(5, 2, 1), share=1.5, most=2.0):
     return target
 
 
+def plain_odds(sizes, open_size):
+    """p of each size class: growing with the binary digits of the size, at the level found by halving."""
+    digits = [len(f"{n:b}") for n in sizes]
+    low, high = 0.0, 1.0
+    for _ in range(200):
+        level = (low + high) / 2
+        if sum(n * min(1, level * b) for n, b in zip(sizes, digits, strict=True)) < open_size:
+            low = level
+        else:
+            high = level
+    return {b: min(1, high * b) for b in digits}
+
+
 def plain_copies(docs, seed=0):
     """Copies of each document (doc, source, text), by ranking every source in Python."""
-    rows = [(d, s, len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))) for d, s, t in docs]
+    rows = [(d, s, len(re.findall(r"[^\x20\x09-\x0D]+", t or "")), hashlib.md5((t or "").encode()).hexdigest()) for d, s, t in docs]
     sizes = defaultdict(int)
-    for _, s, n in rows:
+    for _, s, n, _ in rows:
         sizes[s] += n
     target, copies = plain_targets(sizes), {}
     for s, size in sizes.items():
-        ratio = target[s] / size if size else 0.0
-        whole, p = int(ratio), ratio - int(ratio)
+        its = [(d, n, h) for d, source, n, h in rows if source == s]
+        whole = int(target[s] / size) if size else 0
+        left = target[s] - whole * size
+        p = plain_odds([n for _, n, _ in its], left) if left else {}
         ranked = []
-        for d, source, n in rows:
-            if source == s:
-                u = (int(hashlib.md5(f"{seed}:{d}:{n}".encode()).hexdigest()[:13], 16) + 0.5) / 16**13
-                ranked.append(((u / (1 - u)) / (p / (1 - p)) if p else 0, d, n))
-                copies[d] = whole
+        for d, n, h in its:
+            copies[d], odds = whole, p.get(len(f"{n:b}"), 0)
+            if odds > 1 - 1e-12:
+                copies[d] += 1
+                left -= n
+            elif odds:
+                u = (int(hashlib.md5(f"{seed}:{d}:{n}:{h}".encode()).hexdigest()[:13], 16) + 0.5) / 16**13
+                ranked.append(((u / (1 - u)) / (odds / (1 - odds)), d, n))
         through = 0
         for _, d, n in sorted(ranked):
-            if p and 2 * through + n <= 2 * (target[s] - whole * size):
+            if 2 * through + n <= 2 * left:
                 copies[d] += 1
             through += n
     return copies
@@ -80,3 +98,41 @@ def test_empty(spark):
     docs = odd_documents(spark)
     assert mix(docs.limit(0)).count() == 0 and mixed_copies(docs.limit(0)).count() == 0
     assert [r.taken for r in mix(docs.where("doc_id IN (5, 6, 7)")).collect()] == [0, 0, 0]
+
+
+def test_inclusion_follows_the_odds(spark):
+    rows = [(i, "w " * (4 if i % 2 else 64), f"s{i % 3}") for i in range(30_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mix(docs, share=0.5).collect()
+    for s in ("s0", "s1", "s2"):
+        its = [r for r in got if r.source == s]
+        ratio = its[0].target / its[0].source_size
+        assert 0 < ratio < 2
+        left = its[0].target - int(ratio) * its[0].source_size
+        for digits, p in plain_odds([r.size for r in its], left).items():
+            drawn = [r.copies - int(ratio) for r in its if len(f"{r.size:b}") == digits]
+            assert sum(drawn) / len(drawn) == pytest.approx(p, abs=0.02)
+
+
+def test_equal_rows_are_split_at_the_cut(spark):
+    rows = [(None, "one two three four five", f"s{i % 3}") for i in range(3000)] + [(1, "a b", "s0"), (None, None, "s1"), (None, "", "s2")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(6)
+    got = mix(docs).collect()
+    assert len(got) == len(rows)
+    for s in ("s0", "s1", "s2"):
+        its = [r for r in got if r.source == s]
+        assert abs(sum(r.taken for r in its) - its[0].target) <= 2.5
+        assert all(r.taken <= 2 * r.size for r in its)
+    copies = mixed_copies(docs).groupBy("source").count().collect()
+    want = {s: sum(r.copies for r in got if r.source == s) for s in ("s0", "s1", "s2")}
+    assert {r["source"]: r["count"] for r in copies} == want
+    assert rows_of(mix(docs)) == rows_of(mix(docs.repartition(3)))
+
+
+def test_equal_rows_over_many_files(spark, tmp_path):
+    docs = spark.range(0, 40_000, 1, 16).selectExpr("CAST(NULL AS LONG) AS doc_id", "repeat('w ', 1 + CAST(id % 2 AS INT)) AS text", "'s' AS source")
+    docs.write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    got = mix(docs, share=0.3)
+    (row,) = got.selectExpr("sum(taken) AS taken", "max(target) AS target", "max(source_size) AS size").collect()
+    assert row.target == pytest.approx(0.3 * row.size) and abs(row.taken - row.target) <= 1
