@@ -5,17 +5,18 @@ at least one piece of it occurs unchanged. All pieces are searched for at once i
 verified: Myers' bit-parallel distance gives the least number of edits between the item and any passage around the hit.
 
 Texts are compared in lower case, with one space for all that is neither letter nor digit. Items longer than PASSAGE are
-cut into equal passages between words, each with its share of the budget, and a document leaks an item if it holds any of
-them: a copy of the whole item within budget has a passage within budget, and so has a long excerpt. Items of fewer than
-LEAST characters are one passage that is searched without edits, from word bound to word bound; scripts that write no
-space between words need no bounds.
+cut into about equal passages, between words where a space is near and anywhere else, so also in scripts that write none. Each
+has its share of the budget, and a document leaks an item if it holds any of them: a copy of the whole item within budget
+has a passage within budget, and so has a long excerpt. Items of fewer than LEAST characters are one passage that is
+searched without edits, from word bound to word bound; scripts that write no space between words need no bounds. Items of
+fewer than LEAST_EXACT characters, which would be found by chance, are looked for as entire documents.
 
 Scale: the benchmark is the query set, taken in blocks of a fixed number of characters; each block is one pass over the
 documents, without a shuffle. Only a block goes through the driver.
 
-Edge cases. Null and empty documents and items match nothing; neither do items of fewer than LEAST_EXACT characters, which
-can't tell a leak from chance. Repeated documents each have their matches; repeated items match each under its id. An
-item that occurs several times in a document gives several rows, also back to back. Of matches that overlap, the one with the
+Edge cases. Null and empty documents and items match nothing, nor do texts without a letter or digit. Item ids are of any type.
+Very long documents are searched whole, in time that grows with their length. Repeated documents each have their matches;
+repeated items match each under its id. An item that occurs several times in a document gives several rows, also back to back. Of matches that overlap, the one with the
 fewest edits is reported, the first of such. Empty tables give no rows. Extra columns are left out by `find_leaks` and kept by
 `drop_leaks`.
 """
@@ -31,12 +32,13 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tallyshelf.llm.common import ship_package
 
 # Documented parameters: edits per character of a passage, characters of a passage, and of a block of the benchmark.
 BUDGET, PASSAGE, LEAST, BLOCK = 0.08, 120, 40, 400_000
-# Documented parameter: characters of the shortest item that is searched.
+# Documented parameter: characters of the shortest item that is searched within documents.
 LEAST_EXACT = 3
 # Letters of scripts that write no space between words: Thai to Tibetan, Burmese, Khmer, kana, Han.
 UNSPACED = re.compile("[\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3005-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
@@ -48,24 +50,18 @@ def normal(text: str) -> str:
     return APART.sub(" ", text).lower().strip()
 
 
-def passages_of(text: str, most: int, least: int) -> list[str]:
-    """The normal text cut between words into equal parts of at most about `most` characters."""
+def passages_of(text: str, most: int) -> list[str]:
+    """The normal text in equal parts of about `most` characters at most, cut at a space if there is one near the bound."""
     whole = normal(text)
-    parts, start = -(-len(whole) // most), 0
-    found = []
-    for i in range(parts):
-        end = len(whole) if i == parts - 1 else whole.find(" ", (i + 1) * len(whole) // parts)
-        end = len(whole) if end < 0 else end
-        if end - start >= least:
-            found.append(whole[start:end].strip())
-        start = end
-    return found
-
-
-def short_of(text: str, least: int) -> list[str]:
-    """The normal text as one passage if it is shorter than `least`, but can be told from chance."""
-    whole = normal(text)
-    return [whole] if LEAST_EXACT <= len(whole) < least else []
+    parts, slack = -(-len(whole) // most), most // 8
+    if not whole:
+        return []
+    bounds = [0]
+    for i in range(1, parts):
+        at = i * len(whole) // parts
+        after, before = whole.find(" ", at, at + slack), whole.rfind(" ", at - slack, at)
+        bounds.append(after if after >= 0 else before if before >= 0 else at)
+    return [whole[start:end].strip() for start, end in zip(bounds, [*bounds[1:], len(whole)], strict=True)]
 
 
 def cuts_of(length: int, edits: int) -> list[int]:
@@ -139,7 +135,12 @@ class Finder:
     """Finds the leaks of a block of passages in one text."""
 
     def __init__(self, passages: list[Passage], budget: float):
-        self.passages = [(item, number, body, int(len(body) * budget) if len(body) >= LEAST else 0) for item, number, body in passages]
+        self.entire: dict[str, list[tuple[object, int]]] = {}
+        for item, number, body in passages:
+            if len(body) < LEAST_EXACT:
+                self.entire.setdefault(body, []).append((item, number))
+        self.passages = [
+            (item, number, body, int(len(body) * budget) if len(body) >= LEAST else 0) for item, number, body in passages if len(body) >= LEAST_EXACT]
         pieces: dict[str, list[tuple[int, int]]] = {}
         for p, (_, _, body, edits) in enumerate(self.passages):
             cuts = cuts_of(len(body), edits)
@@ -153,6 +154,9 @@ class Finder:
     def windows(self, text: str) -> Iterator[tuple[int, int, int]]:
         """(passage, start, end) of the places where a passage may be, those that overlap as one."""
         hits: dict[int, list[int]] = {}
+        # An automaton of nothing can't be searched.
+        if not self.passages:
+            return
         for last, places in self.pieces.iter(text):
             for p, end in places:
                 hits.setdefault(p, []).append(last + 1 - end)
@@ -188,6 +192,10 @@ class Finder:
         if not text:
             return []
         plain, found, places, breaks = normal(text), [], None, None
+        for item, number in self.entire.get(plain, ()):
+            places = [m.span() for m in re.finditer(r"[^\W_]+", text)]
+            breaks = [i for i, c in enumerate(plain) if c == " "]
+            found.append((item, number, 0, places[0][0], places[-1][1]))
         for p, start, end in self.windows(plain):
             item, number, body, edits = self.passages[p]
             near = occurrences(body, plain[start:end], edits) if len(body) >= LEAST else [(0, 0, end - start)]
@@ -207,7 +215,7 @@ def _blocks(benchmark: DataFrame, item_id: str, text: str, block: int) -> Iterat
     passages: list[Passage] = []
     size = 0
     for item, body in rows:
-        for number, passage in enumerate(short_of(body or "", LEAST) or passages_of(body or "", PASSAGE, LEAST)):
+        for number, passage in enumerate(passages_of(body or "", PASSAGE)):
             passages.append((item, number, passage))
             size += len(passage)
             if size >= block:
@@ -255,10 +263,7 @@ def find_leaks(
     docs = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     kind = benchmark.schema[item_id].dataType
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, item_id {kind.simpleString()}, passage long, edits long, start long, end long"
-    item_type = pa.string() if kind.simpleString() == "string" else pa.int64()
-    if kind.simpleString() not in ("string", "bigint"):
-        raise TypeError(f"item ids are strings or bigints, not {kind.simpleString()}")
-    found = [docs.mapInArrow(_leaks(p, budget, item_type), schema) for p in _blocks(benchmark, item_id, item_text, block)]
+    found = [docs.mapInArrow(_leaks(p, budget, to_arrow_type(kind)), schema) for p in _blocks(benchmark, item_id, item_text, block)]
     return reduce(DataFrame.union, found) if found else spark.createDataFrame([], schema)
 
 

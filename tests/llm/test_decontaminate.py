@@ -1,10 +1,11 @@
 import random
 import re
 
+import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tallyshelf.llm.decontaminate import BUDGET, LEAST, PASSAGE, Finder, cuts_of, distances, drop_leaks, find_leaks, least_edits, occurrences, passages_of
+from tallyshelf.llm.decontaminate import BUDGET, LEAST, PASSAGE, Finder, distances, drop_leaks, find_leaks, least_edits, occurrences, passages_of
 from tests.llm.samples import odd_documents, prose, rows_of
 
 
@@ -19,20 +20,41 @@ def plain_distance(pattern, text):
     return min(row)
 
 
+def plain_normal(text):
+    return " ".join("".join(c.lower() if c.isalnum() else " " for c in text or "").split())
+
+
+def plain_bounds(whole):
+    """Passages of an item: as many as 120 characters each need, with bounds at the next space up to 15 away, on the right first."""
+    n = len(whole)
+    parts = (n + 119) // 120
+    bounds = [0] if n else []
+    for i in range(1, parts):
+        near = [i * n // parts + k for k in range(15)] + [i * n // parts - k for k in range(1, 16)]
+        bounds.append(next((at for at in near if whole[at] == " "), i * n // parts))
+    return [whole[a:b].strip() for a, b in zip(bounds, bounds[1:] + [n])]  # noqa: B905
+
+
 def plain_leaks(docs, items):
-    """(doc, item, passage, least edits) within budget; every passage against every document that has one of its pieces."""
-    normal = lambda t: re.sub(r"[\W_]+", " ", t or "").lower().strip()
-    passages = [(i, n, p) for i, item in items for n, p in enumerate(passages_of(item or "", PASSAGE, LEAST))]
-    found = set()
-    for d, text in docs:
-        body = normal(text)
-        for i, number, passage in passages:
-            edits = int(len(passage) * BUDGET)
-            cuts = cuts_of(len(passage), edits)
-            if any(passage[a:b] in body for a, b in zip(cuts, cuts[1:], strict=False)):
-                distance = least_edits(passage, body)[0]
-                if distance <= edits:
-                    found.add((d, i, number, distance))
+    """(doc, item, passage, least edits) within budget: the table of every passage against all documents, a row at a time."""
+    texts = [plain_normal(text) for _, text in docs]
+    # No edit pays for the characters between documents, which are in no item.
+    gap = 40
+    joined = np.array([ord(c) for t in texts for c in t + "\0" * gap], dtype=np.int64)
+    starts = np.cumsum([0] + [len(t) + gap for t in texts[:-1]])
+    steps, found = np.arange(len(joined) + 1, dtype=np.int32), set()
+    for item, body in items:
+        for number, passage in enumerate(plain_bounds(plain_normal(body))):
+            edits = len(passage) * 8 // 100
+            row = np.zeros(len(joined) + 1, dtype=np.int32)
+            for i, c in enumerate(passage, 1):
+                new = np.empty_like(row)
+                new[0] = i
+                new[1:] = np.minimum(row[1:] + 1, row[:-1] + (joined != ord(c)))
+                row = np.minimum.accumulate(new - steps) + steps
+            least = np.minimum.reduceat(row[1:], starts)
+            for d in np.flatnonzero(least <= edits):
+                found.add((docs[d][0], item, number, int(least[d])))
     return found
 
 
@@ -66,7 +88,7 @@ def test_any_text_within_budget_is_found():
 
 
 def test_long_items_are_cut_between_words():
-    parts = passages_of(prose(500, 14), 400, 40)
+    parts = passages_of(prose(500, 14), 400)
     assert " ".join(parts) == prose(500, 14) and max(map(len, parts)) <= 420
 
 
@@ -81,9 +103,10 @@ def test_odd_rows_and_items(spark):
     first = docs.where("doc_id = 1").first().text
     items = spark.createDataFrame([(1, first[:200]), (2, None), (3, ""), (4, "ba"), (1, first[:200]), (5, prose(30, 99))], "item_id long, text string")
     got = rows_of(find_leaks(docs, items), "doc_id", "item_id", "passage", "edits")
-    assert got == sorted((d, 1, p, 0) for d in (1, 1, 2, 2, 3, 3, 3, 3) for p in (0, 1))
+    # Document 9 is item 4 and nothing else.
+    assert got == sorted([(d, 1, p, 0) for d in (1, 1, 2, 2, 3, 3, 3, 3) for p in (0, 1)] + [(9, 4, 0, 0)])
     clean = drop_leaks(docs, items)
-    assert clean.columns == docs.columns and clean.count() == docs.count() - 4
+    assert clean.columns == docs.columns and clean.count() == docs.count() - 5
 
 
 def test_blocks_give_the_same(spark):
@@ -137,3 +160,39 @@ def test_occurrences_are_the_best_of_those_that_overlap(pattern, text):
     for end, distance in enumerate(distances(pattern, text), 1):
         if distance <= edits:
             assert any(d <= distance and s < end + edits and end - len(pattern) - 2 * edits < e for d, s, e in found)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text("abc漢字", min_size=1, max_size=300), min_size=1, max_size=12))
+def test_passages_lose_nothing(words):
+    whole = " ".join(words)
+    parts = passages_of(whole, PASSAGE)
+    assert parts == plain_bounds(whole) and "".join(parts).replace(" ", "") == whole.replace(" ", "")
+    assert all(len(p) <= PASSAGE * 5 // 4 for p in parts) and (len(whole) < LEAST or all(len(p) >= LEAST for p in parts))
+
+
+def test_excerpts_of_items_without_spaces(spark):
+    rng = random.Random(41)
+    item, other = ("".join(chr(rng.randrange(0x4E00, 0x9F00)) for _ in range(900)) for _ in range(2))
+    docs = [(1, item[50:850]), (2, other), (3, "前" + item[300:560] + "後"), (4, item[:50])]
+    items = [(7, item), (8, prose(40, 42)[:171])]
+    docs.append((5, "x " + items[1][1][75:171]))
+    found = find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == {(1, 7), (3, 7), (5, 8)}
+    assert {(r.doc_id, r.item_id, r.passage, r.edits) for r in found.collect()} == plain_leaks(docs, items)
+
+
+def test_shortest_items_are_looked_for_as_entire_documents(spark):
+    docs = spark.createDataFrame([(1, " A. "), (2, "A b"), (3, "42"), (4, "a"), (5, None)], "doc_id long, text string")
+    items = spark.createDataFrame([("x", "a"), ("y", "(42)"), ("z", "!")], "item_id string, text string")
+    assert rows_of(find_leaks(docs, items)) == [(1, "x", 0, 0, 1, 2), (3, "y", 0, 0, 0, 2), (4, "x", 0, 0, 0, 1)]
+    assert rows_of(drop_leaks(docs, items), "doc_id") == [(2,), (5,)]
+
+
+def test_item_ids_of_other_types(spark):
+    docs = spark.createDataFrame([(1, prose(30, 51))], "doc_id long, text string")
+    for kind, value in (("int", "3"), ("date", "2024-01-02"), ("decimal(5,2)", "1.50"), ("binary", "ab")):
+        items = spark.createDataFrame([(value, prose(30, 51)), (None, prose(30, 52))], "item_id string, text string").selectExpr(f"CAST(item_id AS {kind}) AS item_id", "text")
+        found = find_leaks(docs, items)
+        assert found.schema["item_id"].dataType == items.schema["item_id"].dataType
+        assert {str(r.item_id) for r in found.collect()} == {str(items.first().item_id)}
