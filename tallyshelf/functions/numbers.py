@@ -12,6 +12,7 @@ from tallyshelf.columns import NULL_TOKENS
 
 # Exact to eight decimals below 10^19, and its sums fit a decimal too, so they don't depend on order.
 AMOUNT_TYPE = "decimal(27,8)"
+AMOUNT_BOUND = 1e19
 # Wide enough to see what AMOUNT_TYPE rounds.
 FINE_TYPE = "decimal(38,18)"
 # What stands for amounts too small for AMOUNT_TYPE: they stay on their side of zero.
@@ -91,6 +92,8 @@ def unreadable(df: DataFrame, name: str, tokens: Sequence[str] = NULL_TOKENS) ->
         there = there & ~is_token(name, tokens)
     elif isinstance(dtype, (T.DoubleType, T.FloatType)):
         there = there & ~F.isnan(c)
+        # Doubles below the bound are held, so none needs the cast.
+        return there & (F.abs(c) >= F.lit(AMOUNT_BOUND))
     return there & _rounded(df, name).isNull()
 
 

@@ -102,3 +102,20 @@ def test_chunks_are_matched_by_name(spark):
     b = spark.createDataFrame([("1", "s", "x")], "quantity string, sku string, note string")
     assert listed(union_chunks([a, b]), "sku", "quantity", "note") == [("s", "1", None), ("s", "1", "x")]
     assert merge_chunks([a, a, b]).count() == 2
+
+
+def test_doubles_are_unreadable_from_the_bound_on(spark):
+    prices = [1.5, float("nan"), None, 9.999999999999998e18, -9.999999999999998e18, 1e19, -1e19, float("inf"), float("-inf")]
+    # The float next to 10^19 is below it.
+    for kind, least in (("double", {"5", "6", "7", "8"}), ("float", {"7", "8"})):
+        rows = [("s", str(i), DAY, p, 1) for i, p in enumerate(prices)]
+        df = spark.createDataFrame(rows, f"sku string, `product-name` string, `purchase-date` string, `item-price` {kind}, quantity int")
+        held = {r.product_name: r.item_price for r in clean_orders(df).collect()}
+        refused = {r.product_name for r in quarantine(df).collect() if "item_price_unreadable" in r.reasons}
+        assert refused == {i for i, price in held.items() if price is None} == least
+
+
+def test_each_check_of_the_quarantine_is_made_once_a_line(spark):
+    df = orders(spark, ["s", "p", "abc", "1"])
+    plan = quarantine(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("item_price_unreadable") == 1 and plan.count("AS date") <= 2
