@@ -11,7 +11,10 @@ The known licences are a table of the caller's, or `KNOWN` and the full texts in
 are few, texts whose first word none of them can start with are left out before the costly steps: a canonical form
 starts with the text's first word, with what that is spelled otherwise, or after copyright lines.
 
-Edge cases. Null and empty texts, and texts of nothing but punctuation or copyright lines, match nothing. Repeated rows
+A run's words are read from a line on only as far as known texts begin alike (PREFIXES), so a text's cost is in proportion to its
+length, however many of its lines begin like a licence.
+
+Edge cases. Very long texts are read whole. Null and empty texts, and texts of nothing but punctuation or copyright lines, match nothing. Repeated rows
 match each for itself by id: rows alike in id are counted together. A known licence given twice under one name counts
 once; one text under two names gives both. An empty table gives no rows. Extra columns are left out.
 """
@@ -77,15 +80,27 @@ COPYRIGHT = "copyright"
 BROADCAST_TEXTS = 100_000
 # Documented parameters: words from which a known text of one line is looked for in runs too, and words that find a run.
 RUN_WORDS, ANCHOR_WORDS = 20, 4
-# Documented parameter: characters in which the first words of a run are looked for before all that follows is read.
-HEAD = 2000
+# Documented parameter: words from a line on that are compared with known texts' first words before more are read.
+PREFIXES = (16, 64, 256, 1024, 4096)
+# Words of text that one word of the canonical form may stand for: no merged spelling is part of another.
+WIDEST = max(len(spelled.split()) for spelled, _ in SPELLINGS)
+# Parts that one text's copies are dealt over where places are joined to texts.
+SALTS = 32
 
 
 def canonical(text: Column) -> Column:
     """Lower-case words with one space between; no copyright lines, no punctuation, one spelling."""
     # Two spaces between words, so that neighbours that are both spelled otherwise have a space each.
-    words = F.regexp_replace(F.lower(F.regexp_replace(text, COPYRIGHT_LINE, "")), NO_WORD, "  ")
-    form = F.concat(F.lit(" "), F.trim(words), F.lit(" "))
+    return _one_spelling(F.trim(F.regexp_replace(_lowered(text), NO_WORD, "  ")))
+
+
+def _lowered(text: Column) -> Column:
+    return F.lower(F.regexp_replace(text, COPYRIGHT_LINE, ""))
+
+
+def _one_spelling(words: Column) -> Column:
+    """The canonical form of lower-case words with two spaces between."""
+    form = F.concat(F.lit(" "), words, F.lit(" "))
     for spelled, same in SPELLINGS:
         form = F.replace(form, F.lit(f" {spelled} ".replace(" ", "  ")[1:-1]), F.lit(f" {same} ".replace(" ", "  ")[1:-1]))
     return F.trim(F.replace(form, F.lit("  "), F.lit(" ")))
@@ -105,6 +120,9 @@ def known_digests(known: DataFrame, name: str = "license_id", text: str = "text"
     return rows.select(
         "license_id", digest(form).alias("digest"), F.substring_index(form, " ", 1).alias("first"), words.alias("n_words"),
         F.xxhash64(F.substring_index(form, " ", ANCHOR_WORDS)).alias("anchor"),
+        F.filter(
+            F.array(*[F.struct(F.lit(n).alias("n"), F.xxhash64(F.substring_index(form, " ", n)).alias("hash")) for n in PREFIXES]), lambda p: p["n"] < words
+        ).alias("prefixes"),
         ((F.col("lines") > 1) | (words >= RUN_WORDS)).alias("in_runs"),
     ).distinct()
 
@@ -132,34 +150,83 @@ def known_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([*KNOWN, *full_texts()], "license_id string, text string")
 
 
+def tokens_of(text: Column) -> Column:
+    """The text's words in lower case, and a line end before the first word of each line that has one.
+
+    Copyright lines are left out. No two line ends are neighbours.
+    """
+    spaced = F.regexp_replace(F.concat(F.lit("\n"), _lowered(text)), r"[^\p{L}\p{Nd}\n]+", " ")
+    return F.split(F.trim(F.regexp_replace(spaced, r" ?(?:\n ?)+", " \n ")), " ")
+
+
+def _words_from(tokens: Column, place: Column, n: Column | int) -> Column:
+    """The first n words of the canonical form of what begins at a line end, from a number of tokens that n bounds."""
+    n = F.lit(n) if isinstance(n, int) else n
+    some = F.slice(tokens, place + 1, (n + 1) * (2 * WIDEST))
+    form = _one_spelling(F.array_join(F.filter(some, lambda t: t != "\n"), "  "))
+    return F.call_function("substring_index", form, F.lit(" "), n)
+
+
+def _anchors_of(tokens: Column, place: Column, sizes: list[int]) -> Column:
+    head = _words_from(tokens, place, max(sizes, default=1))
+    return F.array_distinct(F.array(*[F.xxhash64(F.substring_index(head, " ", n)) for n in sizes]))
+
+
+def _line_ends(tokens: Column) -> Column:
+    return F.filter(F.sequence(F.lit(0), F.size(tokens) - 1), lambda i: F.get(tokens, i) == "\n")
+
+
+def _places_of_many(rows: DataFrame, known: DataFrame, sizes: list[int]) -> DataFrame:
+    """doc_id, row, tokens, at: the places where a known start is, and the words of the longest known text with it, by shuffled joins.
+
+    Texts without one go. Places belong to a text, not to its copies, and are joined to each copy by the text's digest.
+    """
+    rows = rows.withColumn("tokens", tokens_of(F.col("body"))).withColumn("of", F.sha2("body", 256))
+    starts = F.transform(_line_ends(F.col("tokens")), lambda i: F.struct(i.alias("place"), _anchors_of(F.col("tokens"), i, sizes).alias("anchors")))
+    starts = rows.select("of", F.explode(starts).alias("s")).select("of", "s.place", F.explode("s.anchors").alias("anchor"))
+    starts = starts.join(known.groupBy("anchor").agg(F.max("run_words").alias("reach")), "anchor")
+    starts = starts.groupBy("of", "place").agg(F.max("reach").alias("reach"))
+    at = starts.groupBy("of").agg(F.collect_list(F.struct("place", "reach")).alias("at")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")
+    return rows.withColumn("salt", salt).join(at, ["of", "salt"]).select("doc_id", "row", "tokens", "at")
+
+
+def _places_of_few(rows: DataFrame, known: DataFrame, sizes: list[int]) -> DataFrame:
+    """doc_id, row, tokens, at: the places where a known start may be, and the words worth reading from there, told by literals.
+
+    Most texts without one go. Words are read four times as far as long as a known text begins with all that was read.
+    """
+    firsts = sorted({r[0] for r in known.select("first").union(_spelled_firsts(rows.sparkSession)).distinct().collect()})
+    anchors = sorted(r[0] for r in known.select("anchor").distinct().collect())
+    begun = known.select(F.explode("prefixes").alias("p")).groupBy("p.n").agg(F.collect_set("p.hash").alias("hashes")).orderBy("n").collect()
+    longest = known.agg(F.max("run_words")).first()[0] or 1
+    # First words are cheap and leave few texts, the only ones whose words are listed.
+    rows = rows.where(F.exists(F.split("body", "\n"), lambda line: first_word(line).isin(firsts)))
+    rows = rows.withColumn("tokens", tokens_of(F.col("body")))
+    tokens = F.col("tokens")
+
+    def reach(i: Column) -> Column:
+        words = F.lit(longest)
+        for n, hashes in reversed(begun):
+            words = F.when(F.xxhash64(_words_from(tokens, i, n)).isin(sorted(hashes)), words).otherwise(F.lit(n))
+        return words
+
+    starts = F.filter(_line_ends(tokens), lambda i: F.get(tokens, i + 1).isin(firsts))
+    at = F.filter(starts, lambda i: F.exists(_anchors_of(tokens, i, sizes), lambda a: a.isin(anchors)))
+    return rows.select("doc_id", "row", "tokens", F.transform(at, lambda i: F.struct(i.alias("place"), reach(i).alias("reach"))).alias("at"))
+
+
 def _runs(docs: DataFrame, digests: DataFrame, few: bool, doc_id: str, text: str) -> DataFrame:
-    """One row per document, place and licence found from the start of a line on: doc_id, unit 'lines', place, license_id."""
-    digests = digests.where("in_runs").select("license_id", "digest", "anchor", "first", F.col("n_words").alias("run_words"))
-    spark = docs.sparkSession
-    found = digests.select("first", "anchor", F.least("run_words", F.lit(ANCHOR_WORDS)).alias("n")).distinct().collect()
-    firsts = sorted({r["first"] for r in found} | {r["first"] for r in _spelled_firsts(spark).collect()})
-    anchors, sizes = sorted({r["anchor"] for r in found}), sorted({r["n"] for r in found})
-
-    def from_line(lines: Column, at: Column) -> Column:
-        return F.array_join(F.slice(lines, at + 1, F.size(lines)), "\n")
-
-    def anchors_of(lines: Column, at: Column) -> Column:
-        # The last words of a head may be cut, so a head of few words doesn't do.
-        head = canonical(F.substring(F.array_join(F.slice(lines, at + 1, HEAD), "\n"), 1, HEAD))
-        head = F.when(F.size(F.split(head, " ")) > 4 * ANCHOR_WORDS, head).otherwise(canonical(from_line(lines, at)))
-        return F.array(*[F.xxhash64(F.substring_index(head, " ", n)) for n in sizes])
-
-    # First words are cheap and leave few lines; whole known starts leave nearly none, of which all that follows is read.
-    body = text_of(text)
-    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.split(body, "\n").alias("lines"))
-    at = F.filter(F.sequence(F.lit(0), F.size("lines") - 1), lambda i: first_word(F.get("lines", i)).isin(firsts))
-    rows = rows.withColumn("at", at).where(F.size("at") > 0)
-    at = F.filter("at", lambda i: (canonical(F.get("lines", i)) != "") & F.exists(anchors_of(F.col("lines"), i), lambda a: a.isin(anchors)))
-    rows = rows.withColumn("at", at).where(F.size("at") > 0)
-    starts = F.transform("at", lambda i: F.struct(i.alias("place"), anchors_of(F.col("lines"), i).alias("anchors"), canonical(from_line(F.col("lines"), i)).alias("form")))
-    rows = rows.withColumn("row", F.monotonically_increasing_id()).select("doc_id", "row", F.explode(starts).alias("s"))
-    rows = rows.select("doc_id", "row", "s.place", "s.form", F.explode(F.array_distinct("s.anchors")).alias("anchor"))
-    known = digests.drop("first").distinct()
+    """One row per document, place and licence found from the start of a line on: doc_id, unit 'lines', license_id, row, place."""
+    known = digests.where("in_runs").select("license_id", "digest", "anchor", "first", "prefixes", F.col("n_words").alias("run_words")).distinct()
+    sizes = sorted(r[0] for r in known.select(F.least("run_words", F.lit(ANCHOR_WORDS))).distinct().collect())
+    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), text_of(text).alias("body")).withColumn("row", F.monotonically_increasing_id())
+    rows = (_places_of_few if few else _places_of_many)(rows, known, sizes)
+    tokens = F.col("tokens")
+    starts = F.transform("at", lambda s: F.struct(s["place"].alias("place"), _anchors_of(tokens, s["place"], sizes).alias("anchors"), _words_from(tokens, s["place"], s["reach"]).alias("form")))
+    rows = rows.select("doc_id", "row", F.explode(starts).alias("s"))
+    rows = rows.select("doc_id", "row", "s.place", "s.form", F.explode("s.anchors").alias("anchor"))
+    known = known.drop("first", "prefixes")
     rows = rows.join(F.broadcast(known) if few else known, "anchor")
     run = F.expr("substring_index(form, ' ', run_words)")
     return rows.where(digest(run) == F.col("digest")).select("doc_id", F.lit("lines").alias("unit"), "license_id", "row", "place").distinct()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from tallyshelf.llm.licenses import COPYRIGHT_LINE, KNOWN, NO_WORD, SPELLINGS
+from tallyshelf.llm.licenses import COPYRIGHT_LINE, KNOWN, NO_WORD, RUN_WORDS, SPELLINGS, full_texts
 
 MIXING = r"""
 WITH d AS (
@@ -162,17 +162,38 @@ def _canonical(text: str) -> str:
     return f"trim(replace({form}, '  ', ' '))"
 
 
+_FIRSTS = ", ".join(_quoted(w) for w in sorted({spelled.split()[0] for spelled, _ in SPELLINGS}))
+_LINES = f"len(list_filter(string_split(text, chr(10)), lambda x: {_canonical('x')} <> ''))"
 LICENSES = f"""
-WITH k AS (
-  SELECT DISTINCT license_id, {_canonical("text")} AS form
-  FROM (VALUES {", ".join(f"({_quoted(name)}, {_quoted(text)})" for name, text in KNOWN)}) AS v(license_id, text)
+WITH t AS (
+  SELECT license_id, text, {_canonical("text")} AS form
+  FROM (VALUES {", ".join(f"({_quoted(name)}, {_quoted(text)})" for name, text in (*KNOWN, *full_texts()))}) AS v(license_id, text)
+), k AS (
+  SELECT DISTINCT license_id, form FROM t
+), m AS (
+  SELECT DISTINCT license_id, form, split_part(form, ' ', 1) AS first FROM t
+  WHERE len(string_split(form, ' ')) >= {RUN_WORDS} OR {_LINES} > 1
+), d AS (
+  SELECT row_number() OVER () AS row, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), s AS (
+  SELECT row, doc_id, unnest(range(1, len(lines) + 1)) AS place, unnest(lines) AS line FROM d
+), c AS (
+  SELECT row, doc_id, place FROM (SELECT *, split_part({_canonical("line")}, ' ', 1) AS first FROM s)
+  WHERE first IN (SELECT first FROM m) OR first IN ({_FIRSTS})
+), r AS (
+  SELECT row, c.doc_id, place, {_canonical("array_to_string(lines[place:], chr(10))")} AS form FROM c JOIN d USING (row)
 ), u AS (
   SELECT doc_id, 'text' AS unit, coalesce(text, '') AS body FROM documents
   UNION ALL SELECT doc_id, 'line', unnest(string_split(coalesce(text, ''), chr(10))) FROM documents
 ), f AS (
   SELECT doc_id, unit, {_canonical("body")} AS form FROM u
+), e AS (
+  SELECT doc_id, unit, license_id FROM f JOIN k USING (form) WHERE form <> ''
+  UNION ALL
+  SELECT doc_id, 'lines', license_id
+  FROM (SELECT DISTINCT row, r.doc_id, place, license_id FROM r JOIN m ON split_part(r.form, ' ', 1) = first AND starts_with(r.form || ' ', m.form || ' '))
 )
-SELECT doc_id, unit, license_id, count(*) AS n_found FROM f JOIN k USING (form) WHERE form <> '' GROUP BY ALL
+SELECT doc_id, unit, license_id, count(*) AS n_found FROM e GROUP BY ALL
 """
 
 SQL: dict[str, str] = {

@@ -77,3 +77,60 @@ def test_runs_of_short_known_texts(spark):
     known = spark.createDataFrame([("k", "Be good\nand kind"), ("s", "be\n good"), ("n", "and kind b")], "license_id string, text string")
     got = [r for r in rows_of(L.scan_licenses(docs, known)) if r[1] == "lines"]
     assert got == [(1, "lines", "k", 1), (1, "lines", "s", 1), (2, "lines", "s", 1), (3, "lines", "k", 1), (3, "lines", "s", 1)]
+
+
+def plain_runs(docs, known):
+    """Every known text of several lines or many words, from every line on, by comparing whole canonical forms."""
+    found = {}
+    forms = {(n, plain_canonical(t)) for n, t in known if sum(1 for line in t.split("\n") if plain_canonical(line)) > 1 or len(plain_canonical(t).split()) >= L.RUN_WORDS}
+    for doc_id, text in docs:
+        lines = (text or "").split("\n")
+        for i, line in enumerate(lines):
+            rest = plain_canonical("\n".join(lines[i:])) + " "
+            for name in {n for n, form in forms if form and plain_canonical(line) and rest.startswith(form + " ")}:
+                found[doc_id, "lines", name] = found.get((doc_id, "lines", name), 0) + 1
+    return sorted(((*k, n) for k, n in found.items()), key=repr)
+
+
+def odd_runs():
+    """Lines that begin like known texts, alone and above each other, known starts cut off, spellings that lines part."""
+    known = [
+        ("long", "We grant\n" + " ".join(f"w{i}" for i in range(300))), ("longer", "We grant\n" + " ".join(f"w{i}" for i in range(2000)) + " end"),
+        ("short", "we\ngrant"), ("merged", "a non infringement\nv2.0 and sub licence"), ("said", "non-commercial\nuse"), ("next", "commercial\nuse"),
+    ]
+    run = "we grant " + " ".join(f"w{i}" for i in range(2000))
+    texts = [
+        known[0][1], known[1][1], run, run + " end", "We grant\n" * 40 + known[1][1], "we\n\n--\n© 2020 X\ngrant\nWE GRANT w0 w1", " ".join(run.split()[:302]), " ".join(run.split()[:301]),
+        "a\nnon\ninfringement version 2\n0 and sublicense", "A noninfringement v2\n0 and sub\nlicence more", "non\ncommercial\nuse", "non commercial\n\nuse", None, "", "\n\n", "-" * 5000, "we",
+    ]
+    return list(enumerate(texts)), known
+
+
+@pytest.mark.parametrize("limit", [L.BROADCAST_TEXTS, 0])
+def test_runs_as_plain_search_finds_them(spark, monkeypatch, limit):
+    monkeypatch.setattr(L, "BROADCAST_TEXTS", limit)
+    docs, known = odd_runs()
+    got = L.scan_licenses(spark.createDataFrame([*docs, docs[4]], DOC), spark.createDataFrame(known, "license_id string, text string"))
+    assert [r for r in rows_of(got) if r[1] == "lines"] == plain_runs([*docs, docs[4]], known)
+
+
+def test_sql_of_full_texts_and_runs(spark):
+    import duckdb
+
+    from tallyshelf.llm.statements import LICENSES
+
+    texts = dict(reversed(L.full_texts()))
+    docs = [(1, texts["GPL-2.0"]), (2, "Readme\n" + texts["Apache-2.0"] + "\nmore"), (3, "x\n" + MIT.replace("sublicense", "sub\nlicence") + "\n" + MIT), (4, None), (5, texts["MPL-2.0"][:900])]
+    want = sorted(duckdb.connect().execute(f"WITH documents AS (FROM (VALUES {', '.join('(?, ?)' for _ in docs)}) AS v(doc_id, text)) {LICENSES.strip().replace('WITH t AS', ', t AS', 1)}", [x for row in docs for x in row]).fetchall(), key=repr)
+    assert want and rows_of(L.scan_licenses(spark.createDataFrame(docs, DOC))) == want
+
+
+def test_lines_that_all_begin_like_a_licence(spark):
+    """Few of a text's words are read for each of its lines, so such a text takes time by its length."""
+    header = " ".join(dict(L.full_texts())["GPL-3.0"].split()[:12])
+    docs = spark.createDataFrame([(1, "\n".join([header] * 4000)), (2, "\n".join([header] * 2000) + "\n" + MIT)], DOC)
+    known = L.known_digests(L.known_table(spark)).where("in_runs").withColumnRenamed("n_words", "run_words")
+    rows = docs.select("doc_id", F.col("text").alias("body"), F.lit(0).alias("row"))
+    words = L._places_of_few(rows, known, [L.ANCHOR_WORDS]).select(F.aggregate(F.transform("at", lambda s: s["reach"]), F.lit(0), lambda a, b: a + b).alias("n"))
+    assert all(r.n <= 80 * 4000 for r in words.collect())
+    assert rows_of(L.scan_licenses(docs)) == [(2, "lines", "MIT", 1)]
