@@ -50,6 +50,14 @@ stock AS (
   UNION ALL SELECT account_name, sku, asin, product_name, qty + 1 FROM once
 )"""
 
+HOT = STOCK.replace("stock AS", "once AS", 1) + f""",
+stock AS (
+  SELECT * FROM once
+  UNION ALL
+  SELECT c_mktsegment, 'SKU-' || hot, 'B' || hot, 'hot', CAST(l_orderkey * 8 + l_linenumber AS {AMOUNT})
+  FROM {LINES} CROSS JOIN (SELECT min(p_partkey) AS hot FROM part)
+)"""
+
 SUMMED = REPEATED.replace("\nstock AS", "\nthrice AS") + """,
 stock AS (SELECT account_name, sku, sum(qty) AS qty FROM thrice GROUP BY ALL)"""
 
@@ -302,6 +310,7 @@ SELECT account_name, sku, product_name, CAST(units AS DOUBLE) AS units_sold, CAS
         "sales_totals": _with(*sales, """
 SELECT account_name, CAST(units AS DOUBLE) AS units_sold, CAST(revenue AS DOUBLE) AS revenue FROM totals"""),
         "sales_report_repeated_stock": _with(ORDERS, REPEATED, pieces(), summary()),
+        "sales_report_hot_stock": _with(ORDERS, HOT, pieces(), summary()),
         "sales_report_summed_stock": _with(ORDERS, SUMMED, pieces(), summary()),
         "sales_report_small_accounts": _with(SMALL, SMALL_STOCK, pieces(stock_by=""), summary()),
         "zero_sales_gate": _with(SMALL, STOCK, pieces(), """
@@ -312,6 +321,7 @@ FROM orders LEFT JOIN gate ON gate.account_name = 'ord-' || o_orderkey"""),
         "account_dimension": "SELECT DISTINCT c_mktsegment AS account_name FROM customer",
         "on_hand_report": _with(ORDERS, STOCK, ON_HAND, ON_HAND_ROWS),
         "on_hand_repeated_stock": _with(ORDERS, REPEATED, ON_HAND, ON_HAND_ROWS),
+        "on_hand_hot_stock": _with(ORDERS, HOT, ON_HAND, ON_HAND_ROWS),
         "on_hand_index": """
 SELECT 'c-' || o_custkey AS account_name, 'C-' || o_custkey || ' On Hand ' || strftime(max(o_orderdate), '%m-%d-%Y') AS report_name
 FROM orders GROUP BY o_custkey""",

@@ -114,6 +114,11 @@ def q_sales_report_repeated_stock(spark, sf):
     return sales_report(V.orders_view(spark, sf), V.repeated_inventory_view(spark, sf)).summary
 
 
+def q_sales_report_hot_stock(spark, sf):
+    """A third of the stock and more is one SKU of an account, each row another."""
+    return sales_report(V.orders_view(spark, sf), V.hot_inventory_view(spark, sf)).summary
+
+
 def q_sales_report_summed_stock(spark, sf):
     return sales_report(V.orders_view(spark, sf), V.repeated_inventory_view(spark, sf), inventory_policy="sum_per_sku").summary
 
@@ -144,6 +149,10 @@ def q_on_hand_repeated_stock(spark, sf):
     return on_hand_report(V.orders_view(spark, sf), V.repeated_inventory_view(spark, sf))
 
 
+def q_on_hand_hot_stock(spark, sf):
+    return on_hand_report(V.orders_view(spark, sf), V.hot_inventory_view(spark, sf))
+
+
 def q_on_hand_index(spark, sf):
     orders = V.table(spark, sf, "orders").select(F.concat(F.lit("c-"), F.col("o_custkey")).alias(ACCOUNT), "o_orderdate")
     return on_hand_index(orders.groupBy(ACCOUNT).agg(F.max("o_orderdate").alias("last")), F.col("last"))

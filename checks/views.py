@@ -147,6 +147,18 @@ def inventory_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def hot_inventory_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stock, and under one SKU of each account a row of its own for each of the account's order lines."""
+    part = table(spark, sf_dir, "part").agg(F.min("p_partkey").alias("hot"))
+    lines = _lines(spark, sf_dir).select(F.col("c_mktsegment").alias(ACCOUNT), (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("units"))
+    hot = part.first()["hot"]
+    rows = lines.select(
+        ACCOUNT, F.lit(f"SKU-{hot}").alias("sku"), F.lit(f"B{hot}").alias("asin"), F.lit("hot").alias("product-name"),
+        F.col("units").alias("afn-fulfillable-quantity"),
+    )
+    return inventory_view(spark, sf_dir).unionByName(rows)
+
+
 def repeated_inventory_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stock, all of it listed twice with equal rows and once more with one unit added."""
     stock = inventory_view(spark, sf_dir)

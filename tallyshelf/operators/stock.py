@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from tallyshelf.columns import ACCOUNT
 from tallyshelf.operators.clean import zero
 from tallyshelf.operators.copies import count_copies
+from tallyshelf.operators.hot_joins import spread_join
+from tallyshelf.scratch import Scratch
 
 INVENTORY_POLICIES = ("as_is", "sum_per_sku")
 
@@ -41,21 +43,30 @@ def stock_per_sku(inventory: DataFrame, by: Sequence[str], policy: str = "as_is"
     )
 
 
-def with_stock(sales: DataFrame, stock: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Every sales row with its stock; no stock row, or unreadable stock, is 0."""
-    joined = sales.join(stock, [*stock_keys(by, stock), "sku"], "left")
+def _joined(left: DataFrame, right: DataFrame, keys: Sequence[str], scratch: Scratch | None) -> DataFrame:
+    """A left join; with `scratch`, both sides are written and hot keys split."""
+    if scratch is None:
+        return left.join(right, list(keys), "left")
+    return spread_join(scratch.table(left, "left"), scratch.table(right, "right"), keys, scratch)
+
+
+def with_stock(sales: DataFrame, stock: DataFrame, by: Sequence[str], scratch: Scratch | None = None) -> DataFrame:
+    """Every sales row with its stock; no stock row, or unreadable stock, is 0. With `scratch`, SKUs of very many rows are split."""
+    joined = _joined(sales, stock, [*stock_keys(by, stock), "sku"], scratch)
     return joined.withColumns({
         "remaining_units": F.coalesce("remaining_units", zero()),
         "copies": F.coalesce("copies", F.lit(1).cast("bigint")),
     })
 
 
-def with_sold(inventory: DataFrame, sold: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Every stock row with the units sold of its SKU, 0 when none; never multiplies rows.
+def with_sold(inventory: DataFrame, sold: DataFrame, by: Sequence[str], scratch: Scratch | None = None) -> DataFrame:
+    """Every stock row with the units sold of its SKU, 0 when none; never multiplies rows. With `scratch`, SKUs of very many rows are split.
 
     Rows without a SKU match nothing and go around the join, where they would all meet in one task.
     """
-    joined = inventory.filter(F.col("sku").isNotNull()).join(sold, [*by, "sku"], "left")
+    if scratch is not None:
+        inventory = scratch.table(inventory, "inventory")
+    joined = _joined(inventory.filter(F.col("sku").isNotNull()), sold, [*by, "sku"], scratch)
     named = joined.withColumn("sold", F.coalesce("sold", zero().cast(sold.schema["sold"].dataType)))
     unnamed = inventory.filter(F.col("sku").isNull()).withColumn("sold", zero().cast(sold.schema["sold"].dataType))
     return named.unionByName(unnamed)

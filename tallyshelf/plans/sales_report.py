@@ -140,7 +140,7 @@ class SalesReport:
 
     @cached_property
     def products(self) -> DataFrame:
-        return with_stock(sold_products(self.rollup, self.by), self.stock, self.by)
+        return with_stock(sold_products(self.rollup, self.by), self.stock, self.by, self.scratch)
 
     @cached_property
     def ordered(self) -> DataFrame:
