@@ -19,7 +19,7 @@ from tallyshelf.scratch import Scratch
 
 # Documented parameters: a key with more rows than these, and than a shuffle partition's share by FINE, is split. No side has
 # more than HOT_KEYS of them, which are broadcast.
-HOT_ROWS, FINE, HOT_KEYS = 10_000, 4, 10_000
+HOT_ROWS, FINE, HOT_KEYS = 100_000, 4, 10_000
 # Names of the parts of a key on either side, and of a row's cell.
 LEFT_PARTS, RIGHT_PARTS, LEFT_CELL, RIGHT_CELL, MATCHED = "left_parts", "right_parts", "left_cell", "right_cell", "matched"
 
@@ -52,15 +52,16 @@ def _cells(df: DataFrame, hot: DataFrame, keys: Sequence[str], own: tuple[str, s
     return df.join(F.broadcast(hot), list(keys), "left").select(*columns, part, repeat, F.col(others[0]).isNotNull().alias("others_hot"))
 
 
-def spread_join(left: DataFrame, right: DataFrame, keys: Sequence[str], scratch: Scratch, how: str = "left") -> DataFrame:
-    """`left` joined with `right` on equal keys, "left" or "inner"; both are written tables, as they are read twice.
+def spread_join(left: DataFrame, right: DataFrame, keys: Sequence[str], scratch: Scratch, how: str = "left", unique: bool = False) -> DataFrame:
+    """`left` joined with `right` on equal keys, "left" or "inner", with the rows and columns of `left.join(right, keys, how)`.
 
-    The result has the rows and columns of `left.join(right, keys, how)`.
+    Both are read once more to count their keys, so they should be written tables or cheap to read. `unique` says that `right` has
+    a row for each key at most, and needs no count.
     """
     if how not in ("left", "inner"):
         raise ValueError("a spread join is 'left' or 'inner'")
     keys = list(keys)
-    found = [hot_keys(left, keys, LEFT_PARTS), hot_keys(right, keys, RIGHT_PARTS)]
+    found = [hot_keys(left, keys, LEFT_PARTS), None if unique else hot_keys(right, keys, RIGHT_PARTS)]
     if found == [None, None]:
         return left.join(right, keys, how)
     empty = left.select(*keys).limit(0)

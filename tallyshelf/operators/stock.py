@@ -43,16 +43,10 @@ def stock_per_sku(inventory: DataFrame, by: Sequence[str], policy: str = "as_is"
     )
 
 
-def _joined(left: DataFrame, right: DataFrame, keys: Sequence[str], scratch: Scratch | None) -> DataFrame:
-    """A left join; with `scratch`, both sides are written and hot keys split."""
-    if scratch is None:
-        return left.join(right, list(keys), "left")
-    return spread_join(scratch.table(left, "left"), scratch.table(right, "right"), keys, scratch)
-
-
 def with_stock(sales: DataFrame, stock: DataFrame, by: Sequence[str], scratch: Scratch | None = None) -> DataFrame:
-    """Every sales row with its stock; no stock row, or unreadable stock, is 0. With `scratch`, SKUs of very many rows are split."""
-    joined = _joined(sales, stock, [*stock_keys(by, stock), "sku"], scratch)
+    """Every sales row with its stock; no stock row, or unreadable stock, is 0. With `scratch`, SKUs of very many rows are split, and `sales` is read twice."""
+    keys = [*stock_keys(by, stock), "sku"]
+    joined = sales.join(stock, keys, "left") if scratch is None else spread_join(sales, scratch.table(stock, "stock"), keys, scratch)
     return joined.withColumns({
         "remaining_units": F.coalesce("remaining_units", zero()),
         "copies": F.coalesce("copies", F.lit(1).cast("bigint")),
@@ -64,9 +58,9 @@ def with_sold(inventory: DataFrame, sold: DataFrame, by: Sequence[str], scratch:
 
     Rows without a SKU match nothing and go around the join, where they would all meet in one task.
     """
-    if scratch is not None:
-        inventory = scratch.table(inventory, "inventory")
-    joined = _joined(inventory.filter(F.col("sku").isNotNull()), sold, [*by, "sku"], scratch)
+    inventory = inventory if scratch is None else scratch.table(inventory, "inventory")
+    listed, keys = inventory.filter(F.col("sku").isNotNull()), [*by, "sku"]
+    joined = listed.join(sold, keys, "left") if scratch is None else spread_join(listed, sold, keys, scratch, unique=True)
     named = joined.withColumn("sold", F.coalesce("sold", zero().cast(sold.schema["sold"].dataType)))
     unnamed = inventory.filter(F.col("sku").isNull()).withColumn("sold", zero().cast(sold.schema["sold"].dataType))
     return named.unionByName(unnamed)

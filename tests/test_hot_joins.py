@@ -36,6 +36,8 @@ def test_rows_are_those_of_a_plain_join(spark, monkeypatch, how, keys):
         left, right = left.drop("l"), right.drop("l")
     want, got = left.join(right, keys, how), H.spread_join(left, right, keys, Scratch(spark), how)
     assert got.columns == want.columns and rows(got) == rows(want)
+    once = right.dropDuplicates(keys)
+    assert rows(H.spread_join(left, once, keys, Scratch(spark), how, unique=True)) == rows(left.join(once, keys, how))
     for one, other in ((left.limit(0), right), (left, right.limit(0))):
         assert rows(H.spread_join(one, other, keys, Scratch(spark), how)) == rows(one.join(other, keys, how))
 
@@ -54,9 +56,10 @@ def test_hot_keys_are_few_and_null_is_none(spark, monkeypatch):
         H.spread_join(left, left, ["k"], Scratch(spark), "full")
 
 
-def test_no_task_holds_a_hot_key(many_blocks):
+def test_no_task_holds_a_hot_key(many_blocks, monkeypatch):
     """10^6 distinct rows of one key beside others: no shuffle partition above 3 x the median."""
     spark = many_blocks
+    monkeypatch.setattr(H, "HOT_ROWS", 10_000)
     spark.conf.set("spark.sql.shuffle.partitions", "16")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
