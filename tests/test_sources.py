@@ -7,7 +7,8 @@ from tallyshelf.columns import ACCOUNT, INVENTORY_REPORT, ORDERS_REPORT
 from tallyshelf.operators.chunks import distinct_rows
 from tallyshelf.sources.accounts import account_list, landing_folder, scan_report
 from tallyshelf.sources.flat_files import scan_flat_files, write_flat_files
-from tallyshelf.sources.stored import records_from_text, scan_records, scan_stored, write_records
+from tallyshelf.sources import stored
+from tallyshelf.sources.stored import ARRAY_FOLDERS, records_from_text, scan_records, scan_stored, write_arrays, write_records
 from tests.tables import listed
 
 
@@ -122,3 +123,29 @@ def test_a_long_first_line_is_read_to_its_end(spark, tmp_path):
     (tmp_path / "long.txt").write_text(header + "\r\n1\t2\n")
     (found,) = first_lines(spark, [f"file:{tmp_path}/long.txt"], "utf-8").values()
     assert len(header) > 1 << 20 and found == header
+
+
+def test_arrays_are_bounded_and_read_back_whole(spark, tmp_path):
+    path = str(tmp_path / "arrays")
+    rows = spark.range(1000, numPartitions=3).selectExpr("if(id < 990, 'a', 'b') AS account_name", "concat('s', id) AS sku", "cast(id AS double) / 4 AS units")
+    write_arrays(rows, path, ["account_name"], 50)
+    held = [len(json.loads(p.read_text())) for p in (tmp_path / "arrays").rglob("*.txt")]
+    assert sum(held) == 1000 and max(held) <= 50
+    assert {p.name for p in (tmp_path / "arrays").iterdir() if p.is_dir()} == {"part=a", "part=b"}
+    got = scan_records(spark, path, rows.columns).drop(*ARRAY_FOLDERS)
+    want = rows.selectExpr("account_name", "sku", "cast(units AS string) AS units")
+    assert got.columns == want.columns and sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_array_files_are_read_as_the_file_reader_does(spark, tmp_path, monkeypatch):
+    texts = {"array": '[{"a": 1.50, "b": "x"}, {"b": 1e3, "c": 1}]', "object": '{"a": true}', "none": "[]", "blank": " \n", "empty": "", "bad": '{"a": ', "null": '[{"a": null}]'}
+    for name, text in texts.items():
+        folder = tmp_path / name
+        folder.mkdir()
+        (folder / "one.json").write_text(text)
+        got = scan_records(spark, str(folder), ["a", "b"])
+        with monkeypatch.context() as m:
+            m.setattr(stored, "WHOLE_BYTES", -1)
+            want = scan_records(spark, str(folder), ["a", "b"])
+        assert got.columns == want.columns and listed(got, "*") == listed(want, "*"), name
+    assert listed(scan_records(spark, str(tmp_path / "array"), ["a", "b"]), "*") == [("1.50", "x"), (None, "1e3")]
