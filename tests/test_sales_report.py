@@ -7,6 +7,7 @@ from tallyshelf import ZeroSalesError, account_sales_report, sales_display, sale
 from tallyshelf.columns import ACCOUNT
 from tallyshelf.operators.copies import CHUNK
 from tallyshelf.operators.sku_sales import sales_by_sku
+from tallyshelf.plans.sales_report import gates, line_sums
 from tests.tables import DAY, listed, orders, ranked, stock
 
 
@@ -209,3 +210,17 @@ def test_display_rounds_halves_away_from_zero(spark):
     o = orders(spark, ("a", "pa", "0.125", "2.5"), ("b", "pb", "1", "-2.5"))
     shown = {r.sku: (r.units_sold, r.revenue) for r in sales_display(sales_report(o, stock(spark, ("a", "1"))).summary).collect()}
     assert shown["a"] == ("3", "$0.13") and shown["b"] == ("-3", "$1.00")
+
+
+def test_raw_data_alone_needs_no_roll_up(spark):
+    lines = orders(
+        spark, ("s1", "p", "2", "1"), ("s1", "p", "0", "1", DAY, "free"), ("s1", "p", "abc", "1", DAY, "junk"), ("None", "p", "5", "1", DAY, "unnamed"),
+        ("s1", "p", "-3", "1", DAY, "back"), ("s1", "", "4", "1", DAY, "mixed"), ("s1", "p", "1", "1", DAY, "mixed"), ("s1", "p", "2", "1", "junk", "undated"))
+    report = sales_report(lines, stock(spark, ("s1", "5")))
+    alone = sorted(map(repr, report.raw_data.collect()))
+    assert "rollup" not in report.__dict__
+    again = sales_report(lines, stock(spark, ("s1", "5")))
+    again.summary.collect()
+    assert alone == sorted(map(repr, again.raw_data.collect())) and len(alone) == 4
+    gate = lambda df: sorted(map(repr, gates(df, ["account_name"]).collect()))
+    assert gate(line_sums(again.lines, ["account_name"])) == gate(again.rollup)
