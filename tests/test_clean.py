@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from tallyshelf import columns as C
 from tallyshelf.operators.chunks import distinct_rows, merge_chunks, union_chunks
-from tallyshelf.operators.clean import clean_orders, clean_stock, quarantine, require_columns
+from tallyshelf.operators import clean
+from tallyshelf.operators.clean import canonical_number, clean_orders, clean_stock, quarantine, require_columns
+from tallyshelf.operators.known_lines import DIGEST, FILE, PART_SCHEMA, WRITTEN_DAY, parts_of
 from tests.tables import DAY, listed, orders, stock
 
 NUMBERS = [
@@ -119,3 +121,24 @@ def test_each_check_of_the_quarantine_is_made_once_a_line(spark):
     df = orders(spark, ["s", "p", "abc", "1"])
     plan = quarantine(df)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("item_price_unreadable") == 1 and plan.count("AS date") <= 2
+
+
+def test_plain_numbers_are_spelled_as_the_casts_spell_them(spark):
+    texts = ["0", "0.0", "0.00", "0.000", "00", "1", "10", "1.", "1.5", "12.50", "12.50000000", "12.500000001", "012", "0.5", "+1", "-1", " 1", "1e3", "1.0e-9", "x", "", ".5",
+             "123456789012345678", "1234567890123456789", "12345678901234567890", "123456789012345678.12345678", "1.2.3", "1\n", "NaN", "1,234", None]
+    df = spark.createDataFrame([(t,) for t in texts], "n string")
+    for ansi in ("true", "false"):
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        try:
+            rows = df.select("n", canonical_number(df, "n").alias("fast"), clean._canonical(df, "n").alias("slow")).collect()
+        finally:
+            spark.conf.set("spark.sql.ansi.enabled", "true")
+        assert [(r.n, r.fast) for r in rows] == [(r.n, r.slow) for r in rows]
+
+
+def test_sums_of_parts_are_those_of_both_halves_of_the_digests(spark):
+    digests = [f"{i * 0x9E3779B97F4A7C15F39CC0605CEDC835 % (1 << 128):032x}" for i in range(1, 60)] + ["f" * 32] * 9
+    lines = spark.createDataFrame([("f", "a", "d", x) for x in digests], f"{FILE} string, account_name string, {WRITTEN_DAY} string, {DIGEST} string")
+    row = parts_of(lines).head()
+    assert (row.part_lines, int(row.part_high), int(row.part_low)) == (len(digests), sum(int(x[:16], 16) for x in digests), sum(int(x[16:], 16) for x in digests))
+    assert [f.dataType for f in parts_of(lines).schema][3:] == [f.dataType for f in PART_SCHEMA][2:]
