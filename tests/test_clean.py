@@ -5,10 +5,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyshelf import columns as C
-from tallyshelf.operators.chunks import distinct_rows, merge_chunks, union_chunks
-from tallyshelf.operators import clean
+from tallyshelf.operators import chunks, clean
+from tallyshelf.operators.chunks import distinct_rows, distinct_table, merge_chunks, union_chunks
 from tallyshelf.operators.clean import canonical_number, clean_orders, clean_stock, quarantine, require_columns
 from tallyshelf.operators.known_lines import DIGEST, FILE, PART_SCHEMA, WRITTEN_DAY, parts_of
+from tallyshelf.scratch import Scratch
 from tests.tables import DAY, listed, orders, stock
 
 NUMBERS = [
@@ -142,3 +143,18 @@ def test_sums_of_parts_are_those_of_both_halves_of_the_digests(spark):
     row = parts_of(lines).head()
     assert (row.part_lines, int(row.part_high), int(row.part_low)) == (len(digests), sum(int(x[:16], 16) for x in digests), sum(int(x[16:], 16) for x in digests))
     assert [f.dataType for f in parts_of(lines).schema][3:] == [f.dataType for f in PART_SCHEMA][2:]
+
+
+@pytest.mark.parametrize("most", [1_000_000, 1])
+def test_distinct_table_moves_only_rows_that_may_have_copies(spark, monkeypatch, most):
+    """Copies, other spellings and nulls; beyond `most` shared hashes all rows are compared."""
+    monkeypatch.setattr(chunks, "SHARED_HASHES", most)
+    some = [(f"s{i}", "p", str(i), "1") for i in range(30)] + [("s1", "p", "1.00", "1.0"), ("s1", "p", "1", "1"), ("s2", "p", " 2", "1"), (None, "p", None, "1"), (None, "p", None, "1"), ("p", None, None, "1")]
+    lines, moved = orders(spark, *some), []
+    want = sorted(map(repr, distinct_rows(lines).collect()))
+    monkeypatch.setattr(chunks, "distinct_rows", lambda df: moved.append(df.count()) or distinct_rows(df))
+    got = distinct_table(lines, Scratch(spark), "landed")
+    assert got.columns == lines.columns and sorted(map(repr, got.collect())) == want and len(want) == 32
+    # A hash skips nulls, so one row shares that of another without being its copy.
+    assert moved == [8 if most > 1 else 36]
+    assert distinct_table(lines.limit(0), Scratch(spark), "landed").count() == 0

@@ -149,3 +149,12 @@ def test_array_files_are_read_as_the_file_reader_does(spark, tmp_path, monkeypat
             want = scan_records(spark, str(folder), ["a", "b"])
         assert got.columns == want.columns and listed(got, "*") == listed(want, "*"), name
     assert listed(scan_records(spark, str(tmp_path / "array"), ["a", "b"]), "*") == [("1.50", "x"), (None, "1e3")]
+
+
+def test_rows_that_are_not_gathered_are_written_where_they_are(spark, tmp_path):
+    df = spark.range(40, numPartitions=4).selectExpr(f"concat('A', id % 2) AS {ACCOUNT}", "cast(id AS string) AS sku")
+    for gather, files in ((True, 2), (False, 8)):
+        path = str(tmp_path / str(gather))
+        write_flat_files(df, path, (ACCOUNT,), gather=gather)
+        got = scan_flat_files(spark, path, partitions=(ACCOUNT,)).rows
+        assert len(got.inputFiles()) == files and sorted(got.select(ACCOUNT, "sku").collect()) == sorted(df.collect())
