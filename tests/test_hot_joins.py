@@ -83,3 +83,13 @@ def test_reports_with_hot_skus_are_the_same(spark, monkeypatch):
     monkeypatch.setattr(H, "HOT_ROWS", 5)
     assert (ranked(sales_report(lines, listed).summary), rows(on_hand_report(lines, listed))) == plain
     assert len(plain[0]) == 3 * 62 + 3
+
+
+def test_a_join_without_hot_keys_is_a_plain_one(spark, monkeypatch):
+    """Tables above the limit of rows, whose keys are not: no key is counted on its own, and no row gets a cell."""
+    monkeypatch.setattr(H, "HOT_ROWS", 20)
+    left = spark.range(3000).selectExpr("concat('s', id % 1000) AS sku", "id AS n")
+    right = spark.range(2000).selectExpr("concat('s', id % 900) AS sku", "id AS m")
+    assert H.part_size(3000, 4) > 20 and H.hot_keys(left, ["sku"], "parts").isEmpty()
+    joined = H.spread_join(left, right, ["sku"], Scratch(spark))
+    assert H.LEFT_CELL not in joined._jdf.queryExecution().toString() and rows(joined) == rows(left.join(right, "sku", "left"))

@@ -95,6 +95,28 @@ def test_days_outside_all_windows_are_not_read(spark, typed_orders):
     assert in_window(typed_orders, windows.filter("false")).count() == 0
 
 
+def test_lines_are_written_only_if_the_window_join_moves_them(spark, typed_orders, monkeypatch):
+    windows = spark.createDataFrame([("BUILDING",)], [ACCOUNT]).selectExpr(ACCOUNT, "timestamp'1998-01-01' AS start_utc", "timestamp'1998-02-01' AS end_utc")
+    lines = clean_orders(typed_orders)
+    few = in_window(lines, windows, keep=True)
+    monkeypatch.setattr(intervals, "BROADCAST_INTERVALS", 0)
+    many = in_window(lines, windows, keep=True)
+    assert "windowed-" not in "".join(few.inputFiles()) and "windowed-" in "".join(many.inputFiles())
+    assert sorted(map(repr, few.collect())) == sorted(map(repr, many.select(few.columns).collect())) != []
+
+
+def test_wide_decimals_sort_by_their_keys(spark):
+    """Whole numbers, fractions, negative and very large ones and null, as the decimals themselves sort, and unchanged."""
+    texts = ["0", "1", "2.5", "2.50000001", "-2.5", "-3", "-0.00000001", "8999999999999999.5", "9000000000000000", "-8999999999999999.5", "-9000000000000000.5",
+             "-9000000000000000", "123456789012345678901234567.12345678", "123456789012345678901234567.12345679", "-123456789012345678901234567.5", None]
+    rows = spark.createDataFrame([("a", t) for t in texts], f"{ACCOUNT} string, t string").select(ACCOUNT, F.col("t").cast("decimal(37,8)").alias("n"))
+    for order, plain in (([F.col("whole n").desc_nulls_last(), F.col("rest n").desc_nulls_last()], F.col("n").desc_nulls_last()),
+                         ([F.col("whole n").asc(), F.col("rest n").asc()], F.col("n").asc())):
+        ordered = sort_into_blocks(rows, [ACCOUNT], order, Scratch(spark), ("n",))
+        assert ordered.schema["n"].dataType == rows.schema["n"].dataType
+        assert [r.n for r in ordered.orderBy("block", "seat").collect()] == [r.n for r in rows.orderBy(plain).collect()]
+
+
 def test_positions_equal_a_window_over_the_group(many_blocks):
     spark = many_blocks
     rows = spark.range(5000).select(
