@@ -35,9 +35,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyshelf.llm.common import ship_package, shuffle_files_removed, text_of
+from tallyshelf.llm.common import ship_package, text_of
 from tallyshelf.llm.shingles import BASE, VALUES, mix, powers
-from tallyshelf.scratch import Scratch
+from tallyshelf.scratch import Scratch, shuffle_files_removed
 
 # Fixed value of the task: bytes of a window. Documented parameters: bytes that are hashed, text of a part, of a piece.
 LENGTH, SEED, PART, PIECE = 50, 20, 32 << 20, 4 << 20
