@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyshelf.llm.common import moved
 from tallyshelf.scratch import Scratch
 
 
@@ -16,7 +17,7 @@ def _large_star(links: DataFrame) -> DataFrame:
     """Connects every node's larger neighbours to the smallest node around it."""
     both = links.union(links.select("b", "a")).toDF("u", "v")
     least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-    rows = both.join(least, "u").where(F.col("v") > F.col("u"))
+    rows = both.join(moved(least), "u").where(F.col("v") > F.col("u"))
     return rows.select(F.col("v").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
 
 
@@ -24,7 +25,7 @@ def _small_star(links: DataFrame) -> DataFrame:
     """Connects every node and its smaller neighbours to the smallest of them."""
     down = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     least = down.groupBy("u").agg(F.min("v").alias("m"))
-    rows = down.join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
+    rows = down.join(moved(least), "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
     return rows.union(least.select(F.col("u").alias("a"), F.col("m").alias("b"))).where("a <> b").distinct()
 
 

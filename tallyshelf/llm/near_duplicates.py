@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyshelf.llm.common import ship_package
+from tallyshelf.llm.common import moved, ship_package
 from tallyshelf.llm.graph import components
 from tallyshelf.llm.shingles import mix, shingle_set
 from tallyshelf.scratch import Scratch
@@ -167,11 +167,11 @@ class _Search:
         self.scratch, self.width, self.percent = scratch, width, percent
         rows = classes.select("node", "n", F.explode("bands").alias("h"))
         sizes = rows.groupBy("h").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-        self.buckets = scratch.table(rows.join(sizes, "h"), "buckets")
+        self.buckets = scratch.table(rows.join(moved(sizes), "h"), "buckets")
         nodes = self.buckets.select("node").distinct()
-        wanted = classes.select("node", "key", "first_id").join(nodes, "node")
+        wanted = classes.select("node", "key", "first_id").join(moved(nodes), "node")
         texts = docs.select(F.col("doc_id").alias("first_id"), "key", "text").join(
-            wanted.withColumnRenamed("key", "its_key").withColumnRenamed("first_id", "its_id"),
+            moved(wanted.withColumnRenamed("key", "its_key").withColumnRenamed("first_id", "its_id")),
             (F.col("key") == F.col("its_key")) & F.col("first_id").eqNullSafe(F.col("its_id")),
         )
         self.texts = scratch.table(texts.select("node", "text").dropDuplicates(["node"]), "texts")
@@ -185,7 +185,7 @@ class _Search:
         left = self.texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
         right = self.texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
         rows = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        rows = rows.join(right, "b").join(left, "a").select("a", "text_a", "b", "text_b")
+        rows = rows.join(moved(right), "b").join(moved(left), "a").select("a", "text_a", "b", "text_b")
         return rows.mapInArrow(_similar(self.width, self.percent), "a long, b long")
 
     def links(self) -> DataFrame:
@@ -194,7 +194,7 @@ class _Search:
         for turn in range(HUB_ROUNDS):
             rows = self._with_hubs(rows, turn)
             hubs = rows.where("is_hub").select("h", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("root_a"))
-            met = hubs.join(rows.withColumnRenamed("node", "b"), "h").where("root_a <> root")
+            met = hubs.join(moved(rows.withColumnRenamed("node", "b")), "h").where("root_a <> root")
             found.append(self.scratch.table(self.verified(met.where(self.near("n_a", "n")).select("a", "b")), "found"))
             rows = self._still_open(rows, reduce(DataFrame.union, found))
             if rows.isEmpty():
@@ -208,15 +208,15 @@ class _Search:
         rows = rows.withColumn("order", F.xxhash64("node", "h", F.lit(turn)))
         least = rows.groupBy("h").agg(F.min("order").alias("least"))
         chosen = (F.col("order") == F.col("least")) | (F.pmod("order", F.col("size")) < HUBS - 1)
-        return self.scratch.table(rows.join(least, "h").withColumn("is_hub", chosen).drop("order", "least"), "hubs")
+        return self.scratch.table(rows.join(moved(least), "h").withColumn("is_hub", chosen).drop("order", "least"), "hubs")
 
     def _still_open(self, rows: DataFrame, found: DataFrame) -> DataFrame:
         """The buckets that hold several components, without the hubs, which have met all others there."""
         roots = self.scratch.table(components(found, self.scratch), "roots")
-        rows = rows.where("NOT is_hub").select("h", "node", "n").join(roots, "node", "left")
+        rows = rows.where("NOT is_hub").select("h", "node", "n").join(moved(roots), "node", "left")
         rows = rows.select("h", "node", "n", F.coalesce("root", "node").alias("root"))
         sizes = rows.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("size"))
-        return self.scratch.table(rows.join(sizes.where("lo <> hi").drop("lo", "hi"), "h"), "open")
+        return self.scratch.table(rows.join(moved(sizes.where("lo <> hi").drop("lo", "hi")), "h"), "open")
 
     def _block_links(self, rows: DataFrame) -> DataFrame:
         """All links that are left, block by block.
@@ -225,9 +225,9 @@ class _Search:
         component, are cut into blocks of a bounded number of classes and shingles, and each block of the rest meets every
         block. A class is copied once per block it meets, not once per class.
         """
-        star = rows.join(rows.groupBy("h").agg(F.min("node").alias("a")), "h").select("a", F.col("node").alias("b"))
+        star = rows.join(moved(rows.groupBy("h").agg(F.min("node").alias("a"))), "h").select("a", F.col("node").alias("b"))
         families = components(star, self.scratch).withColumnRenamed("root", "family")
-        members = self.scratch.table(rows.select("node", "n", "root").distinct().join(families, "node"), "members")
+        members = self.scratch.table(rows.select("node", "n", "root").distinct().join(moved(families), "node"), "members")
         parts = members.groupBy("family", "root").agg(F.count(F.lit(1)).alias("k"))
         largest = parts.groupBy("family").agg(F.max_by("root", F.struct("k", "root")).alias("largest"))
         members = members.join(largest, "family").withColumn("rest", F.col("root") != F.col("largest"))
@@ -245,7 +245,7 @@ class _Search:
         of_rest = F.sequence(F.lit(0).cast("long"), (F.col("rests") - 1).cast("long"))
         members = members.where("rests > 0").withColumn("other", F.explode(F.when(F.col("rest"), everyone).otherwise(of_rest)))
         members = members.select("family", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "node", "root")
-        rows = members.join(self.texts, "node").select("family", "i", "j", "mine", "node", "root", "text")
+        rows = members.join(moved(self.texts), "node").select("family", "i", "j", "mine", "node", "root", "text")
         return rows.groupBy("family", "i", "j").applyInArrow(_compare_blocks(self.width, self.percent), "a long, b long")
 
 
@@ -265,10 +265,10 @@ def near_duplicates(
     classes = scratch.table(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
     links = _Search(docs, classes, scratch, width, percent).links()
     roots = scratch.table(components(links, scratch), "roots")
-    linked = classes.select("node", "key", "first_id").join(roots, "node", "left").select("key", "first_id", F.coalesce("root", "node").alias("root"))
+    linked = classes.select("node", "key", "first_id").join(moved(roots), "node", "left").select("key", "first_id", F.coalesce("root", "node").alias("root"))
     of_root = linked.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    of_key = scratch.table(linked.join(of_root, "root").select(F.col("key").alias("its_key"), "component_id"), "members")
-    rows = sketches.select("doc_id", "n", "key").join(of_key, (F.col("key") == F.col("its_key")) & (F.col("n") > 0), "left")
+    of_key = scratch.table(linked.join(moved(of_root), "root").select(F.col("key").alias("its_key"), "component_id"), "members")
+    rows = sketches.select("doc_id", "n", "key").join(moved(of_key), (F.col("key") == F.col("its_key")) & (F.col("n") > 0), "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     kept = F.col("doc_id").eqNullSafe(component)
     return rows.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), kept.alias("kept"), F.col("key").alias("text_key"))
@@ -279,5 +279,5 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **opti
     kept = near_duplicates(docs, doc_id, text, **options).where("kept").select(F.col("doc_id").alias("kept_id"), "text_key").distinct()
     rows = docs.select(
         F.col(f"`{doc_id}`").alias("id"), _digest(text).alias("twin"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    rows = rows.join(kept, F.col("id").eqNullSafe(F.col("kept_id")) & F.col("twin").eqNullSafe(F.col("text_key")), "left_semi")
+    rows = rows.join(moved(kept), F.col("id").eqNullSafe(F.col("kept_id")) & F.col("twin").eqNullSafe(F.col("text_key")), "left_semi")
     return rows.dropDuplicates(["id", "twin"]).select("row.*")

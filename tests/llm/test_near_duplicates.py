@@ -7,6 +7,7 @@ import pytest
 from tallyshelf.llm import near_duplicates as N
 from tallyshelf.llm.near_duplicates import keep_one, near_duplicates, sketch
 from tallyshelf.llm.shingles import shingle_set
+from tallyshelf.scratch import Scratch
 from tests.llm.samples import odd_documents, prose, rows_of
 
 
@@ -91,3 +92,24 @@ def test_odd_rows(spark):
 def test_empty(spark):
     docs = odd_documents(spark).limit(0)
     assert near_duplicates(docs).count() == 0 and keep_one(docs).count() == 0
+
+
+def test_no_join_on_documents_passes_through_the_driver(spark, monkeypatch):
+    plans, table = [], Scratch.table
+
+    def planned(scratch, df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return table(scratch, df, name)
+
+    monkeypatch.setattr(Scratch, "table", planned)
+    rng = random.Random(9)
+    base = [f"w{rng.randint(1, 500)}" for _ in range(60)]
+    texts = [" ".join([*base[:-1], f"x{i}"]) for i in range(5)] + ["alone in the whole wide world"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = keep_one(docs)
+    plans.append(kept._jdf.queryExecution().executedPlan().toString())
+    assert sorted(r["doc_id"] for r in kept.collect()) == [0, 5]
+    joins = [p for p in plans if "Join" in p]
+    assert len(joins) > 8
+    # Families of open buckets are few, and their sizes are counted, not guessed from packed files.
+    assert not [p for p in joins if "Broadcast" in p and "family" not in p]
